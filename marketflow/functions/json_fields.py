@@ -14,13 +14,16 @@ from pyspark.sql import functions as F
 CORRUPT = "_corrupt_record"
 
 
-def parse_objects(df: DataFrame, keys: Iterable[str], value: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+def parse_objects(df: DataFrame, keys: Iterable[str], value: str = "value", keep: Iterable[str] = (),
+                  arrays: Iterable[str] = ()) -> DataFrame:
     """Add one text column per key, plus ``_corrupt_record`` (NULL when the text parsed).
 
-    The struct is spread with ``inline`` and not with a projection: a projection
-    would be merged into later filters and parse the text once per use.
+    A key in ``arrays`` becomes a column of its elements, each as JSON text. The
+    struct is spread with ``inline`` and not with a projection: a projection would
+    be merged into later filters and parse the text once per use.
     """
-    schema = ", ".join(f"`{k}` string" for k in [*dict.fromkeys(keys), CORRUPT])
+    fields = [*(f"`{k}` string" for k in dict.fromkeys(keys)), *(f"`{k}` array<string>" for k in arrays)]
+    schema = ", ".join([*fields, f"`{CORRUPT}` string"])
     parsed = F.from_json(F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return df.select(*keep, F.inline(F.array(parsed)))
 
@@ -30,6 +33,17 @@ def is_object(value: str = "value") -> Column:
     return F.col(CORRUPT).isNull() & F.coalesce(F.length(F.trim(F.col(value))) > 0, F.lit(False))
 
 
+def well_formed(value: str = "value") -> Column:
+    """``is_object`` for a parse with arrays: a field of an unexpected type does not spoil its object."""
+    return F.when(F.col(CORRUPT).isNull(), is_object(value)).otherwise(F.json_object_keys(F.col(value)).isNotNull())
+
+
+def elements(key: str, value: str = "value") -> Column:
+    """The elements of a parsed array; also of an array that was sent as text."""
+    again = F.from_json(F.get_json_object(F.col(value), f"$.{key}"), "array<string>")
+    return F.when(F.col(CORRUPT).isNull(), F.col(f"`{key}`")).when(F.json_object_keys(F.col(value)).isNotNull(), again)
+
+
 def has_key(key: str, value: str = "value", parsed: Column | None = None) -> Column:
     """True where the object carries ``key``, also when its value is null.
 
@@ -50,17 +64,13 @@ def array_elements(text: Column) -> Column:
     return F.from_json(text, "array<string>")
 
 
-def _number_text(text: Column) -> Column:
-    plain = F.replace(text, F.lit(","), F.lit(""))
-    return F.when(~plain.isin("", "null", "NULL"), plain)
-
-
 def boxed(text: Column, type_name: str) -> Column:
-    """Number or NULL. A fraction in an integer field is cut off."""
-    plain = _number_text(text)
-    if type_name == "double":
-        return plain.try_cast("double")
-    return F.coalesce(plain.try_cast(type_name), plain.try_cast("double").try_cast(type_name))
+    """Number or NULL. Commas are ignored, a fraction in an integer field is cut off."""
+    plain = F.replace(text, F.lit(","), F.lit(""))
+    readings = [text.try_cast(type_name), plain.try_cast(type_name)]
+    if type_name != "double":
+        readings.append(plain.try_cast("double").try_cast(type_name))
+    return F.coalesce(*readings)
 
 
 def unboxed(text: Column, type_name: str) -> Column:
@@ -70,4 +80,5 @@ def unboxed(text: Column, type_name: str) -> Column:
 
 def bad_number(text: Column, type_name: str) -> Column:
     """True where a text is given that is no number."""
-    return F.coalesce(_number_text(text).isNotNull() & boxed(text, type_name).isNull(), F.lit(False))
+    given = text.isNotNull() & ~text.isin("", "null", "NULL")
+    return F.coalesce(given & boxed(text, type_name).isNull(), F.lit(False))

@@ -65,4 +65,4 @@ def within_edits(token: Column, term: str, edits: int) -> Column:
             before = F.levenshtein(F.substring(token, 1, j), F.lit(term[:i]))
             after = F.levenshtein(F.substring(token, j + 3, 2**30), F.lit(term[i + 2 :]))
             places.append((F.substring(token, j + 1, 2) == pair) & (before + after <= 1))
-    return near | reduce(or_, places)
+    return reduce(or_, places, near)

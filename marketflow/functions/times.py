@@ -68,16 +68,22 @@ def lenient_timestamp(text: Column) -> Column:
     """``y-m-d [h:m:s[.fraction]]`` where fields out of range roll over.
 
     Month 13 is January of the next year, minute 61 the first minute of the next
-    hour, a date alone means midnight; a text of another shape gives NULL.
+    hour, a date alone means midnight; a text of another shape gives NULL. The
+    text and its parts are bound by ``transform``, so both are made once per row.
     """
-    fits = text.rlike(r"^\d{1,10}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?)?$")
-    parts = F.split(text, "[-: ]")
-    whole = [F.coalesce(F.get(parts, F.lit(i)).try_cast("int"), F.lit(0)) for i in range(5)]
-    seconds = F.coalesce(F.get(parts, F.lit(5)).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
-    start = F.try_make_timestamp(whole[0], F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    months = F.make_ym_interval(F.lit(0), whole[1] - 1)
-    rest = F.make_dt_interval(whole[2] - 1, whole[3], whole[4], seconds)
-    return F.when(fits, start + months + rest)
+    shape = r"^\d{1,10}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2}(\.\d{1,9})?)?$"
+
+    def of_parts(parts: Column) -> Column:
+        whole = [F.coalesce(F.get(parts, F.lit(i)).try_cast("int"), F.lit(0)) for i in range(5)]
+        seconds = F.coalesce(F.get(parts, F.lit(5)).try_cast("decimal(18,6)"), F.lit(0).cast("decimal(18,6)"))
+        start = F.try_make_timestamp(whole[0], F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        months = F.make_ym_interval(F.lit(0), whole[1] - 1)
+        return start + months + F.make_dt_interval(whole[2] - 1, whole[3], whole[4], seconds)
+
+    def of_text(t: Column) -> Column:
+        return F.when(t.rlike(shape), F.get(F.transform(F.array(F.split(t, "[-: ]")), of_parts), F.lit(0)))
+
+    return F.get(F.transform(F.array(text), of_text), F.lit(0))
 
 
 def partition_time(values: Mapping[str, Column], pattern: str = MINUTE_PATTERN, shift: int = -8) -> Column:

@@ -28,16 +28,17 @@ def behaviors(messages: DataFrame, shift: int = 0) -> DataFrame:
     """
     keys = [f.key for f in BEHAVIOR]
     parsed = parse_objects(messages, keys, keep=["value", "partition", "offset"])
-    typed_rows = parsed.where(is_object()).select(*(typed(f) for f in BEHAVIOR), "partition", "offset")
-    created = F.col("create_time")
-    return typed_rows.select(
+    rows = parsed.where(is_object()).select(*(typed(f) for f in BEHAVIOR), "partition", "offset")
+    created = F.col("_created")
+    timed = rows.withColumn("_created", times.parse_time(F.col("create_time"))).where(created.isNotNull())
+    return timed.select(
         *columns(BEHAVIOR),
-        *(part.alias(name) for name, part in times.date_parts(created).items()),
+        *(F.date_format(created, fmt).alias(name) for name, fmt in times.PART_FORMATS.items()),
         F.lit(1).cast("long").alias("action_num"),
-        times.event_time(created, shift=shift).alias("event_time"),
+        (times.shift_hours(created, shift) if shift else created).alias("event_time"),
         "partition",
         "offset",
-    ).where(F.col("event_time").isNotNull())
+    )
 
 
 def time_key() -> Column:

@@ -30,7 +30,7 @@ def typed(field: Field, now: str | None = None) -> Column:
 
 
 def _reason(fields: tuple[Field, ...], value: str) -> Column:
-    reason = F.when(~J.is_object(value), F.lit("not_an_object"))
+    reason = F.when(~J.well_formed(value), F.lit("not_an_object"))
     for f in fields:
         if f.kind not in ("text", "now"):
             read = f.kind.split(">")[0].removesuffix("0")
@@ -38,29 +38,38 @@ def _reason(fields: tuple[Field, ...], value: str) -> Column:
     return reason
 
 
-def typed_records(
-    messages: DataFrame,
-    fields: tuple[Field, ...],
-    require: str | None = SHOP_KEY,
-    keep: Iterable[str] = (),
-    value: str = "value",
-    now: str | None = None,
-) -> DataFrame:
-    """Records with a ``reject_reason`` (NULL for good rows).
+def parsed_messages(messages: DataFrame, fields: tuple[Field, ...], require: str | None = SHOP_KEY,
+                    keep: Iterable[str] = (), value: str = "value", arrays: Iterable[str] = ()) -> DataFrame:
+    """Text columns for the keys of ``fields``, and the elements of ``arrays``, in one parse.
 
     Objects without the ``require`` key are left out; a key that is present with
-    null passes. Text that is no object, or a number field with other text in it,
-    stays in the result with its reason.
+    null passes. Text that is no object stays, to be rejected with its reason.
+    """
+    keys = [*(f.key for f in fields if f.key), *([require] if require else [])]
+    parsed = J.parse_objects(messages, keys, value, keep=list(dict.fromkeys([*keep, value])), arrays=arrays)
+    return having_key(parsed, require, value) if require else parsed
+
+
+def having_key(parsed: DataFrame, key: str, value: str = "value") -> DataFrame:
+    return parsed.where(~J.well_formed(value) | J.has_key(key, value, parsed=F.col(f"`{key}`")))
+
+
+def typed_rows(parsed: DataFrame, fields: tuple[Field, ...], keep: Iterable[str] = (), value: str = "value",
+               now: str | None = None) -> DataFrame:
+    """Typed columns of parsed messages, with a ``reject_reason`` (NULL for good rows).
+
+    Text that is no object, and a number field with other text in it, is a reason.
     """
-    keep = list(keep)
-    keys = [f.key for f in fields if f.key]
-    carried = list(dict.fromkeys([*keep, value]))
-    parsed = J.parse_objects(messages, [*keys, *([require] if require else [])], value, keep=carried)
-    if require:
-        parsed = parsed.where(~J.is_object(value) | J.has_key(require, value, parsed=F.col(f"`{require}`")))
     return parsed.select(*keep, *(typed(f, now) for f in fields), _reason(fields, value).alias(REASON))
 
 
+def typed_records(messages: DataFrame, fields: tuple[Field, ...], require: str | None = SHOP_KEY, keep: Iterable[str] = (),
+                  value: str = "value", now: str | None = None) -> DataFrame:
+    """Messages to typed rows with their ``reject_reason``."""
+    keep = list(keep)
+    return typed_rows(parsed_messages(messages, fields, require, keep, value), fields, keep, value, now)
+
+
 def accepted(records: DataFrame) -> DataFrame:
     return records.where(F.col(REASON).isNull()).drop(REASON)
 
@@ -92,9 +101,13 @@ def explode_property(messages: DataFrame, key: str, keep: Iterable[str] = (), va
     The enclosing object is not carried; an empty, missing or null array gives no row.
     """
     keep = list(keep)
-    parsed = J.parse_objects(messages, [key], value, keep=list(dict.fromkeys([*keep, value])))
-    parsed = parsed.where(J.is_object(value) & F.col(f"`{key}`").isNotNull())
-    return parsed.select(*keep, F.explode(J.array_elements(F.col(f"`{key}`"))).alias("value"))
+    parsed = J.parse_objects(messages, [], value, keep=list(dict.fromkeys([*keep, value])), arrays=[key])
+    return explode_parsed(parsed, key, keep, value)
+
+
+def explode_parsed(parsed: DataFrame, key: str, keep: Iterable[str] = (), value: str = "value") -> DataFrame:
+    """The same for messages already parsed with ``key`` among the arrays."""
+    return parsed.select(*keep, F.explode(J.elements(key, value)).alias("value"))
 
 
 def explode_message(messages: DataFrame, keep: Iterable[str] = (), value: str = "value") -> DataFrame:
@@ -116,10 +129,8 @@ def ignore_parse_errors(messages: DataFrame, fields: tuple[Field, ...], value: s
 def parent_children(records: DataFrame, parent: tuple[Field, ...], child: tuple[Field, ...], array_key: str,
                     value: str = "value") -> DataFrame:
     """Parent columns beside the columns of each child in ``array_key``."""
-    parsed = J.parse_objects(records, [*(f.key for f in parent), array_key], value, keep=[value])
-    rows = parsed.where(J.is_object(value)).select(
-        *(typed(f) for f in parent), F.explode(J.array_elements(F.col(f"`{array_key}`"))).alias("value")
-    )
+    parsed = J.parse_objects(records, [f.key for f in parent], value, keep=[value], arrays=[array_key])
+    rows = parsed.select(*(typed(f) for f in parent), F.explode(J.elements(array_key, value)).alias("value"))
     names = [f.name for f in parent]
     children = J.parse_objects(rows, [f.key for f in child], "value", keep=[*names, "value"])
     return children.where(J.is_object("value")).select(*names, *(typed(f) for f in child))

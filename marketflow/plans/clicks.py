@@ -13,7 +13,7 @@ from ..session import configure, scratch
 from ..sinks.commit import PartitionCommit
 from ..sinks.tables import create_table, insert_dynamic, insert_static, read_table, write_batch
 from ..sinks.topic import write_topic
-from ..sources.files import read_partition, table_stream
+from ..sources.files import read_partition
 from ..sources.topic import topic_batch, topic_head, topic_stream
 from ..streaming import runs
 from ..streaming.windows import RankedShops, windowed
@@ -24,7 +24,7 @@ DAY_WINDOW = "1 day"
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.load(configure(spark), sf_dir, "events")
+    return X.spread(X.load(configure(spark), sf_dir, "events"))
 
 
 def _behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +32,7 @@ def _behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _behavior_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _events(spark, sf_dir).schema
-    return B.behaviors(X.behavior_messages(table_stream(spark, f"{sf_dir}/events.parquet", schema)))
+    return B.behaviors(X.behavior_messages(X.load_stream(configure(spark), sf_dir, "events")))
 
 
 def _text_times(df: DataFrame) -> DataFrame:

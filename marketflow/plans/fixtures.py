@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import TIME_FORMAT
+from ..sources.files import table_stream
 
 NOW = "2024-06-01 12:00:00"
 DAY = NOW[:10]
@@ -31,6 +32,22 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(df: DataFrame, table: DataFrame | None = None) -> DataFrame:
+    """Deal the rows out when ``table`` (``df`` itself, or the files a stream reads) has fewer pieces than cores.
+
+    A small table is one file, and one task would make all its messages. A large
+    one comes in many pieces and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if (df if table is None else table).rdd.getNumPartitions() < cores else df
+
+
+def load_stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table as a stream, dealt out like the table."""
+    rows = load(spark, sf_dir, table)
+    return spread(table_stream(spark, f"{sf_dir}/{table}.parquet", rows.schema), rows)
+
+
 def _object(fields: dict[str, Column], as_text: bool) -> Column:
     values = [(c.cast("string") if as_text else c).alias(k) for k, c in fields.items()]
     return F.to_json(F.struct(*values), {"ignoreNullFields": str(not as_text).lower()})

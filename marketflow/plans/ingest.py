@@ -13,9 +13,7 @@ from ..functions import times
 from ..operators import records as R
 from ..session import configure, scratch
 from ..sinks.documents import read_documents, write_documents, write_json_texts
-from ..sinks.fanout import fan_out
 from ..sinks.tables import read_table, write_batch, write_dated
-from ..sources.files import table_stream
 from ..streaming import ingest as I
 from ..streaming import runs
 from ..streaming.shops import partitioned_shops, shop_documents, shop_events, shop_lines
@@ -25,20 +23,19 @@ ZONE = "Asia/Shanghai"
 
 
 def _shops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.shop_messages(X.load(configure(spark), sf_dir, "lineitem"))
+    return X.shop_messages(X.spread(X.load(configure(spark), sf_dir, "lineitem")))
 
 
 def _shop_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = X.load(configure(spark), sf_dir, "lineitem").schema
-    return X.shop_messages(table_stream(spark, f"{sf_dir}/lineitem.parquet", schema))
+    return X.shop_messages(X.load_stream(configure(spark), sf_dir, "lineitem"))
 
 
 def _comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.comment_messages(X.load(configure(spark), sf_dir, "lineitem"))
+    return X.comment_messages(X.spread(X.load(configure(spark), sf_dir, "lineitem")))
 
 
 def _shop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.shop_list_messages(X.load(configure(spark), sf_dir, "customer"))
+    return X.shop_list_messages(X.spread(X.load(configure(spark), sf_dir, "customer")))
 
 
 # -- reading JSON ------------------------------------------------------------------------------------
@@ -179,7 +176,7 @@ def shop_stream_partitioned(spark, sf_dir):
 def fanout_counts(spark, sf_dir):
     """Rows that one pass over the shop stream puts into each of its sinks."""
     root = scratch(spark, "fanout")
-    write = fan_out(I.topic_sinks("shop1", root, X.NOW))
+    write = I.topic_writer("shop1", root, X.NOW)
     runs.drain(runs.into_batches(_shop_stream(spark, sf_dir), write, f"{root}/checkpoint"))
     counts = []
     for kind in I.TOPICS["shop1"]:

@@ -8,7 +8,6 @@ from ..operators import cdc
 from ..session import configure, scratch
 from ..sinks.topic import topic_writer
 from ..sinks.tables import read_table
-from ..sources.files import table_stream
 from ..streaming import runs
 from . import fixtures as X
 
@@ -26,7 +25,7 @@ def cdc_filter(spark, sf_dir):
 def cdc_route(spark, sf_dir):
     """Change messages streamed to a topic per table."""
     root = scratch(spark, "route")
-    events = table_stream(spark, f"{sf_dir}/events.parquet", X.load(configure(spark), sf_dir, "events").schema)
+    events = X.load_stream(configure(spark), sf_dir, "events")
     routed = cdc.route(X.change_messages(events), TABLES)
     runs.drain(topic_writer(routed, f"{root}/checkpoint", path=f"{root}/topics"))
     return read_table(spark, f"{root}/topics", "key string, value string, topic string", "json").select("topic", "key", "value")

@@ -16,7 +16,7 @@ TERM, PART, NEAR = "license", "thle", "lisence"
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.load(configure(spark), sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return X.spread(X.load(configure(spark), sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
 def _hits(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ SINCE = "1995-06-13 22:00:30"
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.records(X.load(configure(spark), sf_dir, "lineitem"))
+    return X.records(X.spread(X.load(configure(spark), sf_dir, "lineitem")))
 
 
 def record_scan_filter(spark, sf_dir):
@@ -45,7 +45,7 @@ def _csv_query(name: str):
 
 
 def _shop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.records_of(X.shop_messages(X.load(configure(spark), sf_dir, "lineitem")), S.SHOP)
+    return R.records_of(X.shop_messages(X.spread(X.load(configure(spark), sf_dir, "lineitem"))), S.SHOP)
 
 
 def dwd_shop_dedup(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -10,35 +11,49 @@ from pyspark.sql import DataFrame
 Sink = Callable[[DataFrame, int], None]
 
 
+class Branch(NamedTuple):
+    """Sinks that share one frame made from the batch."""
+
+    frame: Callable[[DataFrame], DataFrame]
+    sinks: Mapping[str, Sink]
+
+
 class SinkErrors(RuntimeError):
     """Some sinks of a batch failed; the others were written."""
 
 
-def fan_out(sinks: Mapping[str, Sink], on_error: Callable[[str, int, Exception], None] | None = None) -> Sink:
-    """A ``foreachBatch`` function that gives the batch to every sink.
+def fan_out(branches: list[Branch], shared: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+            on_error: Callable[[str, int, Exception], None] | None = None) -> Sink:
+    """A ``foreachBatch`` function that gives a batch to every sink.
 
-    The batch is read once, an empty one is skipped, and a failing sink does not
-    keep the others from running. Without ``on_error`` the failures are raised
+    ``shared`` is the work all branches need, done once; the frame of a branch is
+    made once for its sinks. An empty batch is skipped. A failing sink does not
+    keep the others from running; without ``on_error`` the failures are raised
     afterwards, so that the batch runs again and its sinks replace what they wrote.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        failures = {}
+        failures: dict[str, Exception] = {}
+        held = shared(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if held.isEmpty():
                 return
-            for name, sink in sinks.items():
+            for branch in branches:
+                frame = branch.frame(held).persist(StorageLevel.MEMORY_AND_DISK)
                 try:
-                    sink(held, batch_id)
-                except Exception as error:
-                    if on_error is None:
-                        failures[name] = error
-                    else:
-                        on_error(name, batch_id, error)
+                    for name, sink in branch.sinks.items():
+                        try:
+                            sink(frame, batch_id)
+                        except Exception as error:
+                            failures[name] = error
+                finally:
+                    frame.unpersist()
         finally:
             held.unpersist()
-        if failures:
+        if on_error is not None:
+            for name, error in failures.items():
+                on_error(name, batch_id, error)
+        elif failures:
             raise SinkErrors("; ".join(f"{name}: {error}" for name, error in failures.items()))
 
     return write

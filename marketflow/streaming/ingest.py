@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import records as R
 from ..sinks.documents import write_documents
-from ..sinks.fanout import Sink
+from ..sinks.fanout import Branch, Sink, fan_out
 from ..sinks.tables import BATCH, write_batch
 
 
@@ -36,25 +36,30 @@ class RecordType:
     def table(self) -> str:
         return f"ods_{self.name}"
 
-    def _records(self, messages: DataFrame, fields: tuple[S.Field, ...], now: str | None) -> DataFrame:
+    @property
+    def _fields(self) -> tuple[S.Field, ...]:
+        """Every key either output reads."""
+        return tuple({f.key: f for f in (*self.row, *self.document) if f.key}.values())
+
+    def parsed(self, messages: DataFrame) -> DataFrame:
+        """The text columns of this type, from raw messages."""
         if self.array is None:
-            return R.records_of(messages, fields, now=now)
+            return R.parsed_messages(messages, self._fields)
         elements = R.explode_property(messages, self.array) if self.array else R.explode_message(messages)
-        return R.element_records(elements, fields, now=now)
+        return R.parsed_messages(elements, self._fields, require=None)
+
+    def parsed_from(self, shared: DataFrame) -> DataFrame:
+        """The same from messages that ``shared_parse`` has read."""
+        if self.array is None:
+            return R.having_key(shared, S.SHOP_KEY)
+        elements = R.explode_parsed(shared, self.array) if self.array else R.explode_message(shared)
+        return R.parsed_messages(elements, self._fields, require=None)
 
     def rows(self, messages: DataFrame, now: str | None = None) -> DataFrame:
-        return self._records(messages, self.row, now)
+        return R.accepted(R.typed_rows(self.parsed(messages), self.row, now=now))
 
     def documents(self, messages: DataFrame, now: str | None = None) -> DataFrame:
-        return self._records(messages, self.document, now)
-
-    def rejects(self, messages: DataFrame, now: str | None = None) -> DataFrame:
-        """Messages or elements that gave no row, with the reason."""
-        if self.array is None:
-            return R.rejected(R.typed_records(messages, self.row, keep=["value"], now=now)).select("value", R.REASON)
-        elements = R.explode_property(messages, self.array) if self.array else R.explode_message(messages)
-        failed = R.rejected(R.typed_records(elements, self.row, require=None, keep=["value"], now=now))
-        return failed.select("value", R.REASON)
+        return R.accepted(R.typed_rows(self.parsed(messages), self.document, now=now))
 
 
 SHOP = RecordType("shop", S.SHOP, S.SHOP_DOC)
@@ -72,18 +77,30 @@ TOPICS = {
 }
 
 
-def topic_sinks(topic: str, root: str, now: str | None = None) -> dict[str, Sink]:
-    """Table, document and reject sinks of a topic below ``root``, for ``fan_out``.
+def shared_parse(kinds: tuple[RecordType, ...]):
+    """One parse of a message for all its record types."""
+    fields = tuple(f for kind in kinds if kind.array is None for f in kind._fields)
+    arrays = [kind.array for kind in kinds if kind.array]
+    if not fields and not arrays:
+        return lambda messages: messages.select("value")
+    return lambda messages: R.parsed_messages(messages, fields, require=None, arrays=arrays)
+
+
+def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -> Sink:
+    """A ``foreachBatch`` function with the table, document and reject sinks of a topic below ``root``.
 
     The day of a row is the day it is processed. Rows keep the batch id as a
     partition, so a repeated batch replaces itself in every sink.
     """
-    sinks: dict[str, Sink] = {}
+    branches = []
     for kind in TOPICS[topic]:
-        sinks[kind.table] = _table_sink(kind, f"{root}/{kind.table}", now)
-        sinks[f"doc_{kind.name}"] = _document_sink(kind, f"{root}/documents", now)
-        sinks[f"rejected_{kind.name}"] = _reject_sink(kind, f"{root}/rejected_{kind.name}", now)
-    return sinks
+        sinks = {
+            kind.table: _table_sink(kind, f"{root}/{kind.table}", now),
+            f"doc_{kind.name}": _document_sink(kind, f"{root}/documents", now),
+            f"rejected_{kind.name}": _reject_sink(kind, f"{root}/rejected_{kind.name}"),
+        }
+        branches.append(Branch(kind.parsed_from, sinks))
+    return fan_out(branches, shared_parse(TOPICS[topic]), on_error)
 
 
 def _day(now: str | None) -> Callable[[DataFrame], str]:
@@ -96,22 +113,24 @@ def _day(now: str | None) -> Callable[[DataFrame], str]:
 
 
 def _table_sink(kind: RecordType, path: str, now: str | None) -> Sink:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = kind.rows(batch, now).withColumn("batch_date", F.lit(_day(now)(batch)))
+    def write(parsed: DataFrame, batch_id: int) -> None:
+        rows = R.accepted(R.typed_rows(parsed, kind.row, now=now)).withColumn("batch_date", F.lit(_day(now)(parsed)))
         rows.write.mode("overwrite").partitionBy("batch_date").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
 
 
 def _document_sink(kind: RecordType, path: str, now: str | None) -> Sink:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_documents(kind.documents(batch, now), path, kind.name, _day(now)(batch), batch_id)
+    def write(parsed: DataFrame, batch_id: int) -> None:
+        documents = R.accepted(R.typed_rows(parsed, kind.document, now=now))
+        write_documents(documents, path, kind.name, _day(now)(parsed), batch_id)
 
     return write
 
 
-def _reject_sink(kind: RecordType, path: str, now: str | None) -> Sink:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(kind.rejects(batch, now), path, batch_id)
+def _reject_sink(kind: RecordType, path: str) -> Sink:
+    def write(parsed: DataFrame, batch_id: int) -> None:
+        rejects = R.rejected(R.typed_rows(parsed, kind.row, keep=["value"])).select("value", R.REASON)
+        write_batch(rejects, path, batch_id)
 
     return write
