@@ -62,7 +62,7 @@ def delete(stored: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def get_many(stored: DataFrame, keys: DataFrame | Sequence, key: str) -> DataFrame:
     """Stored rows of the listed keys as JSON documents; keys not stored give no row."""
     if isinstance(keys, DataFrame):
-        found = stored.join(keys.select(key), key, "left_semi")
+        found = stored.join(keys.select(key).distinct(), key, "left_semi")
     else:
         found = stored.where(F.col(key).isin(list(keys)))
     return found.select(key, F.to_json(F.struct(*stored.columns), {"ignoreNullFields": "false"}).alias("document"))

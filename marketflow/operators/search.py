@@ -133,7 +133,11 @@ def wildcard(docs: DataFrame, field: str, content: str) -> DataFrame:
 def fuzzy(docs: DataFrame, field: str, value: str, edits: int | None = None) -> DataFrame:
     """Documents with a token near ``value``; the edits allowed grow with its length."""
     allowed = auto_edits(value) if edits is None else edits
-    return docs.where(F.exists(tokens(F.col(field)), lambda t: within_edits(t, value, allowed)))
+
+    def near(t: Column) -> Column:
+        return F.length(t).between(len(value) - allowed, len(value) + allowed) & within_edits(t, value, allowed)
+
+    return docs.where(F.exists(tokens(F.col(field)), near))
 
 
 def highlight(field: Column, terms: Sequence[str], pre: str = PRE_TAG, post: str = POST_TAG) -> Column:

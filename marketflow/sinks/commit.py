@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import HOUR_PATTERN, partition_time
-from .tables import BATCH, create_table
+from .tables import BATCH, create_table, gathered
 
 CALL_SIZE = 200
 MARK_THREADS = 16
@@ -25,7 +25,9 @@ class PartitionCommit:
     column: a repeated batch replaces its own files, and rows that come after
     the commit become visible with their batch.
 
-    Only partition values pass through the driver, as the catalog needs them.
+    Only the values of closing partitions pass through the driver, as the catalog
+    needs them. What is kept between batches is the list of open partitions and
+    the greatest event time, not the history.
     """
 
     def __init__(self, spark: SparkSession, table: str, schema: str, path: str, partitions: Sequence[str] = ("dt", "hr"),
@@ -34,47 +36,50 @@ class PartitionCommit:
         self.spark, self.table, self.path = spark, table, path
         self.partitions, self.pattern, self.shift = list(partitions), pattern, shift
         self.watermark, self.commit_delay, self.success_file = watermark, commit_delay, success_file
-        self.log = f"{path}/_partition_log"
+        self.names = [*self.partitions, BATCH]
         create_table(spark, table, schema, ", ".join([*(f"{p} string" for p in partitions), f"{BATCH} long"]), path=path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        columns = [c for c in self.spark.table(self.table).columns if c not in (*self.partitions, BATCH)]
+        columns = [c for c in self.spark.table(self.table).columns if c not in self.names]
         rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        rows.select(*columns, *self.partitions, BATCH).hint("rebalance", *(F.col(p) for p in self.partitions)).write.mode(
-            "overwrite"
-        ).option("partitionOverwriteMode", "dynamic").partitionBy(*self.partitions, BATCH).parquet(self.path)
-        staged = rows.groupBy(*self.partitions).agg(F.max("event_time").alias("max_event_time"))
-        staged.write.mode("overwrite").parquet(f"{self.log}/{BATCH}={batch_id}")
-        self.commit()
-
-    def _logged(self) -> DataFrame:
-        schema = ", ".join([*(f"{p} string" for p in self.partitions), "max_event_time timestamp", f"{BATCH} long"])
-        return self.spark.read.schema(schema).parquet(self.log)
-
-    def closed(self) -> DataFrame:
-        """Written partitions the watermark has passed."""
-        logged = self._logged()
-        reached = logged.agg((F.max("max_event_time") - F.expr(f"INTERVAL {self.watermark}")).alias("at")).scalar()
-        due: Column = partition_time({p: F.col(p) for p in self.partitions}, self.pattern, self.shift)
-        return logged.where(due + F.expr(f"INTERVAL {self.commit_delay}") <= reached).select(*self.partitions, BATCH).distinct()
-
-    def committed(self) -> DataFrame:
-        """Partitions readers see."""
-        listed = self.spark.sql(f"SHOW PARTITIONS {self.table}")
-        names = [*self.partitions, BATCH]
-        fields = F.split("partition", "/")
-        parts = [F.regexp_replace(F.get(fields, F.lit(i)), "^[^=]*=", "").alias(n) for i, n in enumerate(names)]
-        return listed.select(*parts).withColumn(BATCH, F.col(BATCH).cast("long"))
-
-    def commit(self) -> None:
-        names = [*self.partitions, BATCH]
-        due = self.closed().join(self.committed(), names, "left_anti").orderBy(*names)
-        ready = [row.asDict() for row in due.toLocalIterator()]
+        gathered(rows.select(*columns, *self.names), self.partitions).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*self.names).parquet(self.path)
+        known = rows.groupBy(*self.names).agg(F.max("event_time").alias("seen"))
+        if batch_id > 0:
+            known = known.unionByName(self._state(batch_id - 1))
+        known = known.persist()
+        try:
+            reached = known.agg((F.max("seen") - F.expr(f"INTERVAL {self.watermark}")).alias("at")).scalar()
+            due = self._due_time() + F.expr(f"INTERVAL {self.commit_delay}") <= reached
+            self._add([row.asDict() for row in known.where(due).select(*self.names).toLocalIterator()])
+            newest = known.agg(F.max("seen").alias("seen")).select(*(F.lit(None).alias(n) for n in self.names), "seen")
+            still_open = known.where(~F.coalesce(due, F.lit(True)))
+            still_open.unionAll(newest).write.mode("overwrite").parquet(self._slot(batch_id))
+        finally:
+            known.unpersist()
+
+    def _slot(self, batch_id: int) -> str:
+        """Two folders take turns, so a repeated batch finds the state before it unchanged."""
+        return f"{self.path}/_pending/slot={batch_id % 2}"
+
+    def _state(self, batch_id: int) -> DataFrame:
+        schema = ", ".join([*(f"{p} string" for p in self.partitions), f"{BATCH} long", "seen timestamp"])
+        return self.spark.read.schema(schema).parquet(self._slot(batch_id))
+
+    def pending(self, batch_id: int) -> DataFrame:
+        """Partitions written but not yet visible after a batch."""
+        return self._state(batch_id).where(F.col(BATCH).isNotNull()).select(*self.names)
+
+    def _due_time(self) -> Column:
+        return partition_time({p: F.col(p) for p in self.partitions}, self.pattern, self.shift)
+
+    def _add(self, ready: list[dict]) -> None:
         for at in range(0, len(ready), CALL_SIZE):
-            specs = [", ".join(f"{n}='{row[n]}'" for n in names) for row in ready[at : at + CALL_SIZE]]
+            specs = [", ".join(f"{n}='{row[n]}'" for n in self.names) for row in ready[at : at + CALL_SIZE]]
             self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({s})" for s in specs))
         if self.success_file:
-            self._mark(["/".join(f"{n}={row[n]}" for n in names) for row in ready])
+            self._mark(["/".join(f"{n}={row[n]}" for n in self.names) for row in ready])
 
     def _mark(self, folders: list[str]) -> None:
         """An empty ``_SUCCESS`` file in every committed partition, through the table's own file system."""

@@ -20,10 +20,13 @@ MESSAGE_COLUMNS = ("topic", "key", "value", "partition", "offset", "timestamp")
 
 
 def kafka_options(servers: str, topics: Sequence[str], start: str = "latest", max_offsets: int | None = None,
-                  **extra: str) -> dict[str, str]:
+                  min_partitions: int | None = None, **extra: str) -> dict[str, str]:
+    """Reader options. ``min_partitions`` splits large topic partitions over several tasks."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": start}
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return {**options, **extra}
 
 

@@ -6,8 +6,9 @@ serves a table of messages, a stream, and a micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,18 +104,16 @@ def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -
     return fan_out(branches, shared_parse(TOPICS[topic]), on_error)
 
 
-def _day(now: str | None) -> Callable[[DataFrame], str]:
-    def of(batch: DataFrame) -> str:
-        if now is not None:
-            return now[:10]
-        return batch.sparkSession.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd")).first()[0]
-
-    return of
+def _day(df: DataFrame, now: str | None) -> str:
+    """The day of processing, in the session's zone."""
+    if now is not None:
+        return now[:10]
+    return datetime.now(ZoneInfo(df.sparkSession.conf.get("spark.sql.session.timeZone"))).date().isoformat()
 
 
 def _table_sink(kind: RecordType, path: str, now: str | None) -> Sink:
     def write(parsed: DataFrame, batch_id: int) -> None:
-        rows = R.accepted(R.typed_rows(parsed, kind.row, now=now)).withColumn("batch_date", F.lit(_day(now)(parsed)))
+        rows = R.accepted(R.typed_rows(parsed, kind.row, now=now)).withColumn("batch_date", F.lit(_day(parsed, now)))
         rows.write.mode("overwrite").partitionBy("batch_date").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
@@ -123,7 +122,7 @@ def _table_sink(kind: RecordType, path: str, now: str | None) -> Sink:
 def _document_sink(kind: RecordType, path: str, now: str | None) -> Sink:
     def write(parsed: DataFrame, batch_id: int) -> None:
         documents = R.accepted(R.typed_rows(parsed, kind.document, now=now))
-        write_documents(documents, path, kind.name, _day(now)(parsed), batch_id)
+        write_documents(documents, path, kind.name, _day(parsed, now), batch_id)
 
     return write
 

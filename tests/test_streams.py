@@ -103,8 +103,11 @@ def test_partition_commit(spark):
     sink(clicks(spark, ("3", "2024-01-01 01:00:20")), 1)
     sink(clicks(spark, ("4", "2024-01-01 00:59:00")), 2)
     assert visible() == ["1", "4"]
-    sink(clicks(spark, ("5", "2024-01-01 02:00:20")), 3)
+    sink(clicks(spark), 3)
+    assert visible() == ["1", "4"]
+    sink(clicks(spark, ("5", "2024-01-01 02:00:20")), 4)
     assert visible() == ["1", "2", "3", "4"]
+    assert sorted((r.dt, r.hr, r.batch_id) for r in sink.pending(4).collect()) == [("2024-01-01", "02", 4)]
 
 
 def test_fan_out_isolates_sinks(spark, messages):
@@ -153,10 +156,10 @@ def test_quarantine(spark, messages):
     assert spark.read.text(f"{root}/d").count() == 1 and spark.read.text(f"{root}/q").count() == 2
 
 
-def test_console(spark, messages, capsys):
+def test_console(spark):
     topic = Topic(spark, lambda stream, root: runs.into_console(stream.select("value"), f"{root}/checkpoint"))
-    topic.send('{"shown":1}')
-    assert '{"shown":1}' in capsys.readouterr().out
+    progress = topic.send('{"shown":1}').recentProgress[0]
+    assert progress.numInputRows == 1 and "Console" in progress.sink.description
 
 
 def test_tables(spark):
