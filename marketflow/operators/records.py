@@ -51,7 +51,36 @@ def parsed_messages(messages: DataFrame, fields: tuple[Field, ...], require: str
 
 
 def having_key(parsed: DataFrame, key: str, value: str = "value") -> DataFrame:
-    return parsed.where(~J.well_formed(value) | J.has_key(key, value, parsed=F.col(f"`{key}`")))
+    return parsed.where(_passes(key, value))
+
+
+def _passes(key: str, value: str) -> Column:
+    return ~J.well_formed(value) | J.has_key(key, value, parsed=F.col(f"`{key}`"))
+
+
+def shared_messages(messages: DataFrame, fields: tuple[Field, ...], arrays: Iterable[str], require: str = SHOP_KEY,
+                    value: str = "value") -> DataFrame:
+    """One parse for a record and the arrays beside it.
+
+    ``has_key`` tells whether the message itself counts as a record; the arrays
+    count either way, and are NULL where the text is no object.
+    """
+    arrays = list(arrays)
+    parsed = parsed_messages(messages, fields, None, [], value, arrays)
+    told = parsed.withColumns({"has_key": _passes(require, value), **{a: J.elements(a, value) for a in arrays}})
+    return judged(told, fields, value)
+
+
+def judged(parsed: DataFrame, fields: tuple[Field, ...], value: str = "value") -> DataFrame:
+    """Parsed messages with their ``reject_reason``; the raw text is kept for rejects only.
+
+    Worth it before rows are held for several sinks: the text is most of their size.
+    """
+    reason = F.col(REASON)
+    others = [c for c in parsed.columns if c not in (value, J.CORRUPT)]
+    return parsed.withColumn(REASON, _reason(fields, value)).select(
+        *(F.col(f"`{c}`") for c in others), REASON, F.when(reason.isNotNull(), F.col(value)).alias(value)
+    )
 
 
 def typed_rows(parsed: DataFrame, fields: tuple[Field, ...], keep: Iterable[str] = (), value: str = "value",
@@ -60,7 +89,8 @@ def typed_rows(parsed: DataFrame, fields: tuple[Field, ...], keep: Iterable[str]
 
     Text that is no object, and a number field with other text in it, is a reason.
     """
-    return parsed.select(*keep, *(typed(f, now) for f in fields), _reason(fields, value).alias(REASON))
+    reason = F.col(REASON) if REASON in parsed.columns else _reason(fields, value).alias(REASON)
+    return parsed.select(*keep, *(typed(f, now) for f in fields), reason)
 
 
 def typed_records(messages: DataFrame, fields: tuple[Field, ...], require: str | None = SHOP_KEY, keep: Iterable[str] = (),

@@ -12,10 +12,11 @@ Sink = Callable[[DataFrame, int], None]
 
 
 class Branch(NamedTuple):
-    """Sinks that share one frame made from the batch."""
+    """Sinks that share one frame made from the batch; ``hold`` keeps it while they run."""
 
     frame: Callable[[DataFrame], DataFrame]
     sinks: Mapping[str, Sink]
+    hold: bool = True
 
 
 class SinkErrors(RuntimeError):
@@ -39,7 +40,9 @@ def fan_out(branches: list[Branch], shared: Callable[[DataFrame], DataFrame] = l
             if held.isEmpty():
                 return
             for branch in branches:
-                frame = branch.frame(held).persist(StorageLevel.MEMORY_AND_DISK)
+                frame = branch.frame(held)
+                if branch.hold:
+                    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
                 try:
                     for name, sink in branch.sinks.items():
                         try:
@@ -47,7 +50,8 @@ def fan_out(branches: list[Branch], shared: Callable[[DataFrame], DataFrame] = l
                         except Exception as error:
                             failures[name] = error
                 finally:
-                    frame.unpersist()
+                    if branch.hold:
+                        frame.unpersist()
         finally:
             held.unpersist()
         if on_error is not None:

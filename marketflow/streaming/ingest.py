@@ -49,12 +49,15 @@ class RecordType:
         elements = R.explode_property(messages, self.array) if self.array else R.explode_message(messages)
         return R.parsed_messages(elements, self._fields, require=None)
 
-    def parsed_from(self, shared: DataFrame) -> DataFrame:
-        """The same from messages that ``shared_parse`` has read."""
+    def frame(self, shared: DataFrame) -> DataFrame:
+        """The judged rows of this type from messages that ``shared_parse`` has read."""
         if self.array is None:
-            return R.having_key(shared, S.SHOP_KEY)
-        elements = R.explode_parsed(shared, self.array) if self.array else R.explode_message(shared)
-        return R.parsed_messages(elements, self._fields, require=None)
+            return shared.where("has_key")
+        if self.array:
+            elements = shared.select(F.explode(F.col(f"`{self.array}`")).alias("value"))
+        else:
+            elements = R.explode_message(shared)
+        return R.judged(R.parsed_messages(elements, self._fields, require=None), self._fields)
 
     def rows(self, messages: DataFrame, now: str | None = None) -> DataFrame:
         return R.accepted(R.typed_rows(self.parsed(messages), self.row, now=now))
@@ -84,7 +87,7 @@ def shared_parse(kinds: tuple[RecordType, ...]):
     arrays = [kind.array for kind in kinds if kind.array]
     if not fields and not arrays:
         return lambda messages: messages.select("value")
-    return lambda messages: R.parsed_messages(messages, fields, require=None, arrays=arrays)
+    return lambda messages: R.shared_messages(messages, fields, arrays)
 
 
 def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -> Sink:
@@ -100,7 +103,7 @@ def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -
             f"doc_{kind.name}": _document_sink(kind, f"{root}/documents", now),
             f"rejected_{kind.name}": _reject_sink(kind, f"{root}/rejected_{kind.name}"),
         }
-        branches.append(Branch(kind.parsed_from, sinks))
+        branches.append(Branch(kind.frame, sinks, hold=kind.array is not None))
     return fan_out(branches, shared_parse(TOPICS[topic]), on_error)
 
 
