@@ -29,8 +29,11 @@ def parse_objects(df: DataFrame, keys: Iterable[str], value: str = "value", keep
 
 
 def is_object(value: str = "value") -> Column:
-    """True where the parsed text was a JSON object (not blank, malformed, or an array)."""
-    return F.col(CORRUPT).isNull() & F.coalesce(F.length(F.trim(F.col(value))) > 0, F.lit(False))
+    """True where the parsed text was a JSON object (not blank, malformed, or an array).
+
+    One CASE and not a conjunction: the test on the raw text would be moved below the parse.
+    """
+    return F.when(F.col(CORRUPT).isNull(), F.coalesce(F.length(F.trim(F.col(value))) > 0, F.lit(False))).otherwise(False)
 
 
 def well_formed(value: str = "value") -> Column:
