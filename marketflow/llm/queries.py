@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import chunks, packing, tokens, toxicity, wavelet
+from marketflow.llm import chat, chunks, forest, maxent, mixing, packing, simhash, tokens, toxicity, urls, wavelet
 from marketflow.llm.common import prepare, remainder, table
 from marketflow.session import scratch
 
@@ -19,6 +19,14 @@ def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
 
 
+def op2_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; learns from those whose crc32 remainder by 10 is not 0."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"))
+    model, counts = maxent.train(docs.where("NOT held_out"))
+    return maxent.scored(docs, model, counts)
+
+
 def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, read back from wavelet matrices."""
     prepare(spark)
@@ -27,6 +35,33 @@ def op3_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(spark, path)
 
 
+def op4_temperature_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document once per pass of the mixture that has it."""
+    prepare(spark)
+    mixed = mixing.mixture(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "block", "pass", "place")
+
+
+def op5_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, read back from its examples."""
+    prepare(spark)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.examples(turns.unionByName(chat.probe(spark))))
+
+
+def op6_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector, over all vectors."""
+    prepare(spark)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return forest.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op7_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict of every page's url."""
+    prepare(spark)
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 2048 ids."""
     prepare(spark)
@@ -39,12 +74,66 @@ def op9_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_compression_toxicity, op3_wavelet_shards, op8_cost_packing, op9_chunk_recipes)}
+def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_compression_toxicity, op2_maxent_scores, op3_wavelet_shards, op4_temperature_mixture, op5_prefix_targets, op6_prefix_forest, op7_host_words,
+    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash)}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
-    "op9_chunk_recipes": """
-        WITH t AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s
-                   FROM documents),
+    "op9_chunk_recipes": f"""
+        WITH t AS (SELECT doc_id, {_LOWER} AS s FROM documents),
              g AS (SELECT s, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY s)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(s) AS text_sha256 FROM t JOIN g USING (s)""",
+    "op5_prefix_targets": """
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, turn, role, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS p(turn, role)),
+        n AS (
+            SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS turns,
+                   sum(length('<|im_start|>' || role || chr(10) || '<|im_end|>' || chr(10)) + length(text)
+                       + length(text) - length(replace(text, '\', '')) + (length(text) - length(replace(text, '<|', ''))) // 2) OVER w AS chars
+            FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(chars) FILTER (role = 'assistant' OR pos = turns)::BIGINT AS formatted_chars
+        FROM n GROUP BY conv_id""",
+    "op4_temperature_mixture": r"""
+        WITH RECURSIVE rows_ AS (
+            SELECT doc_id, source, coalesce('=' || source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens,
+                   ('0x' || substr(md5('7:' || doc_id), 1, 8))::BIGINT % 512 AS block FROM documents),
+        cells AS (SELECT s, block, sum(n_tokens)::BIGINT AS tokens FROM rows_ GROUP BY ALL),
+        totals AS (SELECT s, sum(tokens)::BIGINT AS tokens FROM cells GROUP BY s),
+        most AS (SELECT max(tokens)::DOUBLE AS most, count(*) FILTER (tokens > 0) AS sources FROM totals),
+        shares AS (SELECT s, tokens, tokens / most AS share FROM totals, most),
+        even(i, low, high) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT i + 1, CASE WHEN ok THEN middle ELSE low END, CASE WHEN ok THEN high ELSE middle END
+            FROM (SELECT i, low, high, (low + high) / 2 AS middle,
+                         (SELECT ln(sum(pow(share, (low + high) / 2))) - (low + high) / 2 * sum(pow(share, (low + high) / 2) * ln(share)) / sum(pow(share, (low + high) / 2))
+                          FROM shares WHERE tokens > 0) >= 0.9 * ln((SELECT sources FROM most)) AS ok FROM even WHERE i < 24)),
+        within(i, low, high) AS (
+            SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+            UNION ALL
+            SELECT i + 1, CASE WHEN ok THEN low ELSE middle END, CASE WHEN ok THEN middle ELSE high END
+            FROM (SELECT i, low, high, (low + high) / 2 AS middle,
+                         (SELECT max(pow(share, (low + high) / 2 - 1)) FROM shares WHERE tokens > 0) <= 2.0 AS ok FROM within WHERE i < 24)),
+        alpha AS (SELECT greatest((SELECT low FROM even WHERE i = 24), (SELECT high FROM within WHERE i = 24)) AS a),
+        powers AS (SELECT s, tokens, CASE WHEN tokens > 0 THEN pow(share, a) ELSE 0 END AS p FROM shares, alpha),
+        turns AS (SELECT s, tokens, p / (SELECT sum(p) FROM powers) AS weight, CASE WHEN tokens > 0 THEN round(p * most / tokens, 9) ELSE 1 END AS t FROM powers, most),
+        plan AS (SELECT s, weight, floor(t)::BIGINT AS full_, floor((t - floor(t)) * tokens)::BIGINT AS rest FROM turns),
+        taken AS (
+            SELECT s, block, weight, full_ + CASE WHEN sum(tokens) OVER (PARTITION BY s ORDER BY md5('7:' || (full_ + 1) || ':' || s || ':' || block), block ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS copies
+            FROM cells JOIN plan USING (s))
+        SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, block, pass, substr(md5('7:' || pass || ':' || s || ':' || block), 1, 8) AS place
+        FROM rows_ JOIN (SELECT s, block, weight, unnest(range(1, copies + 1)) AS pass FROM taken) USING (s, block)""",
 }
