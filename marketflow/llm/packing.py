@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare
-from marketflow.llm.tokens import Encoder, encoded
+from marketflow.llm.tokens import encoded, encoder
 
 LENGTH = 2048
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024  # cost of a piece of n ids: LINEAR * n + QUADRATIC * n * n
@@ -63,7 +63,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGT
     prepare(docs.sparkSession)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number, held = Encoder(tokenizer), 0, 0
+        number, held = 0, 0
         keys, texts = [], []
 
         def out() -> pa.RecordBatch:
@@ -82,7 +82,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGT
         for batch in batches:
             names = batch.column(0).to_pylist()
             part = batch.column(2)[0].as_py() if batch.num_rows else part
-            for first, ids, offsets in encoded(batch.column(1), encoder):
+            for first, ids, offsets in encoded(batch.column(1), encoder(tokenizer)):
                 for i in range(len(offsets) - 1):
                     keys.append(names[first + i])
                     texts.append(np.append(ids[offsets[i] : offsets[i + 1]], end_id).astype("<u4"))

@@ -7,6 +7,9 @@ the ids are those of the whole text. Texts with other white space, or with two i
 
 from __future__ import annotations
 
+from array import array
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -18,7 +21,7 @@ ODD = r"[ \n][ \n]|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    KEPT = 1_000_000  # pieces remembered by a worker
+    KEPT = 700_000  # pieces remembered by a worker
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -28,16 +31,15 @@ class Encoder:
 
     def _pieces(self, pieces: list[str]) -> list[bytes]:
         known = self.known
-        new = [p for p in pieces if p not in known]
-        if new:
-            if len(known) + len(new) > self.KEPT:
-                known.clear()
-                new = pieces
-            for start in range(0, len(new), 4096):
-                part = new[start : start + 4096]
-                for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    known[piece] = np.array(found.ids, "<u4").tobytes()
-        return [known[p] for p in pieces]
+        found = list(map(known.get, pieces))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if len(known) + len(new) > self.KEPT:
+            known.clear()
+        for start in range(0, len(new), 4096):
+            part = [pieces[i] for i in new[start : start + 4096]]
+            for i, piece, coded in zip(new[start : start + 4096], part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                found[i] = known[piece] = array("I", coded.ids).tobytes()
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin, with the end at last. Null is empty."""
@@ -54,9 +56,9 @@ class Encoder:
             whole = [f.ids for f in self.tokenizer.encode_batch_fast([texts[int(i)].as_py() for i in spots], add_special_tokens=False)]
             index = index.copy()
             index[np.asarray(lists.offsets)[spots]] = len(coded.dictionary) + np.arange(len(spots))
-            found = self._pieces(coded.dictionary.to_pylist()) + [np.array(ids, "<u4").tobytes() for ids in whole]
+            found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist()) + [np.array(ids, "<u4").tobytes() for ids in whole]
         else:
-            found = self._pieces(coded.dictionary.to_pylist())
+            found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<u4")
         counts = sizes[index]
@@ -65,14 +67,20 @@ class Encoder:
         return ids[take], ends[np.asarray(lists.offsets)]
 
 
-def encoded(texts: pa.Array, encoder: Encoder, most: int = 4 << 20):
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: its pieces stay known from one task to the next."""
+    return Encoder(path)
+
+
+def encoded(texts: pa.Array, with_: Encoder, most: int = 4 << 20):
     """Slices of ``texts`` of at most ``most`` bytes (one text at least) as (first, ids, offsets)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     start = 0
     while start < len(sizes):
         total = np.cumsum(sizes[start : start + 4096])
         count = max(1, int(np.searchsorted(total, most, "right")))
-        yield start, *encoder.encode(texts.slice(start, count))
+        yield start, *with_.encode(texts.slice(start, count))
         start += count
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare, shuffle_parts
-from marketflow.llm.tokens import Encoder, encoded
+from marketflow.llm.tokens import encoded, encoder
 
 MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sBxxxQQ")  # mark, planes, ids, documents
@@ -29,12 +29,12 @@ SHARD_IDS = 1 << 20
 
 def build(ids: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray, ends: np.ndarray) -> bytes:
     """The file of a shard. ``ends`` is where each document's ids end; ``has_id`` is 0 for a null id."""
-    values = ids.astype(np.uint32)
-    planes = max(1, int(values.max(initial=0)).bit_length())
+    planes = max(1, int(ids.max(initial=0)).bit_length())
+    values = ids.astype(np.uint16 if planes <= 16 else np.uint32)
     parts = [HEAD.pack(MAGIC, planes, len(values), len(doc_ids)), doc_ids.astype("<i8").tobytes(), ends.astype("<i8").tobytes(),
              has_id.astype("u1").tobytes()]
     for shift in range(planes - 1, -1, -1):
-        bits = ((values >> np.uint32(shift)) & 1).astype(bool)
+        bits = (values & values.dtype.type(1 << shift)) != 0
         packed = np.packbits(bits, bitorder="little")
         ones = np.add.reduceat(np.bitwise_count(packed).astype(np.int64), np.arange(0, len(packed), BLOCK)) if len(packed) else []
         rank = np.concatenate([[0], np.cumsum(ones)]).astype("<u4")
@@ -119,12 +119,15 @@ class Shard:
 
     def ids(self) -> np.ndarray:
         """All ids: the partitions undone from the lowest plane up."""
-        values = np.zeros(self.n, np.uint32)
+        values = np.zeros(self.n, np.uint16 if self.planes <= 16 else np.uint32)
         for plane in range(self.planes - 1, -1, -1):
             bits = np.unpackbits(self.bits[plane], count=self.n, bitorder="little").astype(bool)
-            above = np.empty_like(values)
-            above[~bits], above[bits] = values[: self.zeros[plane]], values[self.zeros[plane] :]
-            values = above | bits.astype(np.uint32) << np.uint32(self.planes - 1 - plane)
+            above, zeros = np.empty_like(values), self.zeros[plane]
+            if zeros:
+                np.place(above, ~bits, values[:zeros])
+            if zeros < self.n:
+                np.place(above, bits, values[zeros:] | values.dtype.type(1 << (self.planes - 1 - plane)))
+            values = above
         return values
 
 
@@ -137,7 +140,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, sh
     spark = prepare(docs.sparkSession)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, number = Encoder(tokenizer), 0
+        number = 0
         names, kinds, ids, ends, held = [], [], [], [], 0
 
         def out() -> pa.RecordBatch:
@@ -149,7 +152,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, sh
         for batch in batches:
             keys, order = batch.column(0).to_pylist(), batch.column(2)
             part = order[0].as_py() if len(order) else part
-            for start, found, offsets in encoded(batch.column(1), encoder):
+            for start, found, offsets in encoded(batch.column(1), encoder(tokenizer)):
                 for i in range(len(offsets) - 1):
                     size = int(offsets[i + 1] - offsets[i]) + 1
                     if held and held + size > shard_ids:
