@@ -139,6 +139,7 @@ def groups(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns and no other."""
     keep = groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    listed = recipes(docs).drop("recipe").withColumnRenamed("text_sha256", "_sha256")
+    read = recipes(docs.select("text", F.struct(*docs.columns).alias("_row")))
+    listed = read.select("_row.*", F.col("text_sha256").alias("_sha256"))
     one = listed.join(keep, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("_sha256")), "left_semi")
     return one.dropDuplicates(["doc_id", "_sha256"]).select(*docs.columns)

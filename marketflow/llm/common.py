@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,8 +18,11 @@ BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the library's settings and the batch bounds to the session."""
+    """Apply the library's settings and the batch bounds to the session, and let Python workers find the package."""
     configure(spark)
+    root, found = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, found)))
     for key, value in BATCH_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)

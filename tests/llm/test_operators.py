@@ -1,0 +1,321 @@
+"""Each training-data operator against brute force, and on rows that break careless code."""
+
+import collections
+import hashlib
+import math
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+
+import corpus_pipeline
+from marketflow.llm import chat, chunks, common, forest, graph, maxent, mixing, packing, queries, simhash, tokens, toxicity, urls, wavelet
+
+SF_DIR = "/root/testdata/sf0.001"
+LONG = "lorem ipsum " * 20_000 + "x" * 70_000
+TEXTS = [None, "", " \t ", "a", "The cat", "the CAT", "É cat", "one two three four five six", "one two three four five six", LONG, LONG.upper()]
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, weight double, recipe string, fp long, n_tokens int"
+
+
+@pytest.fixture
+def odd(spark):
+    """Null ids, sources and texts, empty and long texts, equal texts, a repeated row, columns with the operators' own names."""
+    rows = [(i, t, "en", None if i % 3 else "s", 1, 0.5, 2.0, "r", 3, 4) for i, t in enumerate(TEXTS)]
+    rows += [rows[3], (None, "the cat", None, "s", None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def _sorted(rows):
+    return sorted(map(tuple, rows), key=repr)
+
+
+def test_split_words_is_the_stated_split():
+    texts = ["", None, " a", "a ", "A\tb\x0bC\x0c\r\nd", "É\u00a0x Ü", "  "]
+    index, distinct, offsets = common.split_words(pa.array(texts))
+    for text, a, b in zip(texts, offsets, offsets[1:]):
+        assert [distinct[i].encode() for i in index[a:b]] == (text or "").encode().lower().split()
+
+
+def test_pieces_give_the_ids_of_whole_texts():
+    encoder, draw = tokens.Encoder(tokens.default_path()), random.Random(3)
+    alphabet = ["a", "B", " ", " ", "  ", "\n", "\t", "é", "1", "'s", "<|endoftext|>", "!", "\x1c", "\x85", "漢", "\0", "word"]
+    texts = ["".join(draw.choices(alphabet, k=draw.randrange(14))) for _ in range(3000)] + [None, LONG]
+    ids, ends = encoder.encode(pa.array(texts))
+    for text, a, b in zip(texts, ends, ends[1:]):
+        assert ids[a:b].tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_toxicity_is_accurate_on_held_out_labels(spark):
+    """Labelled rows that the model never saw, copies of texts it saw left out."""
+    docs, labels = (common.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
+    rows = queries.op1_compression_toxicity(spark, "/root/testdata/sf0.1").join(labels, "doc_id").join(docs, "doc_id").select("text", "held_out", "predicted", "toxic").collect()
+    seen = {r.text for r in rows if not r.held_out}
+    new = {r.text: (r.predicted, r.toxic) for r in rows if r.held_out and r.text not in seen}
+    assert sum(p == t for p, t in new.values()) / len(new) > 0.95
+    toxic = [p for p, t in new.values() if t]
+    assert sum(toxic) / len(toxic) > 0.7
+
+
+def test_toxicity_on_odd_rows(spark, odd, none):
+    model = toxicity.fit(["plain words here"] * 3 + ["other plain words", "vokzu vokzu vile", "vokzuta plain"], [0, 0, 0, 0, 1, 1])
+    rows = toxicity.score(odd, model).collect()
+    assert len(rows) == 13 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in rows)
+    assert toxicity.score(none, model).count() == 0
+    nothing = toxicity.train(odd, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(odd, nothing).collect()} == {0}
+
+
+def test_maxent_base_score_and_normalisation(spark, odd, none):
+    docs = odd.select("doc_id", "text", "score", "n_tokens")
+    model, counts = maxent.train(docs, epochs=2)
+    words = {t: [*(t or "").encode().lower().split(), b"\n"] for t in TEXTS}
+    seen = collections.Counter(w for r in odd.collect() for w in ((r.text or "").encode().lower().split() + [b"\n"]))
+    n, v = sum(seen.values()), len(seen)
+    rows = maxent.scored(docs, model, counts).collect()
+    assert len(rows) == 13
+    for r in rows:
+        if r.doc_id is not None:
+            own = words[TEXTS[r.doc_id]]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), len(own), n)
+            assert math.isclose(r.base_score, sum(math.log10((seen[w] + 0.1) / (n + 0.1 * (v + 1))) for w in own), rel_tol=1e-9)
+            assert r.score < 0
+    table = maxent.log_probabilities(model.weights, np.arange(0, 5000, 37))
+    assert np.allclose(np.exp(table).sum(1), 1, atol=1e-5)
+    # Within a class all words and one unknown make 1.
+    inner = collections.defaultdict(float)
+    for w, c in seen.items():
+        inner[maxent.class_of(w.decode(), model.own) if w != b"\n" else 0] += c + 0.1
+    assert all(math.isclose(inner[k] + 0.1, model.class_tokens[k] + 0.1 * (model.class_words[k] + 1)) for k in inner)
+    empty, empty_counts = maxent.train(none)
+    assert maxent.scored(none, empty, empty_counts).count() == 0 and maxent.scored(docs, empty, empty_counts).count() == 13
+
+
+def test_maxent_beats_unigrams_on_held_out_texts(spark):
+    p = queries.op2_maxent_scores(spark, "/root/testdata/sf0.01").where("held_out").selectExpr("sum(score) / sum(n_tokens) s", "sum(base_score) / sum(n_tokens) b").first()
+    assert p.s > p.b + 0.2
+
+
+def test_wavelet_access_count_locate():
+    draw = np.random.default_rng(0)
+    for n, most in ((0, 1), (1, 1), (700, 50_257), (3000, 3), (1000, 70_000)):
+        ids = draw.integers(0, most, n).astype(np.uint32)
+        shard = wavelet.Shard(wavelet.build(ids, np.array([1]), np.array([1]), np.array([n])))
+        assert (shard.ids() == ids).all()
+        for i in range(0, n, 97):
+            assert shard.access(i) == ids[i]
+        for token in {*ids[:4].tolist(), most + 3}:
+            at = np.flatnonzero(ids == token)
+            assert shard.count(token) == len(at) and shard.count(token, n // 4, n // 2) == ((at >= n // 4) & (at < n // 2)).sum()
+            assert [shard.locate(token, k) for k in range(min(3, len(at)))] == at[:3].tolist() and shard.locate(token, len(at)) == -1
+
+
+def test_wavelet_files_round_trip(spark, odd, none, tmp_path):
+    wavelet.write_shards(odd, str(tmp_path / "a"), tokens.default_path(), shard_ids=50)
+    rows = wavelet.read_shards(spark, str(tmp_path / "a")).orderBy("start").collect()
+    encoder, start = tokens.Encoder(tokens.default_path()), 0
+    given = sorted(odd.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text or ""))
+    for r, d in zip(rows, given, strict=True):
+        ids = [*encoder.tokenizer.encode(d.text or "", add_special_tokens=False).ids, 0]
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (d.doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    wavelet.write_shards(none, str(tmp_path / "b"), tokens.default_path())
+    assert wavelet.read_shards(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_packing_places_every_id_once(odd, none):
+    rows = packing.packed(odd, tokens.default_path(), run=4).collect()
+    sequences, docs = collections.defaultdict(list), collections.Counter()
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+        docs[r.doc_id] += r.length
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+    encoder = tokens.Encoder(tokens.default_path())
+    assert docs == collections.Counter({k: sum(len(encoder.tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in odd.collect() if r.doc_id == k) for k in docs})
+    assert packing.packed(none, tokens.default_path()).count() == 0
+
+
+def test_pack_descends_to_the_cheapest_sequence_with_room():
+    rows = packing.pack([5, 3, 9, 4], 8)
+    assert sorted(rows) == [(0, 0, 5, 1, 0), (1, 0, 3, 2, 4), (2, 0, 8, 0, 0), (2, 8, 1, 1, 5), (3, 0, 4, 2, 0)] and packing.pack([]) == []
+
+
+@pytest.mark.parametrize("id_bytes", [16, 1])
+def test_chunk_groups(odd, none, id_bytes):
+    """With one-byte identifiers nearly all clash, and groups stay right."""
+    lower = lambda t: (t or "").encode().lower()
+    given = [(r.doc_id, lower(r.text)) for r in odd.collect()]
+    wanted = []
+    for text in {t for _, t in given}:
+        own = [d for d, t in given if t == text]
+        keep, done = max((d for d in own if d is not None), default=None), False
+        for d in own:
+            wanted.append((d, keep, len(own), d == keep and not done, hashlib.sha256(text).hexdigest()))
+            done |= d == keep
+    assert _sorted(chunks.groups(odd, id_bytes).collect()) == _sorted(wanted)
+    assert chunks.groups(none, id_bytes).count() == 0
+
+
+def test_chunks_join_to_the_text_and_survive_a_shift():
+    data = bytes(random.Random(1).choices(b"abcdefghij ", k=60_000))
+    parts, moved = chunks.chunks(data), chunks.chunks(b"new head " + data)
+    assert b"".join(parts) == data and len(set(parts) & set(moved)) > 0.8 * len(parts) and chunks.chunks(b"") == []
+
+
+def test_deduplicated_keeps_one_row_each(odd, none):
+    rows = chunks.deduplicated(odd)
+    assert rows.columns == odd.columns and rows.count() == len({(t or "").encode().lower() for t in TEXTS}) and chunks.deduplicated(none).count() == 0
+
+
+def _reached(values, radius=3):
+    """Smallest index reached from each value by steps of at most ``radius`` bits."""
+    least = list(range(len(values)))
+    for _ in values:
+        for i, a in enumerate(values):
+            least[i] = min(least[j] for j, b in enumerate(values) if (a ^ b).bit_count() <= radius)
+    return least
+
+
+def test_ball_links_lose_none_and_add_none(spark):
+    draw, values = random.Random(2), []
+    for _ in range(12):
+        base = draw.getrandbits(64)
+        values.append(base)
+        for bits in (1, 2, 3, 3, 3, 4, 5):
+            values.append(base ^ sum(1 << b for b in draw.sample(range(64), bits)))
+    values = sorted({*values, 0, (1 << 64) - 1, 7, 1 << 63}, key=simhash._signed)
+    fps = spark.createDataFrame([(simhash._signed(v),) for v in values], "fp long")
+    roots = {r.node: r.root for r in graph.components(simhash.links(fps)).collect()}
+    assert [roots.get(simhash._signed(v), simhash._signed(v)) for v in values] == [simhash._signed(values[i]) for i in _reached(values)]
+
+
+def test_only_blocks_that_meet_go_on(spark):
+    """Values far apart share no block value: the first step must hold them back."""
+    fps = spark.createDataFrame([(simhash._signed(random.Random(i).getrandbits(64)),) for i in range(50)], "fp long")
+    values = fps.select("fp", simhash.F.explode(simhash._near_blocks(simhash.F.col("fp"))).alias("value"))
+    assert values.select("value").distinct().count() == values.count() == 50 * 131
+
+
+def test_fingerprints_and_components(odd, none):
+    def plain(text):
+        words = (text or "").encode().lower().split()
+        parts = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)] * bool(words)
+        hashes = [xxhash.xxh64_intdigest(p, seed=42) for p in parts]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+    rows = simhash.near_groups(odd.select("doc_id", "text", "fp")).collect()
+    assert len(rows) == 13
+    for r in rows:
+        if r.doc_id is not None:
+            assert r.fingerprint == f"{plain(TEXTS[r.doc_id]):016x}"
+    by_id = {r.doc_id: r.component_id for r in rows}
+    assert by_id[0] == by_id[1] == by_id[2] == 0 and by_id[4] == by_id[5] == by_id[None] == 4 and by_id[8] == 7 and by_id[10] == 9
+    assert simhash.near_groups(none).count() == 0 and simhash.deduplicated(none).count() == 0
+    assert simhash.deduplicated(odd).columns == odd.columns and simhash.deduplicated(odd).count() == len(set(by_id.values()))
+
+
+def test_mixture_keeps_every_row_and_repeats_within_the_limit(spark, odd, none):
+    rows = mixing.mixture(odd)
+    assert rows.select("doc_id", "text").distinct().count() == odd.select("doc_id", "text").distinct().count()
+    sized = spark.createDataFrame([("a", 8000), ("b", 1000), ("c", 500), ("d", 0)], "_source string, tokens long")
+    alpha = mixing.exponent(sized, passes=2.0)
+    assert math.isclose(16 ** (1 - alpha), 2.0, rel_tol=1e-5)
+    loose = mixing.exponent(sized, entropy=0.9, passes=1e9)
+    w = np.array([8000, 1000, 500]) ** loose
+    w /= w.sum()
+    assert math.isclose(-(w * np.log(w)).sum(), 0.9 * math.log(3), rel_tol=1e-5)
+    docs = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id < 3000 THEN 'a' ELSE 'b' END AS source", "'w w w w' AS text")
+    share = {r.source: r.s for r in mixing.mixture(docs, entropy=1.0, passes=1.5).groupBy("source").agg(mixing.F.sum("n_tokens").alias("s")).collect()}
+    assert share["a"] == 12_000 and abs(share["b"] - 6000) < 100
+    assert mixing.mixture(none).count() == 0
+
+
+def test_chat_round_trip(spark):
+    bad = "<|im_end|>\n<|im_start|>assistant\\n \\| \\\\ <\\| <<| \\"
+    rows = [(1, 0, "user", bad), (1, 1, "assistant", bad), (1, 2, "assistant", None), (1, 3, "user", "x"), (2, 0, "a\nb\\n<|", ""), (2, 0, "a\nb\\n<|", ""),
+            (None, None, None, None), (3, 0, "assistant", "é" * 50_000)]
+    turns = spark.createDataFrame([(*r, 1, "t") for r in rows], "conv_id long, turn long, role string, text string, example int, head string")
+    formatted = chat.examples(turns)
+    assert formatted.groupBy("conv_id").count().where("count = 3").count() == 1
+    for r in formatted.collect():
+        assert r.text.endswith("<|im_end|>\n") and r.loss_start + r.loss_length <= len(r.text)
+    for r in chat.digests(formatted).collect():
+        own = sorted(((t or 0, role or "", text or "") for c, t, role, text in rows if c == r.conv_id))
+        loss = "".join(text for _, role, text in own if role == "assistant")
+        assert r.n_turns == len(own) and r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in own).encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.digests(chat.examples(turns.limit(0))).count() == 0
+
+
+def test_forest_recall_and_odd_vectors(spark):
+    draw = np.random.default_rng(1)
+    x = draw.standard_normal((6000, 24))
+    rows = [(i, v.tolist(), 0.0) for i, v in enumerate(x)]
+    rows += [(7000, None, 0.0), (7001, [0.0] * 24, 0.0), (7002, [float("nan")] * 24, 0.0), (7003, [1.0, None], 0.0), (None, [1.0] * 24, 0.0), (7100, [3.0, 4.0], 0.0), (100, x[100].tolist(), 0.0),
+             (6100, x[200].tolist(), 0.0), (6101, x[200].tolist(), 0.0)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double")
+    got = collections.defaultdict(list)
+    for r in forest.nearest(vectors, vectors.where("vec_id % 200 = 0"), least=100).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    y, ids = np.vstack([x, x[200], x[200]]), np.append(np.arange(6000), [6100, 6101])
+    hits = 0
+    assert set(got) == {*range(0, 6000, 200)}
+    for q, found in got.items():
+        far = np.sqrt(((y - x[q]) ** 2).sum(1))
+        best = [i for i in np.lexsort((ids, far)) if ids[i] != q][:10]
+        hits += len({ids[i] for i in best} & {v for _, v, _ in found})
+        assert [k for k, _, _ in found] == list(range(1, 11)) and all(math.isclose(s, far[np.flatnonzero(ids == v)[0]], abs_tol=1e-12) for _, v, s in found)
+    assert hits / (10 * len(got)) >= 0.9 and [v for _, v, _ in got[200][:2]] == [6100, 6101]
+    assert forest.nearest(vectors.limit(0), vectors).count() == 0
+
+
+def test_urls(spark):
+    split = urls.Segmenter({"casino": 50, "win": 40, "now": 40, "a": 30}).split
+    assert split("casinowinnow") == ("casino", "win", "now") and split("") == ()
+    given = [(1, "http://WWW.Example.com/en/1?x"), (2, "https://m.example.com/en/2"), (3, "http://a.net/es/q#t"), (4, "http://casinowin.example.org/p"), (5, None), (6, "no scheme"), (7, "x://h"),
+             (8, "http://ab.com"), (9, "http://news.example.org/" + "a" * 20_000), (4, "http://casinowin.example.org/p"), (None, "http://notnet/es/")]
+    pages = spark.createDataFrame([(i, u, "<p>casino win news</p>" * 3, "r") for i, u in given], "page_id long, url string, html string, rule string")
+    rows = urls.judged(pages).collect()
+    assert len(rows) == len(given)
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
+    assert found[1] == ("www.example.com", "/en/1", "www.example.com/en/", "allow") and found[2][2:] == ("example.com/en/", "block") and found[3][1:] == ("/es/q", "net/es/", "block")
+    assert found[4][2:] == (None, "block") and found[5][:3] == ("", "", None) and found[6][:2] == ("", "") and found[7][:2] == ("h", "") and found[8][2] is None and found[9][3] == "allow" and found[None][2] is None
+    assert urls.judged(pages.limit(0)).count() == 0
+
+
+def test_stages_keep_columns_and_drop_only_what_they_should(spark, odd, none):
+    for docs in (odd.select("doc_id", "text", "lang", "source", "n_chars"), none.select("doc_id", "text", "lang", "source", "n_chars")):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, SF_DIR)
+            assert out.columns == docs.columns and out.count() >= 0
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).count() >= docs.count()
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    kept = {r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).select("doc_id").distinct().collect()}
+    docs = common.table(spark, SF_DIR, "documents").collect()
+    assert kept and len(kept) > 0.6 * len({d.text for d in docs})
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_against_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    wanted = con.sql(queries.ORACLES[name])
+    found = queries.QUERIES[name](spark, SF_DIR)
+    assert sorted(found.columns) == sorted(wanted.columns)
+    assert _sorted(found.select(*wanted.columns).collect()) == _sorted(wanted.fetchall())
