@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare, stored
@@ -79,7 +79,7 @@ def _near_blocks(fp: Column) -> Column:
         block = sum(_flips(low, high))
         flips = [0] + [f for f in _flips() if not f & block]
         base = fp.bitwiseAND(F.lit(_signed(~block & (1 << 64) - 1)).cast("long")).bitwiseXOR(F.lit(_signed((number + 1) << low)).cast("long"))
-        parts.append(F.transform(_longs(flips), lambda f, base=base: base.bitwiseXOR(f)))
+        parts.append(F.transform(_longs(flips), base.bitwiseXOR))
     return F.concat(*parts)
 
 
@@ -90,15 +90,14 @@ def _two_flips() -> list[int]:
 
 def links(fps: DataFrame) -> DataFrame:
     """Links (u, v) whose components are those of all pairs of distinct ``fp`` within 3 bits."""
-    met = fps.select("fp", F.explode(_near_blocks(F.col("fp"))).alias("value"))
-    shared = met.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("value")
-    close = stored(met.join(shared, "value", "left_semi").select("fp").distinct(), "close")
+    same = Window.partitionBy("value")  # one shuffle of the values; a window's rows spill, they are never held in memory
+    met = fps.select("fp", F.explode(_near_blocks(F.col("fp"))).alias("value")).withColumn("_n", F.count(F.lit(1)).over(same))
+    close = stored(met.where("_n > 1").select("fp").distinct(), "close")
     near = F.transform(_longs([0, *_flips()]), lambda f: F.struct(F.col("fp").bitwiseXOR(f).alias("value"), F.lit(True).alias("near")))
     far = F.transform(_longs(_two_flips()), lambda f: F.struct(F.col("fp").bitwiseXOR(f).alias("value"), F.lit(False).alias("near")))
     balls = close.select("fp", F.inline(near)).unionAll(close.where(F.bit_count("fp") % 2 == 0).select("fp", F.inline(far)))
-    hubs = (balls.groupBy("value").agg(F.count(F.lit(1)).alias("_n"), F.max("near").alias("_near"), F.min("fp").alias("v"))
-            .where("_n > 1 AND _near").select("value", "v"))
-    return balls.join(hubs, "value").select(F.col("fp").alias("u"), "v").where("u != v").distinct()
+    hubs = balls.withColumns({"_n": F.count(F.lit(1)).over(same), "_near": F.max("near").over(same), "v": F.min("fp").over(same)})
+    return hubs.where("_n > 1 AND _near AND fp != v").select(F.col("fp").alias("u"), "v").distinct()
 
 
 def near_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
