@@ -10,7 +10,8 @@ import pytest
 import __spark_entry__ as registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES = {name: query for area in registry.AREAS for name, query in area.QUERIES.items()}
+ORACLES = {name: registry.oracle_sql()[name] for name in QUERIES if name in registry.oracle_sql()}
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE"}
 
 
