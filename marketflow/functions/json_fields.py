@@ -47,6 +47,12 @@ def elements(key: str, value: str = "value") -> Column:
     return F.when(F.col(CORRUPT).isNull(), F.col(f"`{key}`")).when(F.json_object_keys(F.col(value)).isNotNull(), again)
 
 
+def bad_array(key: str, value: str = "value") -> Column:
+    """True where a parsed object carries something under ``key`` that yields no array: a cut text, a number, an object."""
+    given = F.json_object_keys(F.col(value)).isNotNull() & F.get_json_object(F.col(value), f"$.{key}").isNotNull()
+    return F.when(F.col(CORRUPT).isNull(), False).otherwise(F.coalesce(given & elements(key, value).isNull(), F.lit(False)))
+
+
 def has_key(key: str, value: str = "value", parsed: Column | None = None) -> Column:
     """True where the object carries ``key``, also when its value is null.
 

@@ -12,7 +12,7 @@ from ..functions.ids import stable_id
 from ..functions.json_fields import is_object, parse_objects
 from ..schemas import BEHAVIOR, TOP_SHOP_COLUMNS, columns
 from .ranking import top_per_group
-from .records import typed
+from .records import REASON, accepted, rejected, typed
 
 BEHAVIOR_COLUMNS = [*columns(BEHAVIOR), "dt", "hr", "mm"]
 WINDOW_SIZE = "2 minutes"
@@ -24,13 +24,23 @@ def behaviors(messages: DataFrame, shift: int = 0) -> DataFrame:
     """Typed clicks of a topic with ``dt``, ``hr``, ``mm``, ``action_num`` 1 and ``event_time``.
 
     ``partition`` and ``offset`` are kept as the order of arrival. Messages that are
-    no object or have no readable time are left out.
+    no object or have no readable time are not among them: see ``rejected_behaviors``.
     """
+    return accepted(judged_behaviors(messages, shift)).drop("value")
+
+
+def rejected_behaviors(messages: DataFrame) -> DataFrame:
+    """The messages that give no click, with the reason."""
+    return rejected(judged_behaviors(messages)).select("value", "partition", "offset", REASON)
+
+
+def judged_behaviors(messages: DataFrame, shift: int = 0) -> DataFrame:
+    """Every message as a click, with its text and a ``reject_reason`` where it is none."""
     keys = [f.key for f in BEHAVIOR]
     parsed = parse_objects(messages, keys, keep=["value", "partition", "offset"])
-    rows = parsed.where(is_object()).select(*(typed(f) for f in BEHAVIOR), "partition", "offset")
     created = F.col("_created")
-    timed = rows.withColumn("_created", times.parse_time(F.col("create_time"))).where(created.isNotNull())
+    rows = parsed.withColumn("_object", is_object()).select(*(typed(f) for f in BEHAVIOR), "partition", "offset", "value", "_object")
+    timed = rows.withColumn("_created", times.parse_time(F.col("create_time")))
     return timed.select(
         *columns(BEHAVIOR),
         *(F.date_format(created, fmt).alias(name) for name, fmt in times.PART_FORMATS.items()),
@@ -38,6 +48,8 @@ def behaviors(messages: DataFrame, shift: int = 0) -> DataFrame:
         (times.shift_hours(created, shift) if shift else created).alias("event_time"),
         "partition",
         "offset",
+        "value",
+        F.when(~F.col("_object"), F.lit("not_an_object")).when(created.isNull(), F.lit("bad_time")).alias(REASON),
     )
 
 

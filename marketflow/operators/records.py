@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from ..functions.times import now_text
 from ..schemas import SHOP_KEY, Field
 
 REASON = "reject_reason"
+NOT_AN_ARRAY = "not_an_array"
 
 
 def typed(field: Field, now: str | None = None) -> Column:
@@ -58,39 +59,58 @@ def _passes(key: str, value: str) -> Column:
     return ~J.well_formed(value) | J.has_key(key, value, parsed=F.col(f"`{key}`"))
 
 
-def shared_messages(messages: DataFrame, fields: tuple[Field, ...], arrays: Iterable[str], require: str = SHOP_KEY,
-                    value: str = "value") -> DataFrame:
-    """One parse for a record and the arrays beside it.
+def reason_of(output: str) -> str:
+    """The column with an output's own reason: what one output cannot store another may."""
+    return f"{REASON}_{output}"
+
+
+def bad_array_of(key: str) -> str:
+    """The column that tells whether the array under ``key`` could not be read."""
+    return f"bad_array_{key}"
+
+
+def shared_messages(messages: DataFrame, outputs: Mapping[str, tuple[Field, ...]], arrays: Iterable[str],
+                    require: str = SHOP_KEY, value: str = "value") -> DataFrame:
+    """One parse for a record, in each of its ``outputs``, and the arrays beside it.
 
     ``has_key`` tells whether the message itself counts as a record; the arrays
     count either way, and are NULL where the text is no object.
     """
     arrays = list(arrays)
+    fields = tuple(f for output in outputs.values() for f in output)
     parsed = parsed_messages(messages, fields, None, [], value, arrays)
-    told = parsed.withColumns({"has_key": _passes(require, value), **{a: J.elements(a, value) for a in arrays}})
-    return judged(told, fields, value)
+    told = parsed.withColumns({
+        **({"has_key": _passes(require, value)} if outputs else {}),
+        **{bad_array_of(a): J.bad_array(a, value) for a in arrays},
+        **{a: J.elements(a, value) for a in arrays},
+    })
+    return judged(told, outputs, value, [bad_array_of(a) for a in arrays])
 
 
-def judged(parsed: DataFrame, fields: tuple[Field, ...], value: str = "value") -> DataFrame:
-    """Parsed messages with their ``reject_reason``; the raw text is kept for rejects only.
+def judged(parsed: DataFrame, outputs: Mapping[str, tuple[Field, ...]], value: str = "value", faults: Iterable[str] = ()) -> DataFrame:
+    """Parsed messages with a reason per output; the raw text is kept for rejects only.
 
-    Worth it before rows are held for several sinks: the text is most of their size.
+    ``faults`` are flags that also make a reject. Worth it before rows are held
+    for several sinks: the text is most of their size.
     """
-    reason = F.col(REASON)
+    reasons = {reason_of(name): _reason(fields, value) for name, fields in outputs.items()}
     others = [c for c in parsed.columns if c not in (value, J.CORRUPT)]
-    return parsed.withColumn(REASON, _reason(fields, value)).select(
-        *(F.col(f"`{c}`") for c in others), REASON, F.when(reason.isNotNull(), F.col(value)).alias(value)
-    )
+    told = parsed.withColumns(reasons)
+    bad = F.lit(False)
+    for test in (*(F.col(r).isNotNull() for r in reasons), *(F.col(f"`{f}`") for f in faults)):
+        bad = bad | test
+    return told.select(*(F.col(f"`{c}`") for c in others), *reasons, F.when(bad, F.col(value)).alias(value))
 
 
 def typed_rows(parsed: DataFrame, fields: tuple[Field, ...], keep: Iterable[str] = (), value: str = "value",
-               now: str | None = None) -> DataFrame:
+               now: str | None = None, output: str | None = None) -> DataFrame:
     """Typed columns of parsed messages, with a ``reject_reason`` (NULL for good rows).
 
     Text that is no object, and a number field with other text in it, is a reason.
+    ``output`` names the judgement of messages that ``judged`` has seen.
     """
-    reason = F.col(REASON) if REASON in parsed.columns else _reason(fields, value).alias(REASON)
-    return parsed.select(*keep, *(typed(f, now) for f in fields), reason)
+    reason = F.col(reason_of(output)) if output else _reason(fields, value)
+    return parsed.select(*keep, *(typed(f, now) for f in fields), reason.alias(REASON))
 
 
 def typed_records(messages: DataFrame, fields: tuple[Field, ...], require: str | None = SHOP_KEY, keep: Iterable[str] = (),

@@ -107,6 +107,14 @@ BY_NAME_SQL = f"""
   WHERE row_num <= 10"""
 
 
+def reject_clicks(spark, sf_dir):
+    """Every message of a click topic with bad ones among them: the reason of those that give no click."""
+    messages = X.spoilt_behavior_messages(_events(spark, sf_dir))
+    good = B.behaviors(messages).select("offset", F.lit(None).cast("string").alias("reject_reason"), "session_id")
+    bad = B.rejected_behaviors(messages).select("offset", "reject_reason", F.lit(None).cast("string").alias("session_id"))
+    return good.unionAll(bad)
+
+
 # -- columns ---------------------------------------------------------------------------------------
 
 
@@ -299,6 +307,7 @@ QUERIES = {
     "hot_shop_top3_day": hot_shop_top3_day,
     "hot_shop_top10": hot_shop_top10,
     "hot_shop_by_name": hot_shop_by_name,
+    "reject_clicks": reject_clicks,
     "time_key_concat": time_key_concat,
     "surrogate_id": surrogate_id,
     "date_parts": date_parts,
@@ -326,6 +335,8 @@ ORACLES = {
     "hot_shop_top3_day": _top_sql(_window_sql("1 day"), 3),
     "hot_shop_top10": _top_sql(_window_sql("2 minutes"), 10),
     "hot_shop_by_name": BY_NAME_SQL,
+    "reject_clicks": f"""SELECT event_id AS "offset", CASE WHEN {X.CUT_CLICK} THEN 'not_an_object' WHEN {X.LOST_TIME} THEN 'bad_time' END
+      AS reject_reason, CASE WHEN NOT {X.CUT_CLICK} AND NOT {X.LOST_TIME} THEN CAST(event_id AS VARCHAR) END AS session_id FROM events""",
     "time_key_concat": f"SELECT session_id, dt || ' ' || hr || ':' || mm AS time_key, mt_wm_poi_id || shop_name AS name FROM ({X.BEHAVIOR_SQL})",
     "surrogate_id": f"""SELECT session_id, md5(platform || '|' || mt_wm_poi_id || '|' || dt || ' ' || hr || ':' || mm) AS id
       FROM ({X.BEHAVIOR_SQL})""",

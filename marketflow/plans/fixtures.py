@@ -8,7 +8,9 @@ The odd cases the operators must stand are tied to column values:
   missing fields as explicit nulls; status ``O``: plain numbers and objects, and
   missing fields left out;
 - ``BROKEN`` lines: the text has no end or is wrapped in an array;
-- ``BAD_NUMBER`` lines: the shop number is no number.
+- ``BAD_NUMBER`` lines: the shop number is no number;
+- ``TEXT_FEE`` lines: the fee is a text, which the table takes and the documents do not;
+- ``BAD_LIST`` lines: the item list is an object, or the text of an array without its end.
 """
 
 from __future__ import annotations
@@ -25,7 +27,11 @@ DAY = NOW[:10]
 # Conditions that Spark and the checking SQL share.
 BROKEN = "(l_tax = 0.08 AND l_discount IN (0.0, 0.1))"
 BAD_NUMBER = "(l_linestatus = 'F' AND l_tax = 0.07 AND l_discount = 0.1)"
+TEXT_FEE = "(l_linestatus = 'F' AND l_tax = 0.06 AND l_discount = 0.1)"
+BAD_LIST = "(l_tax = 0.05 AND l_discount = 0.1)"
 NO_SHOP_KEY = "l_tax = 0.0"
+CUT_CLICK = "(value < 2)"
+LOST_TIME = "(value >= 2 AND value < 4)"
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -129,7 +135,8 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
             "dpShopId": F.when(F.expr(BAD_NUMBER), _text("x", "l_linenumber")).otherwise(c("l_linenumber").cast("string"))
             if as_text else c("l_linenumber"),
             "shopName": _text("shop_", "l_suppkey"), "shopStatus": c("l_quantity").cast("int"), "shopPic": c("l_returnflag"),
-            "deliveryFee": c("l_linenumber"), "deliveryType": c("l_linenumber"),
+            "deliveryFee": F.when(F.expr(TEXT_FEE), F.lit("free")).otherwise(c("l_linenumber").cast("string"))
+            if as_text else c("l_linenumber"), "deliveryType": c("l_linenumber"),
             "deliveryTime": F.date_format("l_shipdate", "yyyy-MM-dd"), "deliveryMsg": _text("msg_", "l_linenumber"),
             "minFee": F.when(F.expr("l_discount <> 0.0"), c("l_extendedprice")),
             "onlinePay": F.when(F.expr("l_returnflag <> 'N'"), c("l_quantity").cast("int")),
@@ -139,10 +146,15 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
         listed = _array(items, as_text)
         sent = F.when(F.expr("l_discount = 0.05"), 0).otherwise(2)
         arrays = {
-            "itemList": F.when(F.expr("l_discount <> 0.06"), F.slice(listed, F.lit(1), sent)),
+            "itemList": F.when(F.expr(f"l_discount <> 0.06 AND NOT {BAD_LIST}"), F.slice(listed, F.lit(1), sent)),
             "couponList": F.when(F.expr("l_discount > 0.0"), _array([coupon], as_text)),
         }
-        return _with_arrays(shop, arrays, as_text)
+        text = _with_arrays(shop, arrays, as_text)
+        if as_text:
+            unread = F.replace(text, F.lit('"itemList":null'), F.lit('"itemList":"[{"'))
+        else:
+            unread = F.concat(F.lit('{"itemList":{"spuId":1},'), F.substring(text, 2, 100_000))
+        return F.when(F.expr(BAD_LIST), unread).otherwise(text)
 
     return _line_messages(lineitem, "shop1", message)
 
@@ -218,6 +230,19 @@ def behavior_messages(events: DataFrame) -> DataFrame:
     )
 
 
+def spoilt_behavior_messages(events: DataFrame) -> DataFrame:
+    """The same clicks; the text of some is cut, the time of some is no time."""
+    condition = F.when(F.expr(CUT_CLICK), 1).when(F.expr(LOST_TIME), 2).otherwise(0)
+    clicks = behavior_messages(events.withColumn("event_type", F.concat(condition, F.col("event_type"))))
+    mark = F.regexp_extract("value", '"platform":"([0-2])', 1)
+    spoilt = (
+        F.when(mark == "1", F.regexp_replace("value", "}$", ""))
+        .when(mark == "2", F.regexp_replace("value", '"createTime":"[^"]*"', '"createTime":"2024-13-01 00:00:00"'))
+        .otherwise(F.col("value"))
+    )
+    return clicks.withColumn("value", spoilt)
+
+
 # SQL of the same clicks. ``{where}`` narrows the events.
 BEHAVIOR_SQL = """
   SELECT CAST(event_id AS VARCHAR) AS session_id, CAST(user_id AS VARCHAR) AS user_id,

@@ -16,7 +16,7 @@ from ..sinks.documents import read_documents, write_documents, write_json_texts
 from ..sinks.tables import read_table, write_batch, write_dated
 from ..streaming import ingest as I
 from ..streaming import runs
-from ..streaming.shops import partitioned_shops, shop_documents, shop_events, shop_lines
+from ..streaming.shops import judged_shops, partitioned_shops, shop_documents, shop_events, shop_lines, write_partitioned_shops
 from . import fixtures as X
 
 ZONE = "Asia/Shanghai"
@@ -136,7 +136,7 @@ SOURCES = {I.SHOP: _shops, I.ITEM: _shops, I.COUPON: _shops, I.SHOP_BASIC: _shop
 def doc_shop_stream(spark, sf_dir):
     """Shops streamed as documents without null fields."""
     root = scratch(spark, "doc_stream")
-    stream = shop_documents(shop_events(_shop_stream(spark, sf_dir)))
+    stream = shop_documents(judged_shops(_shop_stream(spark, sf_dir)))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_json_texts(batch, f"{root}/documents", "shop", X.DAY, batch_id, f"{root}/quarantine")
@@ -160,17 +160,39 @@ def tsv_bucketed(spark, sf_dir):
     return lines.select(F.col("value").alias("line"), "batch_date")
 
 
-def shop_stream_partitioned(spark, sf_dir):
-    """Shops streamed into a table partitioned by day, hour and minute."""
+def _partitioned_shops(spark: SparkSession, sf_dir: str) -> str:
+    """The folder with the table and the rejects of the shop stream."""
     root = scratch(spark, "shop_parts")
-    stream = partitioned_shops(_shop_stream(spark, sf_dir)).drop("event_time")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, f"{root}/table", batch_id, ("dt", "hr", "mm"))
+        write_partitioned_shops(batch, f"{root}/table", f"{root}/rejected", batch_id)
 
-    runs.drain(runs.into_batches(stream, write, f"{root}/checkpoint"))
+    runs.drain(runs.into_batches(partitioned_shops(_shop_stream(spark, sf_dir)), write, f"{root}/checkpoint"))
+    return root
+
+
+def shop_stream_partitioned(spark, sf_dir):
+    """Shops streamed into a table partitioned by day, hour and minute."""
     schema = S.ddl(S.SHOP, "batch_id long, dt string, hr string, mm string")
-    return read_table(spark, f"{root}/table", schema).drop("batch_id")
+    return read_table(spark, f"{_partitioned_shops(spark, sf_dir)}/table", schema).drop("batch_id")
+
+
+def reject_shop_times(spark, sf_dir):
+    """What the same stream set aside: with the table's rows, every message that carries the shop key or is no object."""
+    root = _partitioned_shops(spark, sf_dir)
+    stored = read_table(spark, f"{root}/table", "wm_poi_id string").select(F.lit(None).cast("string").alias("reject_reason"))
+    set_aside = read_table(spark, f"{root}/rejected", "value string, reject_reason string").select("reject_reason")
+    return stored.unionAll(set_aside).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def reject_arrays(spark, sf_dir):
+    """Messages whose array cannot be read, by topic and output."""
+    parts = []
+    for kind, messages in ((I.ITEM, _shops), (I.SHOP_BASIC, _shop_list)):
+        judged = kind.frame(I.shared_parse((kind,))(messages(spark, sf_dir)))
+        parts.append(kind.rejects(judged).select("sink", "reject_reason", F.length("value").alias("size")))
+    return reduce(DataFrame.unionAll, parts).groupBy("sink", "reject_reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("size").alias("texts"))
 
 
 def fanout_counts(spark, sf_dir):
@@ -182,7 +204,7 @@ def fanout_counts(spark, sf_dir):
     for kind in I.TOPICS["shop1"]:
         rows = read_table(spark, f"{root}/{kind.table}", S.ddl(kind.row, "batch_id long, batch_date string"))
         documents = read_documents(spark, f"{root}/documents", kind.document).where(F.col("doc_index") == kind.name)
-        rejects = read_table(spark, f"{root}/rejected_{kind.name}", "value string, reject_reason string, batch_id long")
+        rejects = read_table(spark, f"{root}/rejected_{kind.name}", "sink string, value string, reject_reason string, batch_id long")
         for name, df in ((kind.table, rows), (f"doc_{kind.name}", documents), (f"rejected_{kind.name}", rejects)):
             counts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sink"), "rows"))
     return reduce(DataFrame.unionAll, counts)
@@ -196,12 +218,13 @@ _KEY = "l_orderkey || '-' || l_linenumber"
 _OFFSET = "CAST(l_orderkey * 64 + l_linenumber AS BIGINT)"
 _HAS_KEY = f"NOT (l_linestatus = 'O' AND {X.NO_SHOP_KEY})"
 _SHOP_ROWS = f"FROM lineitem WHERE NOT {X.BROKEN} AND {_HAS_KEY} AND NOT {X.BAD_NUMBER}"
-_ITEM_ROWS = f"FROM lineitem WHERE NOT {X.BROKEN} AND l_discount NOT IN (0.05, 0.06)"
+_DOC_ROWS = f"{_SHOP_ROWS} AND NOT {X.TEXT_FEE}"
+_ITEM_ROWS = f"FROM lineitem WHERE NOT {X.BROKEN} AND NOT {X.BAD_LIST} AND l_discount NOT IN (0.05, 0.06)"
 _SHOP_ID = f"CASE WHEN NOT ({X.NO_SHOP_KEY}) THEN CAST(l_suppkey AS VARCHAR) END"
 
 _SHOP = {
     "wm_poi_id": _SHOP_ID, "dp_shop_id": "l_linenumber", "shop_name": "'shop_' || l_suppkey",
-    "shop_status": "CAST(l_quantity AS INT)", "shop_pic": "l_returnflag", "delivery_fee": "CAST(l_linenumber AS VARCHAR)",
+    "shop_status": "CAST(l_quantity AS INT)", "shop_pic": "l_returnflag", "delivery_fee": f"CASE WHEN {X.TEXT_FEE} THEN 'free' ELSE CAST(l_linenumber AS VARCHAR) END",
     "delivery_type": "CAST(l_linenumber AS VARCHAR)", "delivery_time": "strftime(l_shipdate, '%Y-%m-%d')",
     "min_fee": "CASE WHEN l_discount <> 0.0 THEN l_extendedprice END",
     "online_pay": "CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS INT) END",
@@ -314,6 +337,8 @@ QUERIES = {
     "doc_shop_stream": doc_shop_stream,
     "tsv_line": tsv_line,
     "tsv_bucketed": tsv_bucketed,
+    "reject_shop_times": reject_shop_times,
+    "reject_arrays": reject_arrays,
     "shop_stream_partitioned": shop_stream_partitioned,
     "fanout_counts": fanout_counts,
 }
@@ -347,7 +372,7 @@ ORACLES = {
     "ods_shop_basic": _union(_BASICS, _BASIC_ROWS, **_TABLE),
     "ods_shop_comment": _select(_COMMENT, _COMMENT_ROWS, **_TABLE),
     "ods_user_comment": _union(_USERS, _USER_ROWS, **_TABLE),
-    "doc_shop": _select(_SHOP_DOC, _SHOP_ROWS, **_place("shop")),
+    "doc_shop": _select(_SHOP_DOC, _DOC_ROWS, **_place("shop")),
     "doc_item": _union(_ITEMS, _ITEM_ROWS, **_UPDATED, **_place("item")),
     "doc_coupon": _select(_COUPON, _COUPON_ROWS, **_UPDATED, **_place("coupon")),
     "doc_shop_basic": _union(_BASICS, _BASIC_ROWS, **_UPDATED, **_place("shop_basic")),
@@ -361,10 +386,17 @@ ORACLES = {
         _SHOP, f"{_SHOP_ROWS} AND l_discount <> 0.09", dt=f"left({_CREATED}, 10)", hr=f"substr({_CREATED}, 12, 2)",
         mm=f"substr({_CREATED}, 15, 2)",
     ),
+    "reject_shop_times": f"""SELECT CASE WHEN {X.BROKEN} THEN 'not_an_object' WHEN {X.BAD_NUMBER} THEN 'bad_number:dp_shop_id'
+      WHEN l_discount = 0.09 THEN 'no_event_time' END AS reject_reason, CAST(count(*) AS BIGINT) AS rows
+      FROM lineitem WHERE {X.BROKEN} OR {_HAS_KEY} GROUP BY 1""",
+    "reject_arrays": f"""SELECT sink, 'not_an_array' AS reject_reason, rows, rows AS texts FROM (
+      SELECT unnest(['ods_item', 'doc_item']) AS sink, CAST(count(*) AS BIGINT) AS rows FROM lineitem WHERE {X.BAD_LIST}
+      UNION ALL SELECT unnest(['ods_shop_basic', 'doc_shop_basic']), CAST(count(*) AS BIGINT) FROM customer WHERE c_nationkey IN (3, 4))""",
     "fanout_counts": " UNION ALL ".join([
-        _count("ods_shop", _SHOP_ROWS), _count("doc_shop", _SHOP_ROWS),
-        _count("rejected_shop", f"FROM lineitem WHERE {X.BROKEN} OR {X.BAD_NUMBER}"),
-        _count("ods_item", _ITEM_ROWS, 2), _count("doc_item", _ITEM_ROWS, 2), "SELECT 'rejected_item', CAST(0 AS BIGINT)",
+        _count("ods_shop", _SHOP_ROWS), _count("doc_shop", _DOC_ROWS),
+        f"""SELECT 'rejected_shop', CAST(count(*) FILTER ({X.BROKEN} OR {X.BAD_NUMBER})
+          + count(*) FILTER ({X.BROKEN} OR {X.BAD_NUMBER} OR {X.TEXT_FEE}) AS BIGINT) FROM lineitem""",
+        _count("ods_item", _ITEM_ROWS, 2), _count("doc_item", _ITEM_ROWS, 2), _count("rejected_item", f"FROM lineitem WHERE {X.BAD_LIST}", 2),
         _count("ods_coupon", _COUPON_ROWS), _count("doc_coupon", _COUPON_ROWS), "SELECT 'rejected_coupon', CAST(0 AS BIGINT)",
     ]),
 }

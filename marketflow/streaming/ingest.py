@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import json_fields as J
 from ..operators import records as R
 from ..sinks.documents import write_documents
 from ..sinks.fanout import Branch, Sink, fan_out
@@ -49,15 +50,29 @@ class RecordType:
         elements = R.explode_property(messages, self.array) if self.array else R.explode_message(messages)
         return R.parsed_messages(elements, self._fields, require=None)
 
+    @property
+    def outputs(self) -> dict[str, tuple[S.Field, ...]]:
+        """The fields of the table and of the documents. Each is judged alone: a text fee fits the table only."""
+        return {self.table: self.row, f"doc_{self.name}": self.document}
+
     def frame(self, shared: DataFrame) -> DataFrame:
-        """The judged rows of this type from messages that ``shared_parse`` has read."""
+        """The judged rows of this type from messages that ``shared_parse`` has read.
+
+        A message whose array could not be read is a reject of both outputs.
+        """
         if self.array is None:
             return shared.where("has_key")
-        if self.array:
-            elements = shared.select(F.explode(F.col(f"`{self.array}`")).alias("value"))
-        else:
-            elements = R.explode_message(shared)
-        return R.judged(R.parsed_messages(elements, self._fields, require=None), self._fields)
+        array = F.col(f"`{self.array or WHOLE}`")
+        elements = R.parsed_messages(shared.select(F.explode(array).alias("value")), self._fields, require=None)
+        lost = shared.where(F.col(R.bad_array_of(self.array))).select(
+            "value", *(F.lit(R.NOT_AN_ARRAY).alias(R.reason_of(name)) for name in self.outputs)
+        )
+        return R.judged(elements, self.outputs).unionByName(lost, allowMissingColumns=True)
+
+    def rejects(self, judged: DataFrame) -> DataFrame:
+        """What an output of ``frame`` cannot store: the output as ``sink``, the text and the reason."""
+        told = F.array(*(F.struct(F.lit(name).alias("sink"), F.col(R.reason_of(name)).alias(R.REASON)) for name in self.outputs))
+        return R.rejected(judged.select("value", F.inline(told)))
 
     def rows(self, messages: DataFrame, now: str | None = None) -> DataFrame:
         return R.accepted(R.typed_rows(self.parsed(messages), self.row, now=now))
@@ -66,6 +81,8 @@ class RecordType:
         return R.accepted(R.typed_rows(self.parsed(messages), self.document, now=now))
 
 
+WHOLE = "elements"
+
 SHOP = RecordType("shop", S.SHOP, S.SHOP_DOC)
 ITEM = RecordType("item", S.ITEM, S.ITEM_DOC, "itemList")
 COUPON = RecordType("coupon", S.COUPON, S.COUPON_DOC, "couponList")
@@ -83,18 +100,21 @@ TOPICS = {
 
 def shared_parse(kinds: tuple[RecordType, ...]):
     """One parse of a message for all its record types."""
-    fields = tuple(f for kind in kinds if kind.array is None for f in kind._fields)
+    outputs = {name: fields for kind in kinds if kind.array is None for name, fields in kind.outputs.items()}
     arrays = [kind.array for kind in kinds if kind.array]
-    if not fields and not arrays:
-        return lambda messages: messages.select("value")
-    return lambda messages: R.shared_messages(messages, fields, arrays)
+    if not outputs and not arrays:
+        elements = F.col(WHOLE)
+        return lambda messages: messages.select("value", J.array_elements(F.col("value")).alias(WHOLE)).select(
+            elements, elements.isNull().alias(R.bad_array_of("")), F.when(elements.isNull(), F.col("value")).alias("value"))
+    return lambda messages: R.shared_messages(messages, outputs, arrays)
 
 
 def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -> Sink:
     """A ``foreachBatch`` function with the table, document and reject sinks of a topic below ``root``.
 
     The day of a row is the day it is processed. Rows keep the batch id as a
-    partition, so a repeated batch replaces itself in every sink.
+    partition above the day, so a repeated batch replaces itself in every sink,
+    also after midnight. What one sink cannot store is judged for that sink alone.
     """
     branches = []
     for kind in TOPICS[topic]:
@@ -116,7 +136,7 @@ def _day(df: DataFrame, now: str | None) -> str:
 
 def _table_sink(kind: RecordType, path: str, now: str | None) -> Sink:
     def write(parsed: DataFrame, batch_id: int) -> None:
-        rows = R.accepted(R.typed_rows(parsed, kind.row, now=now)).withColumn("batch_date", F.lit(_day(parsed, now)))
+        rows = R.accepted(R.typed_rows(parsed, kind.row, now=now, output=kind.table)).withColumn("batch_date", F.lit(_day(parsed, now)))
         rows.write.mode("overwrite").partitionBy("batch_date").parquet(f"{path}/{BATCH}={batch_id}")
 
     return write
@@ -124,7 +144,7 @@ def _table_sink(kind: RecordType, path: str, now: str | None) -> Sink:
 
 def _document_sink(kind: RecordType, path: str, now: str | None) -> Sink:
     def write(parsed: DataFrame, batch_id: int) -> None:
-        documents = R.accepted(R.typed_rows(parsed, kind.document, now=now))
+        documents = R.accepted(R.typed_rows(parsed, kind.document, now=now, output=f"doc_{kind.name}"))
         write_documents(documents, path, kind.name, _day(parsed, now), batch_id)
 
     return write
@@ -132,7 +152,6 @@ def _document_sink(kind: RecordType, path: str, now: str | None) -> Sink:
 
 def _reject_sink(kind: RecordType, path: str) -> Sink:
     def write(parsed: DataFrame, batch_id: int) -> None:
-        rejects = R.rejected(R.typed_rows(parsed, kind.row, keep=["value"])).select("value", R.REASON)
-        write_batch(rejects, path, batch_id)
+        write_batch(kind.rejects(parsed), path, batch_id)
 
     return write

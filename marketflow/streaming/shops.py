@@ -9,15 +9,28 @@ from ..functions import times
 from ..operators import records as R
 from ..operators.behavior import EVENT_DELAY, SHOP_DELAY
 from ..schemas import SHOP, SHOP_LINE_COLUMNS, columns
+from ..sinks.tables import write_batch
+
+
+NO_TIME = "no_event_time"
+
+
+def judged_shops(messages: DataFrame, default_time: Column | None = None, need_time: bool = False) -> DataFrame:
+    """Shops with ``event_time`` and, for those to set aside, a ``reject_reason``; the text of the message is kept in ``value``."""
+    shops = R.typed_records(messages, SHOP, keep=["value"])
+    timed = shops.withColumn("event_time", times.event_time(F.col("create_time"), default_time))
+    if not need_time:
+        return timed
+    missing = F.when(F.col("event_time").isNull(), F.lit(NO_TIME))
+    return timed.withColumn(R.REASON, F.coalesce(F.col(R.REASON), missing))
 
 
 def shop_events(messages: DataFrame, default_time: Column | None = None, delay: str | None = SHOP_DELAY) -> DataFrame:
-    """Shops with ``event_time``: their create time, or ``default_time`` where it is missing.
+    """Good shops with ``event_time``: their create time, or ``default_time`` where it is missing.
 
     On a stream the watermark follows the greatest event time at ``delay``.
     """
-    shops = R.records_of(messages, SHOP)
-    timed = shops.withColumn("event_time", times.event_time(F.col("create_time"), default_time))
+    timed = R.accepted(judged_shops(messages, default_time)).drop("value")
     return timed.withWatermark("event_time", delay) if delay else timed
 
 
@@ -28,12 +41,29 @@ def shop_lines(shops: DataFrame, zone: str = "UTC") -> DataFrame:
 
 
 def shop_documents(shops: DataFrame) -> DataFrame:
-    """Shops as JSON text without their NULL fields."""
-    return shops.select(R.json_document(shops, columns(SHOP)).alias("value"))
+    """Shops as JSON text without their NULL fields; rejects of ``judged_shops`` keep the text of their message and the reason."""
+    document = R.json_document(shops, columns(SHOP))
+    if R.REASON not in shops.columns:
+        return shops.select(document.alias("value"))
+    return shops.select(F.when(F.col(R.REASON).isNull(), document).otherwise(F.col("value")).alias("value"), R.REASON)
 
 
 def partitioned_shops(messages: DataFrame, delay: str | None = EVENT_DELAY) -> DataFrame:
-    """Shops with ``dt``, ``hr``, ``mm`` of their create time; shops without a readable time are left out."""
-    timed = shop_events(messages, delay=delay).where(F.col("event_time").isNotNull())
+    """Shops with ``dt``, ``hr``, ``mm`` of their create time, and the ``reject_reason`` and ``value`` of those to set aside.
+
+    A shop without a readable time has no partition: it is a reject.
+    """
+    timed = judged_shops(messages, need_time=True)
+    timed = timed.withWatermark("event_time", delay) if delay else timed
     parts = times.date_parts(F.col("create_time"))
-    return timed.select(*columns(SHOP), *(part.alias(name) for name, part in parts.items()), "event_time")
+    return timed.select(*columns(SHOP), *(part.alias(name) for name, part in parts.items()), "event_time", "value", R.REASON)
+
+
+def write_partitioned_shops(batch: DataFrame, path: str, rejects: str, batch_id: int) -> None:
+    """A batch of ``partitioned_shops``: the shops below ``path``, what has no place there below ``rejects``."""
+    held = batch.drop("event_time").persist()
+    try:
+        write_batch(R.accepted(held).drop("value"), path, batch_id, ("dt", "hr", "mm"))
+        write_batch(R.rejected(held).select("value", R.REASON), rejects, batch_id)
+    finally:
+        held.unpersist()

@@ -7,12 +7,13 @@ from marketflow.operators import behavior as B
 from marketflow.session import scratch, shared_root
 from marketflow.sinks import files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
-from marketflow.sinks.documents import write_json_texts
+from marketflow.sinks.documents import write_documents, write_json_texts
 from marketflow.sinks.fanout import Branch, SinkErrors, fan_out
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
 from marketflow.sources.topic import kafka_options, topic_stream
 from marketflow.streaming import ingest, runs
+from marketflow.streaming.shops import partitioned_shops, write_partitioned_shops
 from marketflow.streaming.windows import RankedShops, windowed
 
 CLICK = '{{"sessionId":"{0}","mtWmPoiId":"{1}","shopName":"s","platform":"p","source":"x","createTime":"2024-01-01 {2}"}}'
@@ -139,8 +140,8 @@ def test_a_repeated_batch_replaces_itself(spark, messages):
     read = lambda name: spark.read.parquet(f"{root}/{name}")
     assert [(r.shop_id, str(r.batch_date)) for r in read("ods_shop_comment").collect()] == [(2, "2024-06-01")]
     assert [r.user_id for r in read("ods_user_comment").collect()] == [5]
-    assert [r.reject_reason for r in read("rejected_shop_comment").collect()] == ["not_an_object"]
-    assert [r.reject_reason for r in read("rejected_user_comment").collect()] == ["bad_number:user_id"]
+    assert [r.reject_reason for r in read("rejected_shop_comment").collect()] == ["not_an_object"] * 2
+    assert [r.reject_reason for r in read("rejected_user_comment").collect()] == ["bad_number:user_id"] * 2
     assert spark.read.json(f"{root}/documents").count() == 2
 
 
@@ -200,3 +201,59 @@ def test_connector_options(spark):
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch(spark, "x") != scratch(spark, "x")
+
+
+def test_a_text_fee_is_stored_and_only_its_document_is_set_aside(spark, messages):
+    root = scratch(spark, "topic")
+    batch = messages('{"mtWmPoiId":"1","deliveryFee":"free"}', '{"mtWmPoiId":"2","deliveryFee":3}')
+    ingest.topic_writer("shop1", root)(batch, 0)
+    assert sorted(r.wm_poi_id for r in spark.read.parquet(f"{root}/ods_shop").collect()) == ["1", "2"]
+    assert sorted(r.wm_poi_id for r in ingest.SHOP.rows(batch).collect()) == ["1", "2"]
+    assert [r.wm_poi_id for r in spark.read.json(f"{root}/documents/doc_index=shop").collect()] == ["2"]
+    assert [(r.sink, r.reject_reason) for r in spark.read.parquet(f"{root}/rejected_shop").collect()] == [("doc_shop", "bad_number:delivery_fee")]
+
+
+def test_unread_arrays_are_set_aside(spark, messages):
+    root = scratch(spark, "topic")
+    ingest.topic_writer("shop_list1", root)(messages('[{"mtWmPoiId":"1"}]', "{}", '[{"mtWmPoiId":"2"', "no", None, "[]"), 0)
+    assert spark.read.parquet(f"{root}/ods_shop_basic").count() == 1
+    assert spark.read.parquet(f"{root}/rejected_shop_basic").where("sink = 'ods_shop_basic' AND reject_reason = 'not_an_array'").count() == 4
+    lists = ['{"spuId":1}', '"[{"', "5", '"x"', "null", "[]", '[{"spuId":1}]', '"[{}]"']
+    ingest.topic_writer("shop1", root)(messages(*(f'{{"mtWmPoiId":"1","itemList":{text}}}' for text in lists)), 0)
+    assert spark.read.parquet(f"{root}/ods_item").count() == 2
+    assert spark.read.parquet(f"{root}/ods_shop").count() == len(lists)
+    kept = spark.read.parquet(f"{root}/rejected_item").where("sink = 'ods_item'").collect()
+    assert len(kept) == 4 and all("itemList" in r.value for r in kept)
+
+
+def test_a_batch_repeated_after_midnight_leaves_one_copy(spark, messages):
+    root = scratch(spark, "topic")
+    batch = messages('{"mtWmPoiId":"1"}', '{"mtWmPoiId":"1"}')
+    for now in ("2024-06-01 23:59:59", "2024-06-02 00:00:01"):
+        ingest.topic_writer("shop1", root, now)(batch, 3)
+    found = spark.read.json(f"{root}/documents/doc_index=shop").collect()
+    assert [str(r.doc_type) for r in found] == ["2024-06-02"] * 2
+    assert spark.read.parquet(f"{root}/ods_shop").count() == 2
+
+
+def test_documents_of_a_store_get_the_same_ids_again(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "s string, n int")
+    root = scratch(spark, "store")
+    for _ in range(2):
+        write_documents(df, "", f"{root}/shop", "day", 5, connector="json")
+    ids = [r.document_id for r in spark.read.json(f"{root}/shop/day").collect()]
+    assert len(ids) == 6 and len(set(ids)) == 3
+
+
+def test_shops_without_a_time_are_set_aside(spark, messages):
+    root = scratch(spark, "shops")
+    batch = partitioned_shops(messages('{"mtWmPoiId":"1","createTime":"2024-01-01 00:00:00"}', '{"mtWmPoiId":"2"}', "cut{"), delay=None)
+    write_partitioned_shops(batch, f"{root}/t", f"{root}/r", 0)
+    assert [r.wm_poi_id for r in spark.read.parquet(f"{root}/t").collect()] == ["1"]
+    assert sorted(r.reject_reason for r in spark.read.parquet(f"{root}/r").collect()) == ["no_event_time", "not_an_object"]
+
+
+def test_every_click_is_stored_or_set_aside(spark, messages):
+    df = messages(CLICK.format(1, "a", "00:00:10"), CLICK.format(2, "a", "25:00:10"), "cut{", "", None, "[]")
+    assert B.behaviors(df).count() == 1
+    assert sorted(r.reject_reason for r in B.rejected_behaviors(df).collect()) == ["bad_time"] + ["not_an_object"] * 4
