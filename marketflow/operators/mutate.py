@@ -2,8 +2,9 @@
 
 Stored rows are unique per key. Changes may repeat a key; the last one by
 ``order`` wins. The stored table is the streamed side of every join, so small
-changes are broadcast by size and the stored rows are not moved; a key that
-many changes share is reduced before the join.
+changes are broadcast by size and the stored rows are not moved; changes above
+Spark's broadcast size shuffle both sides. A key that many changes share is
+reduced before the join.
 """
 
 from __future__ import annotations
@@ -27,10 +28,14 @@ def last_change(changes: DataFrame, key: str, order: str | None = None) -> DataF
 def partial_update(stored: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """Stored rows with the given fields of their change; keys not stored are ignored.
 
-    A field the change leaves NULL keeps its value, a field the stored table lacks is added.
+    A field the change leaves NULL keeps its value, a field the stored table lacks is added;
+    ``order`` is a field like the others where it is stored, and not added where it is not.
     """
-    latest = last_change(changes, key, order)
-    fields = [c for c in latest.columns if c != key and c != order]
+    return _merged(stored, last_change(changes, key, order), key, order)
+
+
+def _merged(stored: DataFrame, latest: DataFrame, key: str, order: str | None) -> DataFrame:
+    fields = [c for c in latest.columns if c != key and (c != order or c in stored.columns)]
     new = latest.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_new_{c}") for c in fields))
     joined = stored.join(new, F.col(key) == F.col("_key"), "left")
     merged = [
@@ -41,9 +46,14 @@ def partial_update(stored: DataFrame, changes: DataFrame, key: str, order: str |
 
 
 def upsert(stored: DataFrame, changes: DataFrame, key: str, order: str | None = None) -> DataFrame:
-    """Partial update of stored keys, and a new row for every other key."""
-    updated = partial_update(stored, changes, key, order)
-    fresh = last_change(changes, key, order).join(stored.select(key).distinct(), key, "left_anti")
+    """Partial update of stored keys, and a new row for every other key.
+
+    The keys that are stored already are found from the changes' side: no more of them than changes leave the join.
+    """
+    latest = last_change(changes, key, order)
+    updated = _merged(stored, latest, key, order)
+    hit = stored.select(key).join(latest.select(key), key, "left_semi")
+    fresh = latest.join(hit, key, "left_anti")
     return updated.unionByName(fresh.select(*(c for c in fresh.columns if c in updated.columns)), allowMissingColumns=True)
 
 

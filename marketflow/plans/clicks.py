@@ -11,6 +11,7 @@ from ..operators.ranking import top_rows
 from ..schemas import BEHAVIOR
 from ..session import configure, scratch
 from ..sinks.commit import PartitionCommit
+from ..sinks.keyed import KeyedTable
 from ..sinks.tables import create_table, insert_dynamic, insert_static, read_table, write_batch
 from ..sinks.topic import write_topic
 from ..sources.files import read_partition
@@ -239,6 +240,24 @@ def hot_shop_top3_stream(spark, sf_dir):
     return ranked.result(query.lastProgress.batchId)
 
 
+def ranked_upsert_stream(spark, sf_dir):
+    """Ranked shops of every batch put into a table by id, where a shop that was ranked once stays.
+
+    The month arrives in two steps; a shop's window keeps its id.
+    """
+    root = scratch(spark, "ranked_table")
+    schema = "id string, mt_wm_poi_id string, shop_name string, source string, platform string, time_key string, action_num long, status string"
+    table = KeyedTable(spark, f"{root}/table", schema, "id", "action_num")
+    write = lambda batch, batch_id: table(B.ranked_shops(batch, 3), batch_id)
+    messages = X.behavior_messages(_events(spark, sf_dir))
+    first_half = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp")
+    for part in (first_half, ~first_half):
+        write_topic(messages.where(part), path=f"{root}/topics")
+        clicks = B.behaviors(topic_stream(spark, ["user_behavior"], path=f"{root}/topics"))
+        query = runs.drain(runs.into_batches(windowed(clicks, size=DAY_WINDOW), write, f"{root}/checkpoint"))
+    return table.result(query.lastProgress.batchId)
+
+
 def late_drop(spark, sf_dir):
     """Sign-ups arrive after all other clicks: those of closed windows are dropped."""
     root = scratch(spark, "late")

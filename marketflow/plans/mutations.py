@@ -33,6 +33,17 @@ def upsert_by_key(spark, sf_dir):
     return M.upsert(_stored(spark, sf_dir), _changes(spark, sf_dir), "id")
 
 
+def upsert_order_stored(spark, sf_dir):
+    """Customers take the total and the time of their last order; the time is a stored column. Customers
+    of one segment are not stored yet: their orders give new rows."""
+    stored = _stored(spark, sf_dir).withColumn("at", F.lit("1990-01-01 00:00:00"))
+    changes = X.load(configure(spark), sf_dir, "orders").select(
+        F.col("o_custkey").alias("id"), F.col("o_totalprice").alias("min_fee"),
+        F.concat_ws("-", F.date_format("o_orderdate", "yyyy-MM-dd"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("at"),
+    )
+    return M.upsert(stored.where("shop_pic <> 'MACHINERY'"), changes, "id", "at")
+
+
 def partial_update(spark, sf_dir):
     """Existing keys only, with a field the stored table does not have."""
     changes = _changes(spark, sf_dir).withColumn("source", F.lit("part"))
@@ -70,6 +81,7 @@ _NEW = "(SELECT p_partkey AS id, p_name AS shop_name, CASE WHEN p_size > 10 THEN
 
 QUERIES = {
     "upsert_by_key": upsert_by_key,
+    "upsert_order_stored": upsert_order_stored,
     "partial_update": partial_update,
     "put_by_id": put_by_id,
     "delete_by_id": delete_by_id,
@@ -79,6 +91,11 @@ QUERIES = {
 ORACLES = {
     "upsert_by_key": f"""SELECT coalesce(o.id, n.id) AS id, coalesce(n.shop_name, o.shop_name) AS shop_name,
       coalesce(n.min_fee, o.min_fee) AS min_fee, o.shop_pic FROM {_OLD} o FULL JOIN {_NEW} n ON o.id = n.id""",
+    "upsert_order_stored": f"""SELECT coalesce(o.id, n.id) AS id, o.shop_name, coalesce(n.total, o.min_fee) AS min_fee, o.shop_pic,
+      coalesce(n.at, '1990-01-01 00:00:00') AS at FROM (SELECT * FROM {_OLD} WHERE shop_pic <> 'MACHINERY') o FULL JOIN
+      (SELECT o_custkey AS id, last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS total,
+        max(strftime(o_orderdate, '%Y-%m-%d') || '-' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS at FROM orders GROUP BY 1) n
+      ON o.id = n.id""",
     "partial_update": f"""SELECT o.id, coalesce(n.shop_name, o.shop_name) AS shop_name, coalesce(n.min_fee, o.min_fee) AS min_fee,
       o.shop_pic, CASE WHEN n.id IS NOT NULL THEN 'part' END AS source FROM {_OLD} o LEFT JOIN {_NEW} n ON o.id = n.id""",
     "put_by_id": f"""SELECT o.* FROM {_OLD} o WHERE o.id NOT IN (SELECT p_partkey FROM part)

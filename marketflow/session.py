@@ -57,6 +57,18 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, as Spark sees it, and the path in its form."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a sink of this package has written; one that is gone already is no error."""
+    files, at = file_system(spark, path)
+    files.delete(at, True)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, never used before."""
     return f"{shared_root(spark)}/marketflow/{name}-{uuid.uuid4().hex}"

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.times import HOUR_PATTERN, partition_time
-from .tables import BATCH, create_table, gathered
+from ..session import delete_folder, file_system
+from .tables import BATCH, create_table, gathered, write_batch
 
 CALL_SIZE = 200
 MARK_THREADS = 16
@@ -18,16 +19,19 @@ MARK_THREADS = 16
 class PartitionCommit:
     """A ``foreachBatch`` sink for a table whose partitions are committed by time.
 
-    Rows are written below the table, where no reader sees them until their
-    partition is added to the catalog. That happens as soon as the watermark
-    (greatest event time seen, minus the delay of the stream) has reached the
-    partition's time plus ``commit_delay``. The batch id is the last partition
-    column: a repeated batch replaces its own files, and rows that come after
-    the commit become visible with their batch.
-
-    Only the values of closing partitions pass through the driver, as the catalog
-    needs them. What is kept between batches is the list of open partitions and
-    the greatest event time, not the history.
+    Rows wait in a folder per partition, where no reader sees them. Once the
+    watermark (greatest event time seen, minus the delay of the stream) has
+    reached the partition's time plus ``commit_delay``, all that waits for the
+    partition is written to the table at once, gathered into few files, and one
+    partition is added to the catalog. The id of the closing batch is the last
+    partition column: a repeated batch replaces its own files, and rows that come
+    after the commit are a further partition of the batch that brings them.
+
+    Rows whose partition values are no time can never be due: they are written
+    to ``rejected``. Only the values of closing partitions pass through the
+    driver, as the catalog needs them. What is kept between batches is the list
+    of waiting partitions and the greatest event time, not the history; waiting
+    rows that a batch has closed are removed by the batch after it.
     """
 
     def __init__(self, spark: SparkSession, table: str, schema: str, path: str, partitions: Sequence[str] = ("dt", "hr"),
@@ -38,57 +42,89 @@ class PartitionCommit:
         self.watermark, self.commit_delay, self.success_file = watermark, commit_delay, success_file
         self.names = [*self.partitions, BATCH]
         create_table(spark, table, schema, ", ".join([*(f"{p} string" for p in partitions), f"{BATCH} long"]), path=path)
+        self.fields = [f for f in spark.table(table).schema if f.name not in self.names]
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        columns = [c for c in self.spark.table(self.table).columns if c not in self.names]
-        rows = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        gathered(rows.select(*columns, *self.names), self.partitions).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*self.names).parquet(self.path)
-        known = rows.groupBy(*self.names).agg(F.max("event_time").alias("seen"))
-        if batch_id > 0:
-            known = known.unionByName(self._state(batch_id - 1))
-        known = known.persist()
+        columns = [f.name for f in self.fields]
+        timely = F.col("_time").isNotNull()
+        rows = batch.withColumn("_time", self._time()).select(*columns, *self.partitions, "event_time", "_time").persist()
+        before = self._state(batch_id - 1) if batch_id > 0 else None
         try:
-            reached = known.agg((F.max("seen") - F.expr(f"INTERVAL {self.watermark}")).alias("at")).scalar()
-            due = self._due_time() + F.expr(f"INTERVAL {self.commit_delay}") <= reached
-            self._add([row.asDict() for row in known.where(due).select(*self.names).toLocalIterator()])
-            newest = known.agg(F.max("seen").alias("seen")).select(*(F.lit(None).alias(n) for n in self.names), "seen")
-            still_open = known.where(~F.coalesce(due, F.lit(True)))
-            still_open.unionAll(newest).write.mode("overwrite").parquet(self._slot(batch_id))
+            if before is not None:
+                self._each(delete_folder, [self._waiting(row) for row in before.where("closed").toLocalIterator()])
+            waiting = rows.where(timely).withColumn(BATCH, F.lit(batch_id).cast("long")).select(*columns, *self.names)
+            waiting.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.names).parquet(self._staging)
+            write_batch(rows.where(~timely).select(*columns, *self.partitions), f"{self.path}/_rejected", batch_id)
+            known = rows.where(timely).groupBy(*self.partitions).agg(F.max("event_time").alias("seen"))
+            if before is not None:
+                known = known.unionByName(before.where("NOT closed").drop("closed"))
+            known = known.groupBy(*self.partitions).agg(F.max("seen").alias("seen")).persist()
+            try:
+                self._close(known, batch_id)
+            finally:
+                known.unpersist()
         finally:
-            known.unpersist()
+            rows.unpersist()
+
+    def _close(self, known: DataFrame, batch_id: int) -> None:
+        named = F.col(self.partitions[0]).isNotNull()
+        reached = known.agg((F.max("seen") - F.expr(f"INTERVAL {self.watermark}")).alias("at")).scalar()
+        due = named & F.coalesce(self._time() + F.expr(f"INTERVAL {self.commit_delay}") <= reached, F.lit(False))
+        ready = [row.asDict() for row in known.where(due).select(*self.partitions).toLocalIterator()]
+        if ready:
+            schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in self.fields), *(f"`{p}` string" for p in self.partitions)])
+            staged = self.spark.read.schema(schema).option("basePath", self._staging).parquet(*map(self._waiting, ready))
+            rows = gathered(staged, self.partitions).withColumn(BATCH, F.lit(batch_id).cast("long"))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.names).parquet(self.path)
+            self._add([{**row, BATCH: batch_id} for row in ready])
+        newest = known.agg(F.max("seen").alias("seen")).select(*(F.lit(None).cast("string").alias(p) for p in self.partitions), "seen")
+        state = known.where(named).withColumn("closed", due).unionAll(newest.withColumn("closed", F.lit(False)))
+        state.write.mode("overwrite").parquet(self._slot(batch_id))
+
+    @property
+    def _staging(self) -> str:
+        return f"{self.path}/_staging"
 
     def _slot(self, batch_id: int) -> str:
         """Two folders take turns, so a repeated batch finds the state before it unchanged."""
         return f"{self.path}/_pending/slot={batch_id % 2}"
 
     def _state(self, batch_id: int) -> DataFrame:
-        schema = ", ".join([*(f"{p} string" for p in self.partitions), f"{BATCH} long", "seen timestamp"])
+        schema = ", ".join([*(f"{p} string" for p in self.partitions), "seen timestamp", "closed boolean"])
         return self.spark.read.schema(schema).parquet(self._slot(batch_id))
 
     def pending(self, batch_id: int) -> DataFrame:
         """Partitions written but not yet visible after a batch."""
-        return self._state(batch_id).where(F.col(BATCH).isNotNull()).select(*self.names)
+        return self._state(batch_id).where(~F.col("closed") & F.col(self.partitions[0]).isNotNull()).select(*self.partitions)
 
-    def _due_time(self) -> Column:
+    def _time(self) -> Column:
         return partition_time({p: F.col(p) for p in self.partitions}, self.pattern, self.shift)
 
+    def _folder(self, row, names: Sequence[str]) -> str:
+        """``name=value/…`` with the values escaped as Spark's writer does."""
+        escape = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        return "/".join(escape(n, str(row[n])) for n in names)
+
+    def _waiting(self, row) -> str:
+        return f"{self._staging}/{self._folder(row, self.partitions)}"
+
     def _add(self, ready: list[dict]) -> None:
         for at in range(0, len(ready), CALL_SIZE):
-            specs = [", ".join(f"{n}='{row[n]}'" for n in self.names) for row in ready[at : at + CALL_SIZE]]
+            specs = [", ".join(f"`{n}`={_literal(row[n])}" for n in self.names) for row in ready[at : at + CALL_SIZE]]
             self.spark.sql(f"ALTER TABLE {self.table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({s})" for s in specs))
         if self.success_file:
-            self._mark(["/".join(f"{n}={row[n]}" for n in self.names) for row in ready])
+            self._each(self._mark, [f"{self.path}/{self._folder(row, self.names)}/_SUCCESS" for row in ready])
 
-    def _mark(self, folders: list[str]) -> None:
-        """An empty ``_SUCCESS`` file in every committed partition, through the table's own file system."""
-        jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-        def touch(folder: str) -> None:
-            files.create(jvm.org.apache.hadoop.fs.Path(root, f"{folder}/_SUCCESS"), True).close()
+    def _mark(self, spark: SparkSession, path: str) -> None:
+        """An empty file that tells readers of the folder that the partition is complete."""
+        files, at = file_system(spark, path)
+        files.create(at, True).close()
 
+    def _each(self, act, paths: list[str]) -> None:
         with ThreadPoolExecutor(MARK_THREADS) as pool:
-            list(pool.map(touch, folders))
+            list(pool.map(lambda path: act(self.spark, path), paths))
+
+
+def _literal(value) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.behavior import EVENT_DELAY, WINDOW_SIZE, ranked_shops, shop_windows, top_windows
+from ..sinks.keyed import BatchFolders
 
 RANKED_INPUT = "mt_wm_poi_id string, shop_name string, source string, platform string, dt string, hr string, mm string, action_num long"
 
@@ -19,25 +20,21 @@ def windowed(rows: DataFrame, delay: str = EVENT_DELAY, size: str = WINDOW_SIZE,
 class RankedShops:
     """A ``foreachBatch`` sink that keeps the top shops of all windows closed so far.
 
-    The state is the ranked rows themselves, at most ``n`` per platform. Two
-    folders take turns: a batch reads the folder of the batch before and
-    replaces the other, so a repeated batch finds its input unchanged. The
-    folders belong to one checkpoint and are kept beside it.
+    The state is the ranked rows themselves, at most ``n`` per platform. A batch
+    reads the folder of the batch before it, so a repeated batch finds its input
+    unchanged. The folders belong to one checkpoint and are kept beside it.
     """
 
     def __init__(self, spark: SparkSession, path: str, n: int = 3):
-        self.spark, self.path, self.n = spark, path, n
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.path}/slot={batch_id % 2}"
+        self.folders, self.n = BatchFolders(spark, path, RANKED_INPUT), n
 
     def __call__(self, windows: DataFrame, batch_id: int) -> None:
         fields = [f.split()[0] for f in RANKED_INPUT.split(", ")]
         rows = windows.select(*fields)
         if batch_id > 0:
-            rows = rows.unionByName(self.spark.read.schema(RANKED_INPUT).parquet(self._slot(batch_id - 1)))
-        top_windows(rows, self.n).select(*fields).write.mode("overwrite").parquet(self._slot(batch_id))
+            rows = rows.unionByName(self.folders.read(batch_id - 1))
+        self.folders.write(top_windows(rows, self.n).select(*fields), batch_id)
 
     def result(self, batch_id: int) -> DataFrame:
         """The ranked sink rows after a batch."""
-        return ranked_shops(self.spark.read.schema(RANKED_INPUT).parquet(self._slot(batch_id)), self.n)
+        return ranked_shops(self.folders.read(batch_id), self.n)

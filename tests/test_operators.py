@@ -100,6 +100,28 @@ def test_upsert_merges_and_adds(spark):
     assert as_set(mutate.upsert(stored(spark), changes, "id", "at")) == {(1, "a1", "b1"), (2, "new", "b2"), (3, "a3", None)}
 
 
+def test_upsert_moves_a_stored_order_on(spark):
+    old = table(spark, "id int, a string, at string", (1, "a", "2024-01-01"))
+    changes = table(spark, "id int, a string, at string", (1, "b", "2024-02-01"), (2, "c", "2024-02-02"))
+    assert as_set(mutate.upsert(old, changes, "id", "at")) == {(1, "b", "2024-02-01"), (2, "c", "2024-02-02")}
+
+
+def test_small_changes_do_not_move_the_stored_rows(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    spark.range(200_000).select("id", F.col("id").cast("string").alias("a")).write.parquet(path)
+    spark.createDataFrame([(1, "x"), (-1, "y")], "id long, a string").write.parquet(path + "_changes")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        merged = mutate.upsert(spark.read.parquet(path), spark.read.parquet(path + "_changes"), "id")
+        assert merged.count() == 200_001
+        merged.collect()
+        plan = merged._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 2
+
+
 def test_partial_update_adds_fields_but_no_rows(spark):
     changes = table(spark, "id int, c string", (2, "c2"), (9, "c9"))
     assert as_set(mutate.partial_update(stored(spark), changes, "id")) == {(1, "a1", "b1", None), (2, "a2", "b2", "c2")}

@@ -9,6 +9,7 @@ from marketflow.sinks import files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
 from marketflow.sinks.documents import write_documents, write_json_texts
 from marketflow.sinks.fanout import Branch, SinkErrors, fan_out
+from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
 from marketflow.sources.topic import kafka_options, topic_stream
@@ -78,6 +79,45 @@ def test_ranked_shops_over_batches_and_a_repeated_batch(spark):
     assert top(1) == [("p", "a", 3), ("p", "d", 5), ("q", "e", 1)]
     state(windows(), 2)
     assert top(2) == top(1)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        state.result(0)
+
+
+def test_a_sink_that_failed_in_a_batch_is_made_good_on_restart(spark):
+    """One of two sinks fails after the other has written; the batch runs again from the checkpoint."""
+    failing = [True]
+
+    def broken_once(df, batch_id):
+        if failing[0]:
+            raise RuntimeError("lost")
+        tables.write_batch(df, f"{root}/second", batch_id)
+
+    def job(stream, root):
+        sinks = {"first": lambda df, batch_id: tables.write_batch(df, f"{root}/first", batch_id), "second": broken_once}
+        return runs.into_batches(stream, fan_out([Branch(lambda b: b.select("value"), sinks)]), f"{root}/checkpoint")
+
+    topic = Topic(spark, job)
+    root = topic.root
+    with pytest.raises(Exception, match="lost"):
+        topic.send("a", "b")
+    failing[0] = False
+    topic.send("c")
+    for name in ("first", "second"):
+        assert sorted(r.value for r in spark.read.parquet(f"{root}/{name}").collect()) == ["a", "b", "c"]
+
+
+def test_keyed_table_over_batches(spark):
+    table = KeyedTable(spark, scratch(spark, "keyed"), "id string, n long", "id", "n")
+    rows = lambda *r: spark.createDataFrame(list(r), "id string, n long")
+    table(rows(("a", 1), ("a", 2), ("b", 1)), 0)
+    for _ in range(2):
+        table(rows(("b", 3), ("c", 1)), 1)
+    assert sorted(map(tuple, table.result(1).collect())) == [("a", 2), ("b", 3), ("c", 1)]
+
+
+def test_a_jdbc_key_needs_an_order(spark):
+    with pytest.raises(ValueError):
+        jdbc.write_jdbc(spark.range(1), "jdbc:x", "t", "d", key="id")
 
 
 def clicks(spark, *rows):
@@ -100,7 +140,7 @@ def test_partition_commit(spark):
     assert visible() == []
     sink(clicks(spark, ("3", "2024-01-01 01:00:20")), 1)
     assert visible() == ["1"]
-    assert os.path.exists(f"{path}/dt=2024-01-01/hr=00/batch_id=0/_SUCCESS")
+    assert os.path.exists(f"{path}/dt=2024-01-01/hr=00/batch_id=1/_SUCCESS")
     sink(clicks(spark, ("3", "2024-01-01 01:00:20")), 1)
     sink(clicks(spark, ("4", "2024-01-01 00:59:00")), 2)
     assert visible() == ["1", "4"]
@@ -108,7 +148,28 @@ def test_partition_commit(spark):
     assert visible() == ["1", "4"]
     sink(clicks(spark, ("5", "2024-01-01 02:00:20")), 4)
     assert visible() == ["1", "2", "3", "4"]
-    assert sorted((r.dt, r.hr, r.batch_id) for r in sink.pending(4).collect()) == [("2024-01-01", "02", 4)]
+    assert sorted((r.dt, r.hr) for r in sink.pending(4).collect()) == [("2024-01-01", "02")]
+    listed = sorted(r.partition for r in spark.sql("SHOW PARTITIONS commit_test").collect())
+    assert listed == [f"dt=2024-01-01/hr={hr}/batch_id={b}" for hr, b in (("00", 1), ("00", 2), ("01", 4))]
+
+
+def test_partition_commit_loses_no_row(spark):
+    path = scratch(spark, "commit")
+    schema = "session_id string, user_id string, mt_wm_poi_id string, shop_name string, source string, platform string, create_time string"
+    sink = PartitionCommit(spark, "commit_whole", schema, path, commit_delay="1 hour")
+    first = clicks(spark, ("1", "2024-01-01 00:10:00"), ("2", "2024-01-01 00:20:00"))
+    untimed = first.withColumn("event_time", F.lit(None).cast("timestamp"))
+    sink(untimed, 0)
+    assert [tuple(r) for r in sink.pending(0).collect()] == [("2024-01-01", "00")]
+    spoilt = clicks(spark, ("3", "2024-01-01 03:00:00"), ("4", "2024-01-01 03:00:00")).withColumn(
+        "hr", F.when(F.col("session_id") == "4", "it's:no").otherwise(F.col("hr")))
+    for _ in range(2):
+        sink(spoilt, 1)
+        assert sorted(r.session_id for r in spark.table("commit_whole").collect()) == ["1", "2"]
+    assert [r.session_id for r in spark.read.parquet(f"{path}/_rejected/batch_id=1").collect()] == ["4"]
+    sink(clicks(spark, ("5", "2024-01-01 09:00:00")), 2)
+    assert sorted(r.session_id for r in spark.table("commit_whole").collect()) == ["1", "2", "3"]
+    assert not os.path.exists(f"{path}/_staging/dt=2024-01-01/hr=00")
 
 
 def test_fan_out_isolates_sinks(spark, messages):
