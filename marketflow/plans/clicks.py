@@ -305,6 +305,7 @@ def _stream_window_sql(size: str, delay: str) -> str:
     return _window_result(size, f"SELECT * FROM ({_window_sql(size)}) WHERE {_closed(size, delay)}")
 
 
+_CLOSED_FIRST = _closed("1 day", "20 seconds", f"SELECT * FROM ({X.BEHAVIOR_SQL}) WHERE dt < '2024-01-16'")
 _ON_TIME = f"(SELECT * FROM ({X.BEHAVIOR_SQL}) WHERE platform <> 'signup')"
 _KEPT = f"""
   SELECT * FROM ({X.BEHAVIOR_SQL})
@@ -341,6 +342,7 @@ QUERIES = {
     "hot_shop_window_stream": hot_shop_window_stream,
     "watermark_3500ms": watermark_3500ms,
     "hot_shop_top3_stream": hot_shop_top3_stream,
+    "ranked_upsert_stream": ranked_upsert_stream,
     "late_drop": late_drop,
     "restart_no_duplicates": restart_no_duplicates,
     "partition_commit": partition_commit,
@@ -382,6 +384,10 @@ ORACLES = {
     "hot_shop_window_stream": _stream_window_sql("2 minutes", "20 seconds"),
     "watermark_3500ms": _stream_window_sql("1 day", "3500 milliseconds"),
     "hot_shop_top3_stream": _top_sql(f"SELECT * FROM ({_window_sql('1 day')}) WHERE {_closed('1 day', '20 seconds')}", 3),
+    "ranked_upsert_stream": " UNION ALL ".join(
+        "SELECT * FROM (" + _top_sql(f"SELECT * FROM ({_window_sql(DAY_WINDOW)}) WHERE {part}", 3) + ")"
+        for part in (_CLOSED_FIRST, f"NOT ({_CLOSED_FIRST}) AND {_closed('1 day', '20 seconds')}")
+    ),
     "late_drop": _window_result(
         "1 day", f"SELECT * FROM ({_window_sql('1 day', source=_KEPT)}) WHERE {_closed('1 day', '20 seconds')}"
     ),
