@@ -1,14 +1,15 @@
 """Full-text search over a table of documents.
 
-Documents are tokenised where they lie and only reduced rows move: the term
-statistics come back as one row, and hits carry an id and a score. A query is a
-list of tokens, so it is matched with literals and no join.
+Without an index: documents are tokenised where they lie and only reduced rows
+move. The term statistics come back as one row, and a query is a list of tokens,
+so it is matched with literals and no join. Every query reads all texts;
+``postings`` answers the same queries from a stored index.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add, and_, or_
 
@@ -63,14 +64,13 @@ def _statistics(docs: DataFrame, fields: dict[str, Column], terms: Sequence[str]
     return counted.agg(F.struct(*totals).alias("stats")).scalar()
 
 
-def _field_score(f: str, positions: Sequence[int]) -> Column:
-    """BM25 of the terms at ``positions`` in one field."""
-    stats = F.col("_stats")
-    n = stats[f"n_{f}"]
-    average = stats[f"total_{f}"] / n
+def field_score(f: str, positions: Sequence[int], stats: Callable[[str], Column]) -> Column:
+    """BM25 of the terms at ``positions`` in one field; ``stats`` gives a number by its name."""
+    n = stats(f"n_{f}")
+    average = stats(f"total_{f}") / n
     parts = []
     for i in positions:
-        tf, df = F.col(f"_tf_{f}_{i}"), stats[f"df_{f}_{i}"]
+        tf, df = F.col(f"_tf_{f}_{i}"), stats(f"df_{f}_{i}")
         idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
         norm = tf + K1 * (1 - B + B * F.col(f"_len_{f}") / average)
         parts.append(F.when(tf > 0, idf * (tf * (K1 + 1)) / norm).otherwise(0.0))
@@ -81,7 +81,7 @@ def _scored(docs: DataFrame, fields: dict[str, Column], terms: Sequence[str], sc
     likely = _with_counts(docs.where(_may_contain(fields, [terms[i] for i in scoring])), fields, terms)
     hits = reduce(or_, (F.col(f"_tf_{f}_{i}") > 0 for f in fields for i in scoring))
     scored = likely.where(hits).withColumn("_stats", _statistics(docs, fields, terms))
-    best = [_field_score(f, scoring) for f in fields]
+    best = [field_score(f, scoring, lambda name: F.col("_stats")[name]) for f in fields]
     return scored.withColumn("score", F.round(F.greatest(*best) if len(best) > 1 else best[0], 6))
 
 
@@ -133,11 +133,11 @@ def wildcard(docs: DataFrame, field: str, content: str) -> DataFrame:
 def fuzzy(docs: DataFrame, field: str, value: str, edits: int | None = None) -> DataFrame:
     """Documents with a token near ``value``; the edits allowed grow with its length."""
     allowed = auto_edits(value) if edits is None else edits
+    return docs.where(F.exists(F.array_distinct(tokens(F.col(field))), lambda t: near_token(t, value, allowed)))
 
-    def near(t: Column) -> Column:
-        return F.length(t).between(len(value) - allowed, len(value) + allowed) & within_edits(t, value, allowed)
 
-    return docs.where(F.exists(tokens(F.col(field)), near))
+def near_token(token: Column, value: str, allowed: int) -> Column:
+    return F.length(token).between(len(value) - allowed, len(value) + allowed) & within_edits(token, value, allowed)
 
 
 def highlight(field: Column, terms: Sequence[str], pre: str = PRE_TAG, post: str = POST_TAG) -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import lines
+from ..operators import postings as P
 from ..operators import search as T
-from ..session import configure
+from ..session import configure, scratch
 from . import fixtures as X
 
 QUERY = "Worthless license, und pour"
@@ -15,37 +16,68 @@ MUST, SHOULD, MUST_NOT = ("the", "of"), ("worthless", "license"), ("click",)
 TERM, PART, NEAR = "license", "thle", "lisence"
 
 
+FIELDS = {"text": F.col, "source": F.col, "all": lambda _: F.concat_ws(" ", "text", "lang", "source")}
+_built: dict[tuple[str, str], P.Postings] = {}
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.spread(X.load(configure(spark), sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
-def _hits(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", "lang", "source", *(["score"] if "score" in df.columns else []))
+def build_index(spark: SparkSession, sf_dir: str) -> P.Postings:
+    """The stored index of the documents, with all columns as one field beside text and source."""
+    fields = {name: column(name) for name, column in FIELDS.items()}
+    return P.build_postings(_docs(spark, sf_dir), fields, scratch(spark, "postings"), "doc_id")
+
+
+def _index(spark: SparkSession, sf_dir: str) -> P.Postings:
+    """The index of a folder, written at the first query of an application that asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        _built[key] = build_index(configure(spark), sf_dir)
+    return _built[key]
+
+
+def _placed(found: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Found ids beside the short columns of their documents."""
+    docs = X.load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return P.with_documents(found, docs, "doc_id")
+
+
+def search_vocabulary(spark, sf_dir):
+    """Documents and occurrences of every term of every indexed field."""
+    return _index(spark, sf_dir).vocabulary.select("field", "term", "documents", "occurrences")
 
 
 def search_match(spark, sf_dir):
-    return _hits(T.page(T.match(_docs(spark, sf_dir), QUERY, ["text"]), "doc_id"))
+    return _placed(T.page(P.match(_index(spark, sf_dir), QUERY, ["text"]), "doc_id"), spark, sf_dir)
 
 
 def search_match_scores(spark, sf_dir):
     """Every match with its score."""
-    return _hits(T.match(_docs(spark, sf_dir), QUERY, ["text"]))
+    return _placed(P.match(_index(spark, sf_dir), QUERY, ["text"]), spark, sf_dir)
+
+
+def search_match_scan(spark, sf_dir):
+    """The same without an index, from the texts."""
+    return T.match(_docs(spark, sf_dir), QUERY, ["text"]).select("doc_id", "lang", "source", "score")
 
 
 def search_multi_match(spark, sf_dir):
-    return _hits(T.page(T.match(_docs(spark, sf_dir), QUERY + " src3 src11", ["text", "source"]), "doc_id", 20))
+    found = P.match(_index(spark, sf_dir), QUERY + " src3 src11", ["text", "source"])
+    return _placed(T.page(found, "doc_id", 20), spark, sf_dir)
 
 
 def search_term(spark, sf_dir):
-    return _hits(T.page(T.term(_docs(spark, sf_dir), "text", TERM), "doc_id", T.TERM_SIZE))
+    return _placed(T.page(P.term(_index(spark, sf_dir), "text", TERM), "doc_id", T.TERM_SIZE), spark, sf_dir)
 
 
 def search_wildcard(spark, sf_dir):
-    return _hits(T.wildcard(_docs(spark, sf_dir), "text", PART))
+    return T.wildcard(_docs(spark, sf_dir), "text", PART).select("doc_id", "lang", "source")
 
 
 def search_fuzzy(spark, sf_dir):
-    return _hits(T.fuzzy(_docs(spark, sf_dir), "text", NEAR))
+    return _placed(P.fuzzy(_index(spark, sf_dir), "text", NEAR), spark, sf_dir)
 
 
 def search_match_all(spark, sf_dir):
@@ -53,22 +85,22 @@ def search_match_all(spark, sf_dir):
 
 
 def search_all_fields(spark, sf_dir):
-    return _hits(T.match_all_fields(_docs(spark, sf_dir), ["text", "lang", "source"], MUST, SHOULD, MUST_NOT))
+    return _placed(P.match_combined(_index(spark, sf_dir), "all", MUST, SHOULD, MUST_NOT), spark, sf_dir)
 
 
 def search_highlight(spark, sf_dir):
     """Every match with its whole text marked."""
-    found = T.match(_docs(spark, sf_dir), QUERY, ["text"])
-    return T.highlighted(found, ["text"], T.query_terms(QUERY)).select("doc_id", "text")
+    found = P.match(_index(spark, sf_dir), QUERY, ["text"])
+    return T.highlighted(P.with_documents(found, _docs(spark, sf_dir), "doc_id"), ["text"], T.query_terms(QUERY)).select("doc_id", "text")
 
 
 def search_paging(spark, sf_dir):
     """The third page of ten."""
-    return _hits(T.page(T.match(_docs(spark, sf_dir), QUERY, ["text"]), "doc_id", 10, 20))
+    return _placed(T.page(P.match(_index(spark, sf_dir), QUERY, ["text"]), "doc_id", 10, 20), spark, sf_dir)
 
 
 def search_hit_count(spark, sf_dir):
-    return T.hit_count(T.match(_docs(spark, sf_dir), QUERY, ["text"]))
+    return T.hit_count(P.match(_index(spark, sf_dir), QUERY, ["text"]))
 
 
 def split_lines(spark, sf_dir):
@@ -120,6 +152,8 @@ _ALL_TERMS = [*MUST, *SHOULD, *MUST_NOT]
 _WORDS = ", ".join(f"'{t}'" for t in _TERMS)
 
 QUERIES = {
+    "search_vocabulary": search_vocabulary,
+    "search_match_scan": search_match_scan,
     "search_match": search_match,
     "search_match_scores": search_match_scores,
     "search_multi_match": search_multi_match,
@@ -134,7 +168,15 @@ QUERIES = {
     "split_lines": split_lines,
 }
 
+_FIELD_SQL = {"text": "text", "source": "source", "all": "concat_ws(' ', text, lang, source)"}
+
 ORACLES = {
+    "search_vocabulary": "SELECT field, term, count(*) AS documents, CAST(sum(tf) AS BIGINT) AS occurrences FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{f}' AS field, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TOKENS.format(e)}) AS term FROM documents) GROUP BY doc_id, term"
+        for f, e in _FIELD_SQL.items()
+    ) + ") GROUP BY field, term",
+    "search_match_scan": f"{_MATCH} {_HITS}",
     "search_match": f"{_MATCH} {_HITS} {_ORDER} LIMIT 10",
     "search_match_scores": f"{_MATCH} {_HITS}",
     "search_multi_match": _scored_sql({"text": "text", "source": "source"}, [*_TERMS, "src3", "src11"]) + f" {_HITS} {_ORDER} LIMIT 20",

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from marketflow.operators import behavior, cdc, cells, dedup, mutate, ranking, search
+from marketflow.operators import behavior, cdc, cells, dedup, mutate, postings, ranking, search
+from marketflow.session import scratch
 
 
 def table(spark, schema, *rows):
@@ -194,3 +195,35 @@ def test_highlight(spark):
     marked = [r[0] for r in df.select(search.highlight(F.col("t"), ["apple", "äpple"])).collect()]
     on, off = search.PRE_TAG, search.POST_TAG
     assert marked == [f"{on}Apple{off} {on}apple{off}-pie, pineapple {on}äpple{off}", None]
+
+
+@pytest.fixture
+def index(spark, docs):
+    fields = {"title": F.col("title"), "body": F.col("body"), "all": F.concat_ws(" ", "title", "body")}
+    return postings.build_postings(docs, fields, scratch(spark, "postings"), "id")
+
+
+def scores(df):
+    return {r.id: r.score for r in df.collect()}
+
+
+def test_the_index_answers_as_the_scan_does(docs, index):
+    for query in ("APPLE, pear", "apple", "absent", " ,. "):
+        for fields in (["title"], ["title", "body"]):
+            assert scores(postings.match(index, query, fields)) == scores(search.match(docs, query, fields))
+    assert scores(postings.term(index, "title", "äpfel")) == scores(search.term(docs, "title", "äpfel"))
+    for value in ("paer", "appel", "pe"):
+        assert sorted(ids_of(postings.fuzzy(index, "title", value))) == sorted(ids_of(search.fuzzy(docs, "title", value)))
+    for parts in ({"must": ["apple"], "must_not": ["pear"]}, {"should": ["apple", "pear"]}):
+        assert scores(postings.match_combined(index, "all", **parts)) == scores(search.match_all_fields(docs, ["title", "body"], **parts))
+    assert sorted((r.field, r.documents, r.tokens) for r in index.totals.collect()) == [("all", 5, 15), ("body", 4, 8), ("title", 4, 7)]
+
+
+def test_a_query_reads_its_terms_only(index):
+    plan = postings.match(index, "apple pear", ["title"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(field" in plan and "In(term, [apple,pear])" in plan
+
+
+def test_an_index_of_no_documents(spark, docs):
+    empty = postings.build_postings(docs.where("id < 0"), {"title": F.col("title")}, scratch(spark, "postings"), "id")
+    assert postings.match(empty, "apple", ["title"]).count() == 0
