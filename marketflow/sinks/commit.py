@@ -53,7 +53,7 @@ class PartitionCommit:
             if before is not None:
                 self._each(delete_folder, [self._waiting(row) for row in before.where("closed").toLocalIterator()])
             waiting = rows.where(timely).withColumn(BATCH, F.lit(batch_id).cast("long")).select(*columns, *self.names)
-            waiting.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.names).parquet(self._staging)
+            gathered(waiting, self.partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*self.names).parquet(self._staging)
             write_batch(rows.where(~timely).select(*columns, *self.partitions), f"{self.path}/_rejected", batch_id)
             known = rows.where(timely).groupBy(*self.partitions).agg(F.max("event_time").alias("seen"))
             if before is not None:
