@@ -28,11 +28,11 @@ SEED = 42
 BLOCKS = ((0, 21), (21, 42), (42, 64))
 
 
-def fingerprint(text: str | None, shingle: int = 3) -> int:
-    """The majority of each bit over the XXH64 hashes of all word shingles; 0 without words."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 of every word shingle, repeats included; of the whole sequence where it is shorter, none without words."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     joined, ends = memoryview(b" ".join(words)), np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     if len(words) < shingle:
@@ -40,7 +40,12 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     else:
         pairs = zip(starts[: len(words) - shingle + 1].tolist(), ends[shingle - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in pairs], "<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in pairs], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int = 3) -> int:
+    """The majority of each bit over the XXH64 hashes of all word shingles; 0 without words."""
+    hashes = shingle_hashes(text, shingle)
     count = np.zeros(64, np.int64)
     for i in range(0, len(hashes), 1 << 16):
         part = hashes[i : i + (1 << 16)]
@@ -115,14 +120,3 @@ def near_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
     labels = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return slim.join(labels, "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("fp")
-
-
-def deduplicated(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """``docs`` with one row of each group: the one with its smallest doc_id, of several the one with the smallest text hash."""
-    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    grouped = near_groups(docs.select("doc_id", "text", sha.alias("_sha")), shingle)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("_sha").alias("_key")))
-    kept = grouped.groupBy("component_id").agg(first.alias("_first")).select("_first._id", "_first._key")
-    marked = docs.withColumn("_sha256", sha)
-    same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_key") == F.col("_sha256"))
-    return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha256"]).select(*docs.columns)

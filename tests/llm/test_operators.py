@@ -13,7 +13,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from marketflow.llm import chat, chunks, common, forest, graph, maxent, mixing, packing, queries, simhash, tokens, toxicity, urls, wavelet
+from marketflow.llm import chat, chunks, common, forest, graph, maxent, mixing, packing, queries, simhash, similar, tokens, toxicity, urls, wavelet
 
 SF_DIR = "/root/testdata/sf0.001"
 LONG = "lorem ipsum " * 20_000 + "x" * 70_000
@@ -223,8 +223,45 @@ def test_fingerprints_and_components(odd, none):
             assert r.fingerprint == f"{plain(TEXTS[r.doc_id]):016x}"
     by_id = {r.doc_id: r.component_id for r in rows}
     assert by_id[0] == by_id[1] == by_id[2] == 0 and by_id[4] == by_id[5] == by_id[None] == 4 and by_id[8] == 7 and by_id[10] == 9
-    assert simhash.near_groups(none).count() == 0 and simhash.deduplicated(none).count() == 0
-    assert simhash.deduplicated(odd).columns == odd.columns and simhash.deduplicated(odd).count() == len(set(by_id.values()))
+    assert simhash.near_groups(none).count() == 0 and similar.deduplicated(none).count() == 0
+    assert similar.deduplicated(odd).columns == odd.columns and similar.deduplicated(odd).count() == len(set(by_id.values()))
+
+
+def test_similar_groups_against_brute_force(spark):
+    """All pairs from 0.8 on by comparison of sets: few are missed, none is added; one document of each group stays."""
+    docs = common.table(spark, "/root/testdata/sf0.1", "documents")
+    docs = docs.where("length(text) < 4000").dropDuplicates(["text"]).select("doc_id", "text")
+    sets = {r.doc_id: set(similar.distinct_hashes(r.text).tolist()) for r in docs.collect()}
+    having, pairs = collections.defaultdict(list), set()
+    often = collections.Counter(h for own in sets.values() for h in own)
+    for i, own in sorted(sets.items(), key=lambda x: len(x[1])):
+        first = sorted(own, key=lambda h: (often[h], h))[: len(own) - math.ceil(0.8 * len(own)) + 1]
+        for j in {j for h in first for j in having[h]}:
+            if len(own & sets[j]) >= 0.8 * len(own | sets[j]):
+                pairs.add((i, j))
+        for h in first:
+            having[h].append(i)
+    edges = [(i, j, 0) for i, j in pairs]
+    true = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "u long, v long, x int")).collect()}
+    kept = {r.doc_id for r in similar.deduplicated(docs).select("doc_id").collect()}
+    gone = set(sets) - kept
+    empty = [i for i, own in sets.items() if not own]
+    assert len(pairs) > 20 and gone <= set(true) | set(empty) and len(gone - set(empty)) >= 0.9 * len(true)
+
+
+def test_similar_groups_link_chains_and_large_families(spark):
+    """Members of a family of many versions are one group; texts that share half their words stay apart."""
+    draw = random.Random(5)
+    words = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    base, rows = words(200), []
+    for i in range(120):
+        own = list(base)
+        own[draw.randrange(200)] = f"v{i}"
+        rows.append((i, " ".join(own)))
+    half = words(100)
+    rows += [(1000 + i, " ".join(half + words(100))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in similar.deduplicated(docs).collect()) == [0, *range(1000, 1030)]
 
 
 def test_mixture_keeps_every_row_and_repeats_within_the_limit(spark, odd, none):
