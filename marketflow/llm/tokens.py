@@ -73,7 +73,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(texts: pa.Array, with_: Encoder, most: int = 4 << 20):
+def encoded(texts: pa.Array, with_: Encoder, most: int = 1 << 20):
     """Slices of ``texts`` of at most ``most`` bytes (one text at least) as (first, ids, offsets)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
     start = 0
