@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare
-from marketflow.llm.tokens import encoded, encoder
+from marketflow.llm.tokens import KEPT, encoded, encoder
 
 LENGTH = 2048
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024  # cost of a piece of n ids: LINEAR * n + QUADRATIC * n * n
@@ -53,12 +53,12 @@ def pack(lengths: list[int], length: int = LENGTH) -> list[tuple[int, int, int,
     return out
 
 
-def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, run: int = RUN) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGTH, run: int = RUN, kept: int = KEPT) -> DataFrame:
     """Every id of every whole ``text`` (null is empty) and its ``end_id``, in pieces of sequences of at most ``length`` ids.
 
     Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset. Repeated rows are separate documents, a null id
     stays null, other columns are not read. ``run`` bounds the sequences packed at once; a longer document makes a
-    longer run. Sequence ids are unique, not dense. An empty table gives no piece.
+    longer run, ``kept`` the pieces of text that a worker remembers. Sequence ids are unique, not dense. An empty table gives no piece.
     """
     prepare(docs.sparkSession)
 
@@ -82,7 +82,7 @@ def packed(docs: DataFrame, tokenizer: str, end_id: int = 1, length: int = LENGT
         for batch in batches:
             names = batch.column(0).to_pylist()
             part = batch.column(2)[0].as_py() if batch.num_rows else part
-            for first, ids, offsets in encoded(batch.column(1), encoder(tokenizer)):
+            for first, ids, offsets in encoded(batch.column(1), encoder(tokenizer, kept)):
                 for i in range(len(offsets) - 1):
                     keys.append(names[first + i])
                     texts.append(np.append(ids[offsets[i] : offsets[i + 1]], end_id).astype("<u4"))

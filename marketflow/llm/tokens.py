@@ -16,16 +16,16 @@ import pyarrow.compute as pc
 
 # Two white-space characters in a row, or one that is neither a space nor a line end, or the mark used for cutting.
 ODD = r"[ \n][ \n]|[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+KEPT = 700_000  # pieces remembered by a worker
 
 
 class Encoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
-    KEPT = 700_000  # pieces remembered by a worker
-
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT):
         from tokenizers import Tokenizer
 
+        self.kept = kept
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
 
@@ -33,7 +33,7 @@ class Encoder:
         known = self.known
         found = list(map(known.get, pieces))
         new = [i for i, ids in enumerate(found) if ids is None]
-        if len(known) + len(new) > self.KEPT:
+        if len(known) + len(new) > self.kept:
             known.clear()
         for start in range(0, len(new), 4096):
             part = [pieces[i] for i in new[start : start + 4096]]
@@ -68,9 +68,9 @@ class Encoder:
 
 
 @lru_cache(1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, kept: int = KEPT) -> Encoder:
     """The worker's encoder: its pieces stay known from one task to the next."""
-    return Encoder(path)
+    return Encoder(path, kept)
 
 
 def encoded(texts: pa.Array, with_: Encoder, most: int = 1 << 20):
