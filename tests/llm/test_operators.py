@@ -264,6 +264,16 @@ def test_similar_groups_link_chains_and_large_families(spark):
     assert sorted(r.doc_id for r in similar.deduplicated(docs).collect()) == [0, *range(1000, 1030)]
 
 
+def test_similar_groups_find_short_texts(spark):
+    """Texts of four and five shingles that share four are at 0.8: every one is found."""
+    rows = []
+    for i in range(80):
+        text = " ".join(f"w{i}x{k}" for k in range(8))
+        rows += [(2 * i, text), (2 * i + 1, f"{text} more{i}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(r.doc_id for r in similar.deduplicated(docs).collect()) == list(range(0, 160, 2))
+
+
 def test_mixture_keeps_every_row_and_repeats_within_the_limit(spark, odd, none):
     rows = mixing.mixture(odd)
     assert rows.select("doc_id", "text").distinct().count() == odd.select("doc_id", "text").distinct().count()
