@@ -274,6 +274,27 @@ def test_similar_groups_find_short_texts(spark):
     assert sorted(r.doc_id for r in similar.deduplicated(docs).collect()) == list(range(0, 160, 2))
 
 
+def test_similar_groups_are_those_of_all_pairs(spark):
+    """In a family where most pairs are unlike, every group of the comparison of all pairs is found, and no other."""
+    draw, rows = random.Random(11), []
+    base = [f"w{k}" for k in range(200)]
+    for i in range(500):
+        own = list(base)
+        for k in range(3 + draw.randrange(6)):
+            own[draw.randrange(200)] = f"v{i}x{k}"
+        rows.append((i, " ".join(own)))
+    sets = [set(similar.distinct_hashes(text).tolist()) for _, text in rows]
+    root = list(range(500))
+    for i in range(500):
+        for j in range(i):
+            if root[i] != root[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert 50 < len(set(root)) < 450
+    assert sorted(r.doc_id for r in similar.deduplicated(docs).collect()) == sorted(set(root))
+
+
 def test_mixture_keeps_every_row_and_repeats_within_the_limit(spark, odd, none):
     rows = mixing.mixture(odd)
     assert rows.select("doc_id", "text").distinct().count() == odd.select("doc_id", "text").distinct().count()
