@@ -364,6 +364,22 @@ def test_urls(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def test_urls_count_rare_words_and_tokens(spark):
+    """A word beyond the 50,000 most frequent is still one; what every task knows does not change the odds."""
+    code = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    frequent = " ".join(f"q{code(i)}" for i in range(51_000))
+    pages = [(i, f"http://essex.example.org/{code(i)}/essex", "<p>es sex essex</p>" if i else f"<p>{frequent} {frequent}</p>" ) for i in range(20)]
+    pages = [(i, u, h.replace("essex", "") if i != 1 else h) for i, u, h in pages]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    assert {r.verdict for r in urls.judged(table).collect()} == {"allow"}
+    given = [(i, f"http://{a}{b}.example.org/{b}{c}/{i}", f"<p>{a} {b} {c} casino news</p>") for i, (a, b, c) in enumerate(
+        (code(i * 7919 % 1000) + "t", code(i % 13) + "s", "casino" if i % 3 else "garden") for i in range(150))]
+    table = spark.createDataFrame(given, "page_id long, url string, html string").repartition(3)
+    whole, few = ({r.page_id: r for r in urls.judged(table, **most).collect()} for most in ({}, {"words": 5, "features": 5}))
+    assert len(whole) == len(few) == 150 and len({r.verdict for r in whole.values()}) == 2
+    assert all(few[i].verdict == r.verdict and math.isclose(few[i].block_odds, r.block_odds, abs_tol=1e-9) for i, r in whole.items())
+
+
 def test_stages_keep_columns_and_drop_only_what_they_should(spark, odd, none):
     for docs in (odd.select("doc_id", "text", "lang", "source", "n_chars"), none.select("doc_id", "text", "lang", "source", "n_chars")):
         for _, stage in corpus_pipeline.STAGES[:-1]:
