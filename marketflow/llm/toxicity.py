@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from marketflow.llm.common import remainder, split_words, sums
 
 WINDOW, OVERLAP = 64, 8  # bytes of a window and of what neighbours share
+FEW = 20  # rows of each label that are taken at any length
 CLIP = 40  # differences of length beyond this count as this
 GRAMS = (4, 5, 6, 7, 8)  # lengths of the spans tried for the toxic dictionary
 # A fixed pseudo-random second byte for every byte.
@@ -209,7 +210,8 @@ def score_texts(model: Model, texts: pa.Array, distance: Distance) -> np.ndarray
 def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int = 2000, max_chars: int = 12_000_000):
     """Texts and labels of at most ``per_label`` whole rows of each label and ``max_chars`` characters each, and the share of 1.
 
-    Rows are taken in the order of a hash of their id. Ids with both labels, null ids and null labels are left out.
+    Rows are taken in the order of a hash of their id; one that does not fit is left out and takes no room. The ``FEW`` shortest of the first
+    ``per_label`` rows are taken at any length, so that no label is without rows. Ids with both labels, null ids and null labels are left out.
     """
     known = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id")
              .agg(F.min("toxic").alias("_low"), F.max("toxic").alias("_label")).where("_low = _label").select("doc_id", "_label"))
@@ -217,11 +219,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int = 2000, m
     sized = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.length("text").alias("_chars")).join(known, "doc_id")
     ids: list[int] = []
     for label in (0, 1):
-        room = max_chars
-        for row in sized.where(F.col("_label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).collect():
-            room -= row["_chars"] or 0
-            if room >= 0:
+        first = sized.where(F.col("_label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label).collect()
+        always = set(sorted(range(len(first)), key=lambda i: first[i]["_chars"] or 0)[:FEW])
+        room = max_chars - sum(first[i]["_chars"] or 0 for i in always)
+        for i, row in enumerate(first):
+            chars = row["_chars"] or 0
+            if i in always or chars <= room:
                 ids.append(row["doc_id"])
+                room -= 0 if i in always else chars
     if not ids:
         return [], [], 0.0
     rows = docs.where(F.col("doc_id").isin(ids)).select("doc_id", "text").join(known, "doc_id").collect()

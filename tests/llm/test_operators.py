@@ -74,6 +74,14 @@ def test_toxicity_on_odd_rows(spark, odd, none):
     assert {r.predicted for r in toxicity.score(odd, nothing).collect()} == {0}
 
 
+def test_toxicity_sample_survives_long_texts(spark):
+    """A text that does not fit takes no room; a label with long texts alone keeps some."""
+    docs = spark.createDataFrame([(i, "w " * (500 if i in (3, 60) or i >= 80 else 5)) for i in range(100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 80)) for i in range(100)], "doc_id long, toxic int")
+    texts, truth, share = toxicity.labelled_sample(docs, labels, max_chars=800)
+    assert truth.count(0) == 78 and truth.count(1) == 20 and math.isclose(share, 0.2)
+
+
 def test_maxent_base_score_and_normalisation(spark, odd, none):
     docs = odd.select("doc_id", "text", "score", "n_tokens")
     model, counts = maxent.train(docs, epochs=2)
