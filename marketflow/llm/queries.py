@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import chat, chunks, forest, maxent, mixing, packing, simhash, tokens, toxicity, urls, wavelet
+from marketflow.llm import chat, chunks, forest, maxent, merkle, mixing, packing, simhash, tokens, toxicity, urls, wavelet
 from marketflow.llm.common import prepare, remainder, table
 from marketflow.session import scratch
 
@@ -81,9 +81,15 @@ def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and checked proof of every document; ids whose crc32 is divisible by 7 are tampered with."""
+    prepare(spark)
+    return merkle.proofs(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_compression_toxicity, op2_maxent_scores, op3_wavelet_shards, op4_temperature_mixture, op5_prefix_targets, op6_prefix_forest, op7_host_words,
-    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash)}
+    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash, op13_octopus_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -108,7 +114,8 @@ ORACLES = {
         FROM n GROUP BY conv_id""",
     "op4_temperature_mixture": r"""
         WITH RECURSIVE rows_ AS (
-            SELECT doc_id, source, coalesce('=' || source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS n_tokens,
+            SELECT doc_id, source, coalesce('=' || source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS n_tokens,
                    ('0x' || substr(md5('7:' || doc_id), 1, 8))::BIGINT % 512 AS block FROM documents),
         cells AS (SELECT s, block, sum(n_tokens)::BIGINT AS tokens FROM rows_ GROUP BY ALL),
         totals AS (SELECT s, sum(tokens)::BIGINT AS tokens FROM cells GROUP BY s),
@@ -136,4 +143,45 @@ ORACLES = {
             FROM cells JOIN plan USING (s))
         SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, block, pass, substr(md5('7:' || pass || ':' || s || ':' || block), 1, 8) AS place
         FROM rows_ JOIN (SELECT s, block, weight, unnest(range(1, copies + 1)) AS pass FROM taken) USING (s, block)""",
+    "op13_octopus_manifest": """
+        WITH RECURSIVE h AS (
+            SELECT doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+                   xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+                       lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda d, z: CASE WHEN d % 2 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END)),
+                       4294967295) % 7 = 0 AS tampered FROM documents),
+        leaves AS (
+            SELECT doc_id, lang, sha256(head || coalesce(length(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                   CASE WHEN tampered THEN sha256(head || coalesce(length((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS changed FROM h),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS leaves,
+                   dense_rank() OVER (ORDER BY coalesce('=' || lang, '')) AS tree FROM leaves),
+        low(tree, level, idx, digest, n) AS (
+            SELECT tree, 0, place, leaf, leaves FROM placed
+            UNION ALL
+            SELECT tree, level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (max(n) + 1) // 2 FROM low WHERE n > 1 GROUP BY tree, level, idx // 2),
+        subroots AS (SELECT tree, digest FROM low WHERE n = 1),
+        high(level, idx, digest, n) AS (
+            SELECT 0, tree - 1, digest, (SELECT count(*) FROM subroots) FROM subroots
+            UNION ALL
+            SELECT level + 1, idx // 2, sha256(string_agg(digest, '' ORDER BY idx)), (max(n) + 1) // 2 FROM high WHERE n > 1 GROUP BY level, idx // 2),
+        nodes AS (
+            SELECT tree, level, idx, digest, n FROM low WHERE n > 1
+            UNION ALL SELECT s.tree, level + x.top, idx, h.digest, n FROM high AS h, (SELECT tree, max(level) AS top FROM low GROUP BY tree) AS x JOIN subroots AS s USING (tree) WHERE n > 1),
+        heights AS (SELECT tree, max(level) AS top FROM low GROUP BY tree),
+        steps AS (
+            SELECT d.doc_id, d.tree, d.place, d.leaf, k.level, CASE WHEN k.level < t.top THEN d.place >> k.level ELSE (d.tree - 1) >> (k.level - t.top) END AS at
+            FROM placed AS d JOIN heights AS t USING (tree), (SELECT unnest(range(0, 64)) AS level) AS k
+            WHERE k.level < t.top + (SELECT max(level) FROM high)),
+        siblings AS (
+            SELECT s.tree, s.place, s.level, s.at, n.digest FROM steps AS s LEFT JOIN nodes AS n ON n.tree = s.tree AND n.level = s.level AND n.idx = xor(s.at, 1)),
+        folded(tree, place, level, digest) AS (
+            SELECT tree, place, 0, coalesce(changed, leaf) FROM placed
+            UNION ALL
+            SELECT f.tree, f.place, f.level + 1, sha256(CASE WHEN s.digest IS NULL THEN f.digest WHEN s.at % 2 = 1 THEN s.digest || f.digest ELSE f.digest || s.digest END)
+            FROM folded AS f JOIN siblings AS s ON s.tree = f.tree AND s.place = f.place AND s.level = f.level),
+        proofs AS (SELECT tree, place, sha256(coalesce(string_agg(digest, '' ORDER BY level), '')) AS proof_sha256 FROM siblings GROUP BY tree, place),
+        ends AS (SELECT tree, place, arg_max(digest, level) AS folded_root FROM folded GROUP BY tree, place)
+        SELECT doc_id, leaf, s.digest AS subroot, r.digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = r.digest AS verified
+        FROM placed JOIN subroots AS s USING (tree) JOIN ends USING (tree, place) LEFT JOIN proofs USING (tree, place), (SELECT digest FROM high WHERE n = 1) AS r""",
 }
