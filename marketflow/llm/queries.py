@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import chat, chunks, forest, maxent, merkle, mixing, packing, simhash, tokens, toxicity, urls, wavelet
+from marketflow.llm import chat, chunks, forest, maxent, merkle, mixing, packing, simhash, spectra, tokens, toxicity, urls, wavelet
 from marketflow.llm.common import prepare, remainder, table
 from marketflow.session import scratch
 
@@ -81,6 +81,12 @@ def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op12_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector along the first 16 eigenvectors of the covariance, scaled to unit variance."""
+    prepare(spark)
+    return spectra.whitened(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and checked proof of every document; ids whose crc32 is divisible by 7 are tampered with."""
     prepare(spark)
@@ -89,7 +95,7 @@ def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_compression_toxicity, op2_maxent_scores, op3_wavelet_shards, op4_temperature_mixture, op5_prefix_targets, op6_prefix_forest, op7_host_words,
-    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash, op13_octopus_manifest)}
+    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash, op12_rank_one_whitening, op13_octopus_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
