@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketflow.llm import chat, chunks, forest, maxent, merkle, mixing, packing, simhash, spectra, tokens, toxicity, urls, wavelet
+from marketflow.llm import chat, chunks, forest, guesses, maxent, merkle, mixing, packing, simhash, spectra, tokens, toxicity, urls, wavelet
 from marketflow.llm.common import prepare, remainder, table
 from marketflow.session import scratch
 
@@ -81,6 +81,13 @@ def op10_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: fixed forms, and credential values that are hard to guess."""
+    prepare(spark)
+    found = guesses.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", guesses.joined(F.col("spans")).alias("spans"))
+
+
 def op12_rank_one_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector along the first 16 eigenvectors of the covariance, scaled to unit variance."""
     prepare(spark)
@@ -95,7 +102,7 @@ def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_compression_toxicity, op2_maxent_scores, op3_wavelet_shards, op4_temperature_mixture, op5_prefix_targets, op6_prefix_forest, op7_host_words,
-    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash, op12_rank_one_whitening, op13_octopus_manifest)}
+    op8_cost_packing, op9_chunk_recipes, op10_ball_simhash, op11_guess_cost, op12_rank_one_whitening, op13_octopus_manifest)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
