@@ -27,16 +27,16 @@ def auto_edits(term: str) -> int:
     return 0 if len(term) <= 2 else 1 if len(term) <= 5 else 2
 
 
-def _swaps(term: str) -> set[str]:
+def swaps(term: str) -> set[str]:
     return {term[:i] + term[i + 1] + term[i] + term[i + 2 :] for i in range(len(term) - 1)}
 
 
-def _double_swaps(term: str) -> set[str]:
+def double_swaps(term: str) -> set[str]:
     """Two swaps that share no letter."""
     return {
         term[:i] + term[i + 1] + term[i] + rest
         for i in range(len(term) - 1)
-        for rest in _swaps(term[i + 2 :])
+        for rest in swaps(term[i + 2 :])
     }
 
 
@@ -54,7 +54,7 @@ def within_edits(token: Column, term: str, edits: int) -> Column:
     if edits not in (1, 2):
         raise ValueError("edits must be 0, 1 or 2")
     near = F.levenshtein(token, F.lit(term), edits) >= 0
-    swapped = _swaps(term) if edits == 1 else _swaps(term) | _double_swaps(term)
+    swapped = swaps(term) if edits == 1 else swaps(term) | double_swaps(term)
     near = near | token.isin(*sorted(swapped)) if swapped else near
     if edits == 1:
         return near

@@ -1,10 +1,10 @@
-"""A stored index of a document table: postings, vocabulary and totals.
+"""A stored index of a document table: postings, vocabulary, runs of letters and totals.
 
 Written once, read by every query: a search reads the postings of its own terms
 and no text. Ids are unique. ``terms`` holds a row per field, term and document,
 ordered by them, so a term is a run of row groups and a term of most documents
-lies in many files; ``vocabulary`` holds the documents per term, ``totals`` a row
-per field.
+lies in many files; ``vocabulary`` holds the documents per term, ``grams`` the runs of
+letters of each term, ``totals`` a row per field.
 """
 
 from __future__ import annotations
@@ -17,7 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import auto_edits, tokens
-from .search import field_score, near_token, query_terms
+from . import grams as G
+from .search import field_score, near_token, query_terms, token_like
+
+# Terms that go into a query as literals; more are joined.
+LITERAL_TERMS = 1000
 
 
 class Postings:
@@ -37,6 +41,10 @@ class Postings:
     def vocabulary(self) -> DataFrame:
         return self._read("vocabulary", "field string, term string, documents long, occurrences long, leads long")
 
+    @property
+    def grams(self) -> DataFrame:
+        return self._read("grams", G.GRAMS)
+
     @property
     def totals(self) -> DataFrame:
         return self._read("totals", "field string, documents long, tokens long")
@@ -63,6 +71,8 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Column], path: str, id_
         F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences"), F.count_if("leads").alias("leads")
     )
     per_term.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{path}/vocabulary")
+    runs = G.gram_table(index.vocabulary.select("field", "term"))
+    runs.repartitionByRange("field", "size", "gram", "term").sortWithinPartitions("field", "size", "gram", "term").write.mode("overwrite").partitionBy("field").parquet(f"{path}/grams")
     totals = index.vocabulary.groupBy("field").agg(F.sum("leads").alias("documents"), F.sum("occurrences").alias("tokens"))
     totals.write.mode("overwrite").parquet(f"{path}/totals")
     return index
@@ -134,11 +144,42 @@ def match_combined(index: Postings, field: str, must: Sequence[str] = (), should
     return _scored(index, [field], terms, scoring, reduce(and_, needed + banned) if needed or banned else None)
 
 
-def fuzzy(index: Postings, field: str, value: str, edits: int | None = None) -> DataFrame:
-    """Ids of the documents with a token near ``value``: each distinct term is tested once."""
+def _holding(index: Postings, field: str, terms: DataFrame) -> DataFrame:
+    """Ids of the documents with any of the terms. A few terms are looked up as literals, more are joined."""
+    few = [row.term for row in terms.take(LITERAL_TERMS + 1)]
+    rows = index.terms.where(F.col("field") == field)
+    found = rows.where(F.col("term").isin(few)) if len(few) <= LITERAL_TERMS else rows.join(terms, "term", "left_semi")
+    return found.select(index.id_column).distinct()
+
+
+def wildcard_terms(index: Postings, field: str, content: str) -> DataFrame:
+    """Terms that match ``*content*``, found by the runs of letters between its wildcards."""
+    needed = G.contained_runs(content)
+    likely = G.with_all(index.grams, field, needed) if needed else index.vocabulary.where(F.col("field") == field).select("term")
+    return likely.where(token_like(F.col("term"), content))
+
+
+def wildcard(index: Postings, field: str, content: str) -> DataFrame:
+    """Ids of the documents with a token that matches ``*content*``; ``*`` and ``?`` inside keep their meaning."""
+    return _holding(index, field, wildcard_terms(index, field, content))
+
+
+def fuzzy_terms(index: Postings, field: str, value: str, edits: int | None = None) -> DataFrame:
+    """Terms near ``value``, found by the pairs of letters they must share with it."""
     allowed = auto_edits(value) if edits is None else edits
-    near = index.vocabulary.where((F.col("field") == field) & near_token(F.col("term"), value, allowed)).select("term")
-    return index.terms.where(F.col("field") == field).join(near, "term", "left_semi").select(index.id_column).distinct()
+    if allowed == 0:
+        return index.vocabulary.where((F.col("field") == field) & (F.col("term") == value)).select("term")
+    wanted = G.near_runs(value, allowed)
+    if wanted is None:
+        likely = index.vocabulary.where(F.col("field") == field).select("term")
+    else:
+        likely = G.sharing(index.grams, field, value, allowed, wanted)
+    return likely.where(near_token(F.col("term"), value, allowed))
+
+
+def fuzzy(index: Postings, field: str, value: str, edits: int | None = None) -> DataFrame:
+    """Ids of the documents with a token near ``value``."""
+    return _holding(index, field, fuzzy_terms(index, field, value, edits))
 
 
 def with_documents(found: DataFrame, docs: DataFrame, id_column: str) -> DataFrame:

@@ -120,14 +120,17 @@ def term(docs: DataFrame, field: str, value: str) -> DataFrame:
     return _scored(docs, {field: F.col(field)}, [value], [0]).select(*docs.columns, "score")
 
 
+def token_like(token: Column, content: str) -> Column:
+    """True for a token that holds ``content``; ``*`` in it stands for any letters, ``?`` for one."""
+    if not re.search(r"[*?]", content):
+        return F.contains(token, F.lit(content))
+    return token.rlike("".join({"*": ".*", "?": "."}.get(ch, re.escape(ch)) for ch in content))
+
+
 def wildcard(docs: DataFrame, field: str, content: str) -> DataFrame:
     """Documents with a token that matches ``*content*``; ``*`` and ``?`` inside keep their meaning."""
-    found = tokens(F.col(field))
-    if not re.search(r"[*?]", content):
-        likely = docs.where(F.contains(F.lower(field), F.lit(content)))
-        return likely.where(F.exists(found, lambda t: F.contains(t, F.lit(content))))
-    pattern = "".join({"*": ".*", "?": "."}.get(ch, re.escape(ch)) for ch in content)
-    return docs.where(F.exists(found, lambda t: t.rlike(pattern)))
+    likely = docs if re.search(r"[*?]", content) else docs.where(F.contains(F.lower(field), F.lit(content)))
+    return likely.where(F.exists(tokens(F.col(field)), lambda t: token_like(t, content)))
 
 
 def fuzzy(docs: DataFrame, field: str, value: str, edits: int | None = None) -> DataFrame:

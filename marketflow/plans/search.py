@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from ..functions.text import lines
 from ..operators import postings as P
 from ..operators import search as T
-from ..session import configure, scratch
+from ..session import configure, file_state, scratch
 from . import fixtures as X
 
 QUERY = "Worthless license, und pour"
 MUST, SHOULD, MUST_NOT = ("the", "of"), ("worthless", "license"), ("click",)
-TERM, PART, NEAR = "license", "thle", "lisence"
+TERM, PART, PATTERN, NEAR = "license", "thle", "ti?n*er", "lisence"
 
 
 FIELDS = {"text": F.col, "source": F.col, "all": lambda _: F.concat_ws(" ", "text", "lang", "source")}
-_built: dict[tuple[str, str], P.Postings] = {}
+_built: dict[tuple, P.Postings] = {}
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def build_index(spark: SparkSession, sf_dir: str) -> P.Postings:
 
 
 def _index(spark: SparkSession, sf_dir: str) -> P.Postings:
-    """The index of a folder, written at the first query of an application that asks for it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The index of a folder, written at the first query of an application that asks for it, and again once the table's files have changed."""
+    key = (spark.sparkContext.applicationId, sf_dir, file_state(spark, f"{sf_dir}/documents.parquet"))
     if key not in _built:
         _built[key] = build_index(configure(spark), sf_dir)
     return _built[key]
@@ -73,6 +73,16 @@ def search_term(spark, sf_dir):
 
 
 def search_wildcard(spark, sf_dir):
+    return _placed(P.wildcard(_index(spark, sf_dir), "text", PART), spark, sf_dir)
+
+
+def search_wildcard_pattern(spark, sf_dir):
+    """Wildcards within the searched text."""
+    return _placed(P.wildcard(_index(spark, sf_dir), "text", PATTERN), spark, sf_dir)
+
+
+def search_wildcard_scan(spark, sf_dir):
+    """The same as ``search_wildcard`` without an index, from the texts."""
     return T.wildcard(_docs(spark, sf_dir), "text", PART).select("doc_id", "lang", "source")
 
 
@@ -159,6 +169,8 @@ QUERIES = {
     "search_multi_match": search_multi_match,
     "search_term": search_term,
     "search_wildcard": search_wildcard,
+    "search_wildcard_pattern": search_wildcard_pattern,
+    "search_wildcard_scan": search_wildcard_scan,
     "search_fuzzy": search_fuzzy,
     "search_match_all": search_match_all,
     "search_all_fields": search_all_fields,
@@ -183,6 +195,10 @@ ORACLES = {
     "search_term": _scored_sql({"text": "text"}, [TERM]) + f" {_HITS} {_ORDER} LIMIT 20",
     "search_wildcard": f"""SELECT doc_id, lang, source FROM documents
       WHERE len(list_filter({_TOKENS.format('text')}, lambda t: contains(t, '{PART}'))) > 0""",
+    "search_wildcard_scan": f"""SELECT doc_id, lang, source FROM documents
+      WHERE len(list_filter({_TOKENS.format('text')}, lambda t: contains(t, '{PART}'))) > 0""",
+    "search_wildcard_pattern": f"""SELECT doc_id, lang, source FROM documents
+      WHERE len(list_filter({_TOKENS.format('text')}, lambda t: regexp_matches(t, '{PATTERN.replace('?', '.').replace('*', '.*')}'))) > 0""",
     "search_fuzzy": f"""SELECT doc_id, lang, source FROM documents
       WHERE len(list_filter({_TOKENS.format('text')}, lambda t: damerau_levenshtein(t, '{NEAR}') <= 2)) > 0""",
     "search_match_all": "SELECT doc_id, text, lang, source FROM documents ORDER BY doc_id LIMIT 10",

@@ -63,6 +63,16 @@ def file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Name, length and time of every file of a path: equal as long as nothing was written to it."""
+    files, at = file_system(spark, path)
+    found, state = files.listFiles(at, True), []
+    while found.hasNext():
+        status = found.next()
+        state.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(state))
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that a sink of this package has written; one that is gone already is no error."""
     files, at = file_system(spark, path)

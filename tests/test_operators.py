@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from marketflow.operators import behavior, cdc, cells, dedup, mutate, postings, ranking, search
+from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search
 from marketflow.session import scratch
 
 
@@ -227,3 +229,83 @@ def test_a_query_reads_its_terms_only(index):
 def test_an_index_of_no_documents(spark, docs):
     empty = postings.build_postings(docs.where("id < 0"), {"title": F.col("title")}, scratch(spark, "postings"), "id")
     assert postings.match(empty, "apple", ["title"]).count() == 0
+
+
+# -- runs of letters
+
+
+def near(a, b):
+    """Edits between two words: insertions, deletions, replacements and swaps of neighbours, no letter edited twice."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a, 1):
+        rows.append([i])
+        for j, y in enumerate(b, 1):
+            best = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i].append(best)
+    return rows[-1][-1]
+
+
+def test_no_near_word_shares_too_few_runs():
+    """Every word that some edits make out of another passes the count; words that pass at no count are said to."""
+    draw = random.Random(4)
+    for _ in range(3000):
+        value = "".join(draw.choices("abcde", k=draw.randrange(1, 9)))
+        other = value
+        for _ in range(draw.randrange(3)):
+            i = draw.randrange(len(other) + 1)
+            other = draw.choice([other[:i] + "x" + other[i:], other[:i] + other[i + 1 :], other[:i] + "y" + other[i + 1 :], other[:i] + other[i + 1 : i + 2] + other[i : i + 1] + other[i + 2 :]])
+        for edits in (1, 2):
+            wanted = grams.near_runs(value, edits)
+            if wanted is not None and near(other, value) <= edits:
+                own = grams.runs_of(f"^{other}$", 2)
+                assert any(len(own & pairs) >= least for pairs, least in wanted), (value, other, edits)
+
+
+def test_runs_a_pattern_needs():
+    assert grams.contained_runs("thle") == {"thl", "hle"} and grams.contained_runs("ti?n*er") == {"ti", "er"} and grams.contained_runs("a*b?") == set()
+
+
+@pytest.fixture
+def words(spark):
+    draw = random.Random(9)
+    texts = [" ".join("".join(draw.choices("abcdel", k=draw.randrange(1, 9))) for _ in range(30)) for _ in range(60)]
+    docs = table(spark, "id int, body string", *enumerate([*texts, None, "", "İstanbul ÄPFEL 漢字"]))
+    return docs, postings.build_postings(docs, {"body": F.col("body")}, scratch(spark, "postings"), "id")
+
+
+@pytest.mark.parametrize("content", ["abc", "ab", "a", "a?c", "ab*de", "*", "a*b", "zz", "pfel", "漢", "AB", "a b", ""])
+def test_wildcards_from_the_index_are_those_of_the_texts(words, content):
+    docs, index = words
+    assert sorted(ids_of(postings.wildcard(index, "body", content))) == sorted(ids_of(search.wildcard(docs, "body", content)))
+
+
+@pytest.mark.parametrize("value", ["abcde", "abdce", "ab", "abc", "edcbal", "lledcb", "äpfle", "zzzzzz", "abcdeabc"])
+def test_near_terms_from_the_index_are_those_of_the_texts(words, value):
+    docs, index = words
+    for edits in (None, 1, 2):
+        assert sorted(ids_of(postings.fuzzy(index, "body", value, edits))) == sorted(ids_of(search.fuzzy(docs, "body", value, edits)))
+
+
+def test_many_terms_are_joined(words, monkeypatch):
+    docs, index = words
+    monkeypatch.setattr(postings, "LITERAL_TERMS", 2)
+    assert sorted(ids_of(postings.wildcard(index, "body", "ab"))) == sorted(ids_of(search.wildcard(docs, "body", "ab")))
+
+
+def test_searches_by_runs_read_no_text(spark):
+    from marketflow.plans import search as plans
+
+    sf_dir = "/root/testdata/sf0.001"
+    for query in (plans.search_wildcard, plans.search_wildcard_pattern, plans.search_fuzzy):
+        plan = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        read = [line for line in plan.splitlines() if "ReadSchema" in line or "FileScan" in line]
+        assert read and not any("text:string" in line for line in read)
+    index = plans._index(spark, sf_dir)
+    for terms in (postings.wildcard_terms(index, "text", "thle"), postings.fuzzy_terms(index, "text", "lisence")):
+        plan = terms._jdf.queryExecution().executedPlan().toString()
+        assert "In(gram, [" in plan and all("/grams/" in path for path in terms.inputFiles())
+    wanted = grams.near_runs("lisence", 2)
+    tested = grams.sharing(index.grams, "text", "lisence", 2, wanted).count()
+    assert tested < 0.05 * index.vocabulary.where("field = 'text'").count()
