@@ -79,6 +79,28 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = file_system(spark, path)
+    return files.exists(at)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced whole: written beside its place and moved there."""
+    files, at = file_system(spark, path)
+    _, beside = file_system(spark, f"{path}.{uuid.uuid4().hex}")
+    out = files.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.delete(at, False)
+    if not files.rename(beside, at):
+        raise OSError(f"cannot write {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, never used before."""
     return f"{shared_root(spark)}/marketflow/{name}-{uuid.uuid4().hex}"

@@ -115,6 +115,54 @@ def test_keyed_table_over_batches(spark):
     assert sorted(map(tuple, table.result(1).collect())) == [("a", 2), ("b", 3), ("c", 1)]
 
 
+def keyed_files(table):
+    return {os.path.relpath(os.path.join(d, f), table.path): os.path.getmtime(os.path.join(d, f)) for d, _, names in os.walk(f"{table.path}/data") for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_writes_only_the_buckets_of_its_keys(spark):
+    table = KeyedTable(spark, scratch(spark, "keyed"), "id long, a string, n long", "id", "n", buckets=8)
+    table(spark.range(4000).select("id", F.lit("a").alias("a"), F.lit(1).alias("n")), 0)
+    before = keyed_files(table)
+    assert len({path.split("/")[3] for path in before}) == 8
+    change = spark.createDataFrame([(7, None, 2), (7, "old", 1), (5000, "new", 1), (None, "lost", 9)], "id long, a string, n long")
+    for _ in range(2):
+        table(change, 1)
+        after = keyed_files(table)
+        assert {p: t for p, t in after.items() if p in before} == before
+        assert 1 <= len(set(after) - set(before)) <= 2 and all("batch=1" in p for p in set(after) - set(before))
+    assert table.result(1).count() == 4001
+    assert sorted(map(tuple, table.get(1, [7, 8, 5000, 9999]).collect())) == [(7, "a", 2), (8, "a", 1), (5000, "new", 1)]
+    assert len({f.split("bucket=")[1][0] for f in table.get(1, [7]).inputFiles()}) == 1
+
+
+def test_buckets_are_merged_when_their_deltas_outgrow_them(spark):
+    table = KeyedTable(spark, scratch(spark, "keyed"), "id long, a string, b string", "id", buckets=2, max_deltas=3)
+    stored = {}
+    for batch_id in range(12):
+        rows = [(batch_id % 5, f"a{batch_id}", None), (batch_id + 100, None, f"b{batch_id}")]
+        table(spark.createDataFrame(rows, "id long, a string, b string"), batch_id)
+        for i, a, b in rows:
+            old = stored.get(i, (None, None))
+            stored[i] = (a if a is not None else old[0], b if b is not None else old[1])
+        assert {r.id: (r.a, r.b) for r in table.result(batch_id).collect()} == stored
+        folders = table._manifest(batch_id)
+        assert all(len(f) <= 4 and len({tuple(x) for x in f}) == len(f) for f in folders.values())
+    assert any(kind == "base" for f in folders.values() for _, kind, _ in f)
+    kept = {tuple(p.split("/")[1:4]) for p in keyed_files(table)}
+    named = {(f"batch={b}", f"kind={kind}", f"bucket={k}") for at in (10, 11) for k, f in table._manifest(at).items() for b, kind, _ in f}
+    assert named == kept
+    assert len(os.listdir(f"{table.path}/manifest")) <= 6  # with check sums
+
+
+def test_a_keyed_table_takes_empty_batches_and_other_columns(spark):
+    table = KeyedTable(spark, scratch(spark, "keyed"), "id string, n long", "id")
+    table(spark.createDataFrame([], "id string, n long"), 0)
+    assert table.result(0).count() == 0 and table.get(0, ["a"]).count() == 0
+    table(spark.createDataFrame([("a", 5)], "id string, bucket int"), 1)
+    table(spark.createDataFrame([("a", 2), ("b", 3)], "id string, n int"), 2)
+    assert sorted(map(tuple, table.result(2).collect())) == [("a", 2), ("b", 3)] and table.result(2).schema == table.fields
+
+
 def test_a_jdbc_key_needs_an_order(spark):
     with pytest.raises(ValueError):
         jdbc.write_jdbc(spark.range(1), "jdbc:x", "t", "d", key="id")
