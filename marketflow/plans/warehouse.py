@@ -11,6 +11,7 @@ from ..operators import dedup as D
 from ..operators import records as R
 from ..operators.extract import shop_catalog
 from ..session import configure, scratch
+from ..sinks.cells import CellStore, newest
 from ..sinks.files import write_csv, write_lines
 from ..sinks.tables import create_table, insert_dynamic
 from ..sources.files import read_delimited, read_lines, read_partition
@@ -19,6 +20,7 @@ from . import fixtures as X
 from . import ingest as G
 
 SINCE = "1995-06-13 22:00:30"
+FROM_KEY, TO_KEY, KEYS = "11", "15", ("7", "104", "13", "none")
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +92,31 @@ def cells_sorted(spark, sf_dir):
     return stored.select(*(F.hex(c).alias(c) for c in stored.columns))
 
 
+def _stored_shops(spark: SparkSession, sf_dir: str) -> CellStore:
+    """Cells of all shops in a store of four files, and in a second load those that lie in nation 2, moved to nation 99."""
+    shops = _shop_table(spark, sf_dir)
+    store = CellStore(spark, scratch(spark, "cells"))
+    store.load(C.to_cells(shops), 0, files=4)
+    moved = shops.where("shop_status = 2").withColumn("shop_status", F.lit("99"))
+    store.load(C.to_cells(moved, columns=["shop_status"]), 1, files=2)
+    return store
+
+
+def cells_stored(spark, sf_dir):
+    """All stored cells with the load that brought them."""
+    return _stored_shops(spark, sf_dir).cells()
+
+
+def cells_range(spark, sf_dir):
+    """The newest cells of a range of row keys."""
+    return newest(_stored_shops(spark, sf_dir).scan(FROM_KEY, TO_KEY))
+
+
+def cells_get(spark, sf_dir):
+    """The newest cells of single row keys, one of which is not stored."""
+    return newest(_stored_shops(spark, sf_dir).get(KEYS))
+
+
 def _written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shop lines in a day folder; lines of nation 1 stop after three fields."""
     customers = X.load(configure(spark), sf_dir, "customer").withColumn("dp_shop_id", F.lit("0"))
@@ -135,6 +162,10 @@ def _cells_sql(wide: str, wrap: str = "{}") -> str:
     return " UNION ALL ".join(parts)
 
 
+_STORED_CELLS = f"""SELECT *, CAST(0 AS BIGINT) AS load FROM ({_cells_sql(_WIDE)})
+      UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'info', 'shop_status', '99', 1 FROM customer WHERE c_nationkey = 2"""
+_NEWEST_CELLS = f"SELECT rowkey, family, qualifier, arg_max(value, load) AS value FROM ({_STORED_CELLS})"
+
 QUERIES = {
     "record_scan_filter": record_scan_filter,
     "csv_shop": _csv_query("shop"),
@@ -146,6 +177,9 @@ QUERIES = {
     "dwd_count": dwd_count,
     "cells_unpivot": cells_unpivot,
     "cells_sorted": cells_sorted,
+    "cells_stored": cells_stored,
+    "cells_range": cells_range,
+    "cells_get": cells_get,
     "tsv_scan_cells": tsv_scan_cells,
     "tsv_short_lines": tsv_short_lines,
 }
@@ -165,6 +199,9 @@ ORACLES = {
     "dwd_count": f"SELECT count(*) AS rows FROM (SELECT DISTINCT wm_poi_id, dp_shop_id FROM ({_SHOPS}))",
     "cells_unpivot": _cells_sql(_WIDE),
     "cells_sorted": _cells_sql(_WIDE, "hex({})"),
+    "cells_stored": _STORED_CELLS,
+    "cells_range": f"{_NEWEST_CELLS} WHERE rowkey >= '{FROM_KEY}' AND rowkey < '{TO_KEY}' GROUP BY rowkey, family, qualifier",
+    "cells_get": f"{_NEWEST_CELLS} WHERE rowkey IN {KEYS} GROUP BY rowkey, family, qualifier",
     "tsv_scan_cells": _cells_sql("""SELECT CAST(c_custkey AS VARCHAR) AS wm_poi_id, c_name AS shop_name,
       CAST(c_nationkey AS VARCHAR) AS shop_status, c_mktsegment AS shop_pic FROM customer WHERE c_nationkey <> 1"""),
     "tsv_short_lines": "SELECT c_custkey || chr(9) || '0' || chr(9) || c_name AS line FROM customer WHERE c_nationkey = 1",

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search
 from marketflow.session import scratch
+from marketflow.sinks.cells import CellStore, newest
 
 
 def table(spark, schema, *rows):
@@ -84,6 +85,58 @@ def test_one_hot_row_key_is_spread_over_partitions(spark):
     assert len(spread) >= 5 and max(r[1] for r in spread) < 1500 and sum(r[1] for r in spread) == 3000
 
 
+@pytest.fixture
+def store(spark):
+    """Two loads: cells of 500 row keys, one of which has most of them; then new values for some."""
+    store = CellStore(spark, scratch(spark, "cells"))
+    ids = spark.range(5000).select(F.when(F.col("id") < 500, F.lpad(F.col("id").cast("string"), 3, "0")).otherwise(F.lit("250")).alias("rowkey"),
+                                   F.lit("info").alias("family"), F.concat(F.lit("q"), F.col("id")).alias("qualifier"), F.col("id").cast("string").alias("value"))
+    store.load(ids, 0, files=6)
+    store.load(ids.where("rowkey = '250' AND value < 600").withColumn("value", F.lit("new")), 1, files=1)
+    return store, ids
+
+
+def test_files_of_a_load_hold_sorted_and_disjoint_ranges(spark, store):
+    store, ids = store
+    assert as_set(store.cells().where("load = 0").drop("load")) == as_set(ids) and store.cells().count() == 5101
+    ranges = sorted(store.ranges().where("load = 0").collect(), key=lambda r: r.first)
+    assert len(ranges) >= 5 and sum(r.cells for r in ranges) == 5000
+    assert all(a.last < b.first for a, b in zip(ranges, ranges[1:])) and max(r.cells for r in ranges) < 2000
+    for r in ranges:
+        cells = [tuple(c)[:3] for c in spark.read.parquet(r.file).collect()]
+        assert cells == sorted(cells) and (cells[0], cells[-1]) == (tuple(r.first), tuple(r.last))
+
+
+def test_a_scan_opens_the_files_of_its_range_only(store):
+    store, ids = store
+    everything = set(store.files())
+    for start, stop in (("000", "010"), ("400", None), (None, "003"), ("250", "251"), ("9", None), (None, None), ("100", "100")):
+        found = store.scan(start, stop)
+        wanted = ids.where(F.lit(True) if start is None else F.col("rowkey") >= start).where(F.lit(True) if stop is None else F.col("rowkey") < stop)
+        assert as_set(found.where("load = 0").drop("load")) == as_set(wanted)
+        assert set(store.files(start, stop)) <= everything and found.inputFiles() is not None
+    assert len(store.files("000", "010")) == 1 and len(store.files("250", "251")) >= 4 and store.files("9") == []
+
+
+def test_single_row_keys_and_their_newest_cells(store):
+    store, ids = store
+    found = {(r.rowkey, r.qualifier): r.value for r in newest(store.get(["003", "250", "none"])).collect()}
+    old = {(r.rowkey, r.qualifier): r.value for r in ids.where("rowkey IN ('003', '250')").collect()}
+    assert found == {k: "new" if k[0] == "250" and int(v) < 600 else v for k, v in old.items()}
+    assert store.get([]).count() == 0 and len(set(store.get(["003"]).inputFiles())) == 1
+
+
+def test_a_repeated_load_replaces_itself(spark, store):
+    store, ids = store
+    store.load(ids.where("rowkey = '007'"), 1, files=3)
+    assert store.cells().where("load = 1").count() == 1 and store.cells().where("load = 0").count() == 5000
+    store.load(ids.limit(0), 1)
+    assert store.cells().where("load = 1").count() == 0
+    empty = CellStore(spark, scratch(spark, "cells"))
+    empty.load(ids.limit(0))
+    assert empty.cells().count() == 0 and empty.scan("a").count() == 0
+
+
 def test_short_lines_are_set_aside(spark):
     df = table(spark, "value string", ("1\tx\tn\ts\tp",), ("1\tx\tn\ts\t\t",), ("1\tx\tn",), ("",), (None,), ("2\t\t\t\tp\textra",))
     good, short = cells.split_fields(df, cells.SHOP_LINE_POSITIONS)
