@@ -220,6 +220,46 @@ def test_partition_commit_loses_no_row(spark):
     assert not os.path.exists(f"{path}/_staging/dt=2024-01-01/hr=00")
 
 
+def test_a_closing_batch_moves_files_and_writes_no_row_again(spark):
+    path, schema = scratch(spark, "commit"), "session_id string, user_id string, mt_wm_poi_id string, shop_name string, source string, platform string, create_time string"
+    sink = PartitionCommit(spark, "commit_moves", schema, path, commit_delay="1 hour")
+    sink(clicks(spark, ("1", "2024-01-01 00:10:00")), 0)
+    staged = {os.path.getmtime(os.path.join(d, f)): f for d, _, names in os.walk(f"{path}/_staging") for f in names if f.startswith("part")}
+    sink(clicks(spark, ("2", "2024-01-01 00:20:00"), ("3", "2024-01-01 05:00:00")), 1)
+    moved = sorted(f for f in os.listdir(f"{path}/dt=2024-01-01/hr=00/batch_id=1") if f.endswith(".parquet"))
+    assert [f.split("-")[0] for f in moved] == ["0", "1"] and moved[0] == f"0-{next(iter(staged.values()))}"
+    assert os.path.getmtime(f"{path}/dt=2024-01-01/hr=00/batch_id=1/{moved[0]}") in staged
+    sink(clicks(spark), 2)
+    assert sorted(os.listdir(f"{path}/_staging")) == ["arrival=1", "arrival=2"]
+
+
+def test_a_batch_that_broke_while_moving_is_made_good(spark, monkeypatch):
+    """After some renames, before the catalog and the journal: the batch runs again, and once more after it has ended."""
+    path, schema = scratch(spark, "commit"), "session_id string, user_id string, mt_wm_poi_id string, shop_name string, source string, platform string, create_time string"
+    sink = PartitionCommit(spark, "commit_broken", schema, path)
+    visible = lambda: sorted(r.session_id for r in spark.table("commit_broken").collect())
+    sink(clicks(spark, ("1", "2024-01-01 00:10:00")), 0)
+    batch = clicks(spark, ("2", "2024-01-01 00:20:00"), ("3", "2024-01-01 01:30:00"), ("4", "2024-01-01 03:00:30"))
+    move, calls = sink._move, []
+
+    def broken(row, arrivals, batch_id):
+        move(row, arrivals, batch_id)
+        calls.append(row)
+        if len(calls) == 2:
+            raise OSError("lost")
+
+    monkeypatch.setattr(sink, "_move", broken)
+    with pytest.raises(OSError, match="lost"):
+        sink(batch, 1)
+    monkeypatch.setattr(sink, "_move", move)
+    for _ in range(2):
+        sink(batch, 1)
+        assert visible() == ["1", "2", "3", "4"] or visible() == ["1", "2", "3"]
+        first = visible()
+    sink(clicks(spark, ("5", "2024-01-01 09:00:00")), 2)
+    assert visible()[: len(first)] == first and set(visible()) >= {"1", "2", "3", "4"} and len(visible()) == len(set(visible()))
+
+
 def test_fan_out_isolates_sinks(spark, messages):
     seen = []
 
