@@ -10,16 +10,19 @@ from dataclasses import dataclass
 from datetime import datetime
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import json_fields as J
 from ..operators import records as R
 from ..sinks.documents import write_documents
-from ..sinks.fanout import Branch, Sink, fan_out
+from ..sinks.fanout import Branch, Sink, fan_out, replay
 from ..sinks.tables import BATCH, write_batch
 
+# Sinks of a topic that run side by side.
+AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class RecordType:
@@ -109,13 +112,8 @@ def shared_parse(kinds: tuple[RecordType, ...]):
     return lambda messages: R.shared_messages(messages, outputs, arrays)
 
 
-def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -> Sink:
-    """A ``foreachBatch`` function with the table, document and reject sinks of a topic below ``root``.
-
-    The day of a row is the day it is processed. Rows keep the batch id as a
-    partition above the day, so a repeated batch replaces itself in every sink,
-    also after midnight. What one sink cannot store is judged for that sink alone.
-    """
+def topic_branches(topic: str, root: str, now: str | None = None) -> list[Branch]:
+    """The table, document and reject sinks of a topic below ``root``."""
     branches = []
     for kind in TOPICS[topic]:
         sinks = {
@@ -124,7 +122,24 @@ def topic_writer(topic: str, root: str, now: str | None = None, on_error=None) -
             f"rejected_{kind.name}": _reject_sink(kind, f"{root}/rejected_{kind.name}"),
         }
         branches.append(Branch(kind.frame, sinks, hold=kind.array is not None))
-    return fan_out(branches, shared_parse(TOPICS[topic]), on_error)
+    return branches
+
+
+def topic_writer(topic: str, root: str, now: str | None = None, on_error=None, at_once: int = AT_ONCE, park: str | None = None) -> Sink:
+    """A ``foreachBatch`` function with all sinks of a topic below ``root``, ``at_once`` of them side by side.
+
+    The day of a row is the day it is processed. Rows keep the batch id as a
+    partition above the day, so a repeated batch replaces itself in every sink,
+    also after midnight. What one sink cannot store is judged for that sink alone.
+    With ``park``, what a failed sink was given waits there for ``replay_topic``.
+    """
+    return fan_out(topic_branches(topic, root, now), shared_parse(TOPICS[topic]), on_error, at_once, park)
+
+
+def replay_topic(spark: SparkSession, topic: str, root: str, park: str, now: str | None = None) -> list[tuple[str, int]]:
+    """Give what failed sinks of a topic had to leave to them once more."""
+    sinks = {name: sink for branch in topic_branches(topic, root, now) for name, sink in branch.sinks.items()}
+    return replay(spark, park, sinks)
 
 
 def _day(df: DataFrame, now: str | None) -> str:

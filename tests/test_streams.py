@@ -1,4 +1,5 @@
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from marketflow.session import scratch, shared_root
 from marketflow.sinks import files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
 from marketflow.sinks.documents import write_documents, write_json_texts
-from marketflow.sinks.fanout import Branch, SinkErrors, fan_out
+from marketflow.sinks.fanout import Branch, SinkErrors, fan_out, parked, replay
 from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
@@ -280,6 +281,71 @@ def test_fan_out_isolates_sinks(spark, messages):
     assert len(seen) == 4
 
 
+def test_a_slow_sink_does_not_hold_up_the_others(spark, messages):
+    """The slow sink ends only once all others have: one after another, it would wait for good."""
+    ended, pools = [threading.Event() for _ in range(3)], {}
+
+    def slow(df, batch_id):
+        pools["slow"] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        assert all(e.wait(60) for e in ended)
+
+    def quick(k):
+        def sink(df, batch_id):
+            assert df.count() == 2
+            ended[k].set()
+        return sink
+
+    branches = [Branch(lambda b: b, {"slow": slow, "a": quick(0)}), Branch(lambda b: b, {"b": quick(1), "c": quick(2)}, hold=False)]
+    fan_out(branches, at_once=4)(messages("{}", "{}"), 0)
+    assert pools == {"slow": "slow"}
+
+    def broken(df, batch_id):
+        raise RuntimeError("full disk")
+
+    with pytest.raises(SinkErrors, match="bad: full disk"):
+        fan_out([Branch(lambda b: b, {"bad": broken, "a": quick(0)})], at_once=2)(messages("{}", "{}"), 0)
+
+
+def test_rows_of_a_failed_sink_are_parked_and_replayed(spark, messages):
+    root = scratch(spark, "park")
+    failing = {"bad"}
+
+    def sink(name):
+        def write(df, batch_id):
+            if name in failing:
+                raise RuntimeError("full disk")
+            tables.write_batch(df.select("value"), f"{root}/{name}", batch_id)
+        return write
+
+    sinks = {"bad": sink("bad"), "good": sink("good")}
+    write = fan_out([Branch(lambda b: b.select("key", "value"), sinks)], at_once=2, park=f"{root}/park")
+    for batch_id in range(2):
+        write(messages(f"a{batch_id}", f"b{batch_id}"), batch_id)
+    values = lambda name: sorted(r.value for r in spark.read.parquet(f"{root}/{name}").collect())
+    assert values("good") == ["a0", "a1", "b0", "b1"] and [(n["sink"], n["batch_id"], n["error"]) for n in parked(spark, f"{root}/park")] == [("bad", 0, "full disk"), ("bad", 1, "full disk")]
+    with pytest.raises(SinkErrors, match="bad: full disk"):
+        replay(spark, f"{root}/park", sinks)
+    assert len(parked(spark, f"{root}/park")) == 2
+    failing.clear()
+    assert replay(spark, f"{root}/park", sinks) == [("bad", 0), ("bad", 1)] and values("bad") == values("good")
+    assert parked(spark, f"{root}/park") == [] and replay(spark, f"{root}/park", sinks) == [] and parked(spark, f"{root}/none") == []
+
+
+def test_a_topic_goes_on_without_a_sink_that_fails(spark, messages, monkeypatch):
+    root, real = scratch(spark, "topic"), ingest.write_documents
+    batch = messages('{"mtWmPoiId":"1","itemList":[{"spuId":5},{"spuId":6}]}', "broken")
+
+    def lost(*args, **options):
+        raise OSError("no store")
+
+    monkeypatch.setattr(ingest, "write_documents", lost)
+    ingest.topic_writer("shop1", root, "2024-06-01 00:00:00", park=f"{root}/park")(batch, 3)
+    assert spark.read.parquet(f"{root}/ods_item").count() == 2 and not os.path.exists(f"{root}/documents")
+    monkeypatch.setattr(ingest, "write_documents", real)
+    assert ingest.replay_topic(spark, "shop1", root, f"{root}/park", "2024-06-01 00:00:00") == [("doc_coupon", 3), ("doc_item", 3), ("doc_shop", 3)]
+    assert spark.read.json(f"{root}/documents/doc_index=item").count() == 2 and spark.read.json(f"{root}/documents/doc_index=shop").count() == 1
+
+
 def test_a_repeated_batch_replaces_itself(spark, messages):
     root = scratch(spark, "topic")
     write = ingest.topic_writer("comment1", root, "2024-06-01 00:00:00")
