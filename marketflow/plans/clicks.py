@@ -15,7 +15,7 @@ from ..sinks.keyed import KeyedTable
 from ..sinks.tables import create_table, insert_dynamic, insert_static, read_table, write_batch
 from ..sinks.topic import write_topic
 from ..sources.files import read_partition
-from ..sources.topic import topic_batch, topic_head, topic_stream
+from ..sources.topic import FILE_RECORDS, topic_batch, topic_head, topic_stream
 from ..streaming import runs
 from ..streaming.windows import RankedShops, windowed
 from . import fixtures as X
@@ -200,6 +200,33 @@ def src_topic_stream(spark, sf_dir):
     return read_table(spark, f"{root}/out", "topic string, key string, value string, partition int, offset long")
 
 
+def topic_latest(spark, sf_dir):
+    """Messages that a stream without a checkpoint finds which starts at the latest: those sent after it has been started.
+
+    The first half of the clicks is there before; the second half comes in two parts, the latter while the stream stands still.
+    """
+    root = scratch(spark, "latest")
+    messages = X.behavior_messages(_events(spark, sf_dir))
+    last = messages.agg(F.max("offset")).first()[0] or 0
+    old, late = F.col("offset") <= last // 2, F.col("offset") > last * 3 // 4
+    for part in (old, ~old & ~late, late):
+        write_topic(messages.where(part), path=f"{root}/topics")
+        stream = topic_stream(spark, ["user_behavior"], path=f"{root}/topics", start="latest", starts=f"{root}/starts")
+        runs.drain(runs.into_files(stream.select("key", "value", "partition", "offset"), f"{root}/out", f"{root}/checkpoint"))
+    return read_table(spark, f"{root}/out", "key string, value string, partition int, offset long")
+
+
+def topic_bounded(spark, sf_dir):
+    """All messages with the bound of a batch, and whether the batch that brought each kept to it."""
+    root, bound = scratch(spark, "bounded"), 2 * FILE_RECORDS
+    write_topic(X.behavior_messages(_events(spark, sf_dir)), path=f"{root}/topics", file_records=FILE_RECORDS)
+    stream = topic_stream(spark, ["user_behavior"], path=f"{root}/topics", max_per_trigger=bound).select("partition", "offset", "value")
+    runs.drain(runs.into_batches(stream, lambda batch, batch_id: write_batch(batch, f"{root}/out", batch_id), f"{root}/checkpoint"))
+    rows = read_table(spark, f"{root}/out", "partition int, offset long, value string, batch_id long")
+    sizes = rows.groupBy("batch_id").agg((F.count(F.lit(1)) <= bound).alias("kept"))
+    return rows.join(sizes, "batch_id").select("partition", "offset", "value", F.when(F.col("kept"), F.lit(bound)).alias("bound"))
+
+
 def topic_head_lines(spark, sf_dir):
     """The first records of the click topic."""
     root = scratch(spark, "head")
@@ -337,6 +364,8 @@ QUERIES = {
     "preview_limit": preview_limit,
     "topk_behavior": topk_behavior,
     "src_topic_stream": src_topic_stream,
+    "topic_latest": topic_latest,
+    "topic_bounded": topic_bounded,
     "topic_head": topic_head_lines,
     "behavior_partitioned": behavior_partitioned,
     "hot_shop_window_stream": hot_shop_window_stream,
@@ -378,6 +407,9 @@ ORACLES = {
       ORDER BY count DESC, mt_wm_poi_id LIMIT 3""",
     "src_topic_stream": f"""SELECT 'user_behavior' AS topic, user_id AS key, {_VALUE} AS value,
       CAST(part AS INT) AS partition, pos AS "offset" FROM ({X.BEHAVIOR_SQL})""",
+    "topic_latest": f"""SELECT user_id AS key, {_VALUE} AS value, CAST(part AS INT) AS partition, pos AS "offset" FROM ({X.BEHAVIOR_SQL})
+      WHERE pos > (SELECT max(event_id) // 2 FROM events)""",
+    "topic_bounded": f"""SELECT CAST(part AS INT) AS partition, pos AS "offset", {_VALUE} AS value, {2 * FILE_RECORDS} AS bound FROM ({X.BEHAVIOR_SQL})""",
     "topic_head": f"""SELECT 'topic=user_behavior, partition=' || part || ', offset=' || pos || ', customer=' || user_id
       || ', country=' || {_VALUE} AS line FROM ({X.BEHAVIOR_SQL}) ORDER BY part, pos LIMIT 51""",
     "behavior_partitioned": _ALL,

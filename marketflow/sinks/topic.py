@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 
-def write_topic(messages: DataFrame, servers: str | None = None, path: str | None = None) -> None:
+def write_topic(messages: DataFrame, servers: str | None = None, path: str | None = None, file_records: int | None = None) -> None:
+    """Append messages. ``file_records`` bounds the files of the stand-in, for streams that bound their batches by records."""
     if servers:
         messages.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
     else:
-        messages.write.mode("append").partitionBy("topic").json(path)
+        writer = messages.write.mode("append").partitionBy("topic")
+        (writer.option("maxRecordsPerFile", file_records) if file_records else writer).json(path)
 
 
 def topic_writer(messages: DataFrame, checkpoint: str, servers: str | None = None, path: str | None = None) -> DataStreamWriter:

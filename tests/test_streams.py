@@ -13,7 +13,7 @@ from marketflow.sinks.fanout import Branch, SinkErrors, fan_out, parked, replay
 from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
-from marketflow.sources.topic import kafka_options, topic_stream
+from marketflow.sources.topic import FILE_RECORDS, kafka_options, topic_stream
 from marketflow.streaming import ingest, runs
 from marketflow.streaming.shops import partitioned_shops, write_partitioned_shops
 from marketflow.streaming.windows import RankedShops, windowed
@@ -37,6 +37,55 @@ class Topic:
         return runs.drain(self.job(stream, self.root))
 
 
+def test_a_stream_from_the_latest_loses_nothing_while_it_stands_still(spark):
+    root = scratch(spark, "latest")
+    topics, starts = f"{root}/topics", f"{root}/starts"
+
+    def send(*records):
+        rows = [("t", None, v, p, o) for p, o, v in records]
+        write_topic(spark.createDataFrame(rows, "topic string, key string, value string, partition int, offset long").withColumn("timestamp", F.lit(None).cast("timestamp")), path=topics)
+
+    def read():
+        stream = topic_stream(spark, ["t"], path=topics, start="latest", starts=starts).select("value")
+        runs.drain(runs.into_files(stream, f"{root}/out", f"{root}/checkpoint"))
+        return sorted(r.value for r in spark.read.schema("value string").parquet(f"{root}/out").collect())
+
+    send((0, 0, "old"), (0, 1, "old"), (1, 0, "old"))
+    assert read() == []
+    send((0, 2, "a"), (1, 1, "b"), (2, 0, "c"))  # with a partition that is new
+    assert read() == ["a", "b", "c"]
+    send((0, 3, "d"))
+    assert read() == ["a", "b", "c", "d"] == read()
+    assert {(r.partition, r.next) for r in spark.read.parquet(starts).collect()} == {(0, 2), (1, 1)}
+    with pytest.raises(ValueError):
+        topic_stream(spark, ["t"], path=topics, start="latest")
+    with pytest.raises(ValueError):
+        topic_stream(spark, ["t"], path=topics, start="middle")
+
+
+def test_a_bounded_stream_goes_on_where_it_stood(spark, monkeypatch):
+    root, sizes, failing = scratch(spark, "bounded"), [], [True]
+    rows = spark.range(0, 2300, 1, 1).select(F.lit("t").alias("topic"), F.lit(None).cast("string").alias("key"), F.col("id").cast("string").alias("value"), F.lit(0).alias("partition"), F.col("id").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    write_topic(rows, path=f"{root}/topics", file_records=FILE_RECORDS)
+
+    def write(batch, batch_id):
+        if batch_id == 1 and failing[0]:
+            raise RuntimeError("stopped")
+        sizes.append(batch.count())
+        tables.write_batch(batch.select("value"), f"{root}/out", batch_id)
+
+    def run():
+        stream = topic_stream(spark, ["t"], path=f"{root}/topics", max_per_trigger=1100)
+        runs.drain(runs.into_batches(stream, write, f"{root}/checkpoint"))
+
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    failing[0] = False
+    run()
+    assert len(sizes) == 3 and max(sizes) <= 1100 and sum(sizes) == 2300
+    assert sorted(int(r.value) for r in spark.read.parquet(f"{root}/out").collect()) == list(range(2300))
+
+
 def test_late_rows_count_in_the_closing_batch_only(spark):
     def job(stream, root):
         return runs.into_files(windowed(B.behaviors(stream)), f"{root}/out", f"{root}/checkpoint")
