@@ -12,6 +12,13 @@ from pyspark.sql import functions as F
 TOKEN = r"[\p{L}\p{N}]+"
 
 
+def require_text(**arguments: str | None) -> None:
+    """An error that names the arguments of a job that are missing or blank."""
+    blank = [name for name, value in arguments.items() if value is None or not value.strip()]
+    if blank:
+        raise ValueError(f"blank arguments: {', '.join(blank)}")
+
+
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TOKEN})"))
 

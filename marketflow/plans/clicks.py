@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, times
 from ..operators import behavior as B
+from ..operators import views as V
 from ..operators.ranking import top_rows
 from ..schemas import BEHAVIOR
 from ..session import configure, scratch
@@ -285,6 +286,15 @@ def ranked_upsert_stream(spark, sf_dir):
     return table.result(query.lastProgress.batchId)
 
 
+def view_stream(spark, sf_dir):
+    """A stream of clicks under a name, queried in SQL."""
+    root = scratch(spark, "view")
+    sql = "SELECT session_id, upper(platform) AS platform, source FROM click_stream WHERE shop_name LIKE 'shop_1%' AND hr < '12'"
+    rows = V.query(spark, sql, {"click_stream": _behavior_stream(spark, sf_dir)})
+    runs.drain(runs.into_files(rows, f"{root}/out", f"{root}/checkpoint"))
+    return read_table(spark, f"{root}/out", "session_id string, platform string, source string")
+
+
 def late_drop(spark, sf_dir):
     """Sign-ups arrive after all other clicks: those of closed windows are dropped."""
     root = scratch(spark, "late")
@@ -372,6 +382,7 @@ QUERIES = {
     "watermark_3500ms": watermark_3500ms,
     "hot_shop_top3_stream": hot_shop_top3_stream,
     "ranked_upsert_stream": ranked_upsert_stream,
+    "view_stream": view_stream,
     "late_drop": late_drop,
     "restart_no_duplicates": restart_no_duplicates,
     "partition_commit": partition_commit,
@@ -388,6 +399,8 @@ ORACLES = {
     "reject_clicks": f"""SELECT event_id AS "offset", CASE WHEN {X.CUT_CLICK} THEN 'not_an_object' WHEN {X.LOST_TIME} THEN 'bad_time' END
       AS reject_reason, CASE WHEN NOT {X.CUT_CLICK} AND NOT {X.LOST_TIME} THEN CAST(event_id AS VARCHAR) END AS session_id FROM events""",
     "time_key_concat": f"SELECT session_id, dt || ' ' || hr || ':' || mm AS time_key, mt_wm_poi_id || shop_name AS name FROM ({X.BEHAVIOR_SQL})",
+    "view_stream": f"""SELECT session_id, upper(platform) AS platform, source FROM ({X.BEHAVIOR_SQL})
+      WHERE shop_name LIKE 'shop_1%' AND hr < '12'""",
     "surrogate_id": f"""SELECT session_id, md5(platform || '|' || mt_wm_poi_id || '|' || dt || ' ' || hr || ':' || mm) AS id
       FROM ({X.BEHAVIOR_SQL})""",
     "date_parts": f"SELECT session_id, create_time, dt, hr, mm, epoch_ms(event_time) AS epoch_ms FROM ({X.BEHAVIOR_SQL})",

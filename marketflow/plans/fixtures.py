@@ -153,7 +153,7 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
         if as_text:
             unread = F.replace(text, F.lit('"itemList":null'), F.lit('"itemList":"[{"'))
         else:
-            unread = F.concat(F.lit('{"itemList":{"spuId":1},'), F.substring(text, 2, 100_000))
+            unread = F.concat(F.lit('{"itemList":{"spuId":1},'), F.substr(text, F.lit(2)))
         return F.when(F.expr(BAD_LIST), unread).otherwise(text)
 
     return _line_messages(lineitem, "shop1", message)

@@ -13,6 +13,7 @@ from ..functions import times
 from ..operators import records as R
 from ..session import configure, scratch
 from ..sinks.documents import read_documents, write_documents, write_json_texts
+from ..sinks.rolling import RollingLines
 from ..sinks.tables import read_table, write_batch, write_dated
 from ..streaming import ingest as I
 from ..streaming import runs
@@ -151,12 +152,14 @@ def tsv_line(spark, sf_dir):
 
 
 def tsv_bucketed(spark, sf_dir):
-    """Shop lines streamed into a folder per day of a zone."""
+    """Shop lines streamed into rolling files in a folder per day of a zone, each day then compacted."""
     root = scratch(spark, "lines")
     shops = shop_events(_shop_stream(spark, sf_dir), F.lit(X.NOW).cast("timestamp"))
-    writer = runs.into_files(shop_lines(shops, ZONE), f"{root}/out", f"{root}/checkpoint", "text", ("batch_date",))
-    runs.drain(writer)
-    lines = read_table(spark, f"{root}/out", "value string, batch_date string", "text")
+    sink = RollingLines(spark, f"{root}/out")
+    runs.drain(runs.into_batches(shop_lines(shops, ZONE), sink, f"{root}/checkpoint"))
+    for day in sink.days():
+        sink.compact(day)
+    lines = sink.read()
     return lines.select(F.col("value").alias("line"), "batch_date")
 
 

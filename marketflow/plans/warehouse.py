@@ -9,17 +9,19 @@ from .. import schemas as S
 from ..operators import cells as C
 from ..operators import dedup as D
 from ..operators import records as R
+from ..operators import views as V
 from ..operators.extract import shop_catalog
 from ..session import configure, scratch
-from ..sinks.cells import CellStore, newest
+from ..sinks.cells import CellStore, bulk_load, newest
 from ..sinks.files import write_csv, write_lines
-from ..sinks.tables import create_table, insert_dynamic
+from ..sinks.tables import create_table, insert_dynamic, read_table, write_ordered
 from ..sources.files import read_delimited, read_lines, read_partition
 from ..sources.jdbc import records_since
 from . import fixtures as X
 from . import ingest as G
 
 SINCE = "1995-06-13 22:00:30"
+RECORD = "response string, request string, create_time string"
 FROM_KEY, TO_KEY, KEYS = "11", "15", ("7", "104", "13", "none")
 
 
@@ -28,8 +30,10 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def record_scan_filter(spark, sf_dir):
-    """Records created after a time; the same filter a database scan gets."""
-    return records_since(_records(spark, sf_dir), SINCE).select("request", "create_time")
+    """Records created after a time, from a table stored by time: the filter is the scan's own, as it is a database's."""
+    path = scratch(spark, "records")
+    write_ordered(_records(spark, sf_dir), path, "create_time")
+    return records_since(read_table(spark, path, RECORD), SINCE).select("request", "create_time")
 
 
 def _csv_query(name: str):
@@ -117,7 +121,7 @@ def cells_get(spark, sf_dir):
     return newest(_stored_shops(spark, sf_dir).get(KEYS))
 
 
-def _written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _line_folder(spark: SparkSession, sf_dir: str) -> str:
     """Shop lines in a day folder; lines of nation 1 stop after three fields."""
     customers = X.load(configure(spark), sf_dir, "customer").withColumn("dp_shop_id", F.lit("0"))
     columns = ["c_custkey", "dp_shop_id", "c_name", "c_nationkey", "c_mktsegment"]
@@ -125,7 +129,25 @@ def _written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = R.delimited_line(customers.where("c_nationkey = 1"), columns[:3])
     path = scratch(spark, "lines")
     write_lines(long.unionAll(short).withColumn("batch_date", F.lit(X.DAY)), path)
-    return read_lines(spark, f"{path}/batch_date={X.DAY}")
+    return f"{path}/batch_date={X.DAY}"
+
+
+def _written_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_lines(spark, _line_folder(spark, sf_dir))
+
+
+def cells_bulk_load(spark, sf_dir):
+    """Cells of a store that was loaded from lines."""
+    store, _ = bulk_load(spark, _line_folder(spark, sf_dir), scratch(spark, "stores"), "shops", files=3)
+    return store.cells().drop("load")
+
+
+def view_distinct(spark, sf_dir):
+    """Shops and items of records as named views, joined and made distinct in SQL."""
+    found = shop_catalog(records_since(_records(spark, sf_dir), SINCE), X.NOW)
+    sql = """SELECT r.wm_poi_id, count(DISTINCT i.spu_id) AS items, min(i.spu_name) AS first_item
+             FROM relation r JOIN item i ON i.spu_id = r.spu_id GROUP BY r.wm_poi_id"""
+    return V.query(spark, sql, {"relation": found["relation"], "item": found["item"]})
 
 
 def tsv_scan_cells(spark, sf_dir):
@@ -166,6 +188,9 @@ _STORED_CELLS = f"""SELECT *, CAST(0 AS BIGINT) AS load FROM ({_cells_sql(_WIDE)
       UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'info', 'shop_status', '99', 1 FROM customer WHERE c_nationkey = 2"""
 _NEWEST_CELLS = f"SELECT rowkey, family, qualifier, arg_max(value, load) AS value FROM ({_STORED_CELLS})"
 
+_LINES_WIDE = """SELECT CAST(c_custkey AS VARCHAR) AS wm_poi_id, c_name AS shop_name,
+  CAST(c_nationkey AS VARCHAR) AS shop_status, c_mktsegment AS shop_pic FROM customer WHERE c_nationkey <> 1"""
+
 QUERIES = {
     "record_scan_filter": record_scan_filter,
     "csv_shop": _csv_query("shop"),
@@ -180,6 +205,8 @@ QUERIES = {
     "cells_stored": cells_stored,
     "cells_range": cells_range,
     "cells_get": cells_get,
+    "cells_bulk_load": cells_bulk_load,
+    "view_distinct": view_distinct,
     "tsv_scan_cells": tsv_scan_cells,
     "tsv_short_lines": tsv_short_lines,
 }
@@ -202,7 +229,11 @@ ORACLES = {
     "cells_stored": _STORED_CELLS,
     "cells_range": f"{_NEWEST_CELLS} WHERE rowkey >= '{FROM_KEY}' AND rowkey < '{TO_KEY}' GROUP BY rowkey, family, qualifier",
     "cells_get": f"{_NEWEST_CELLS} WHERE rowkey IN {KEYS} GROUP BY rowkey, family, qualifier",
-    "tsv_scan_cells": _cells_sql("""SELECT CAST(c_custkey AS VARCHAR) AS wm_poi_id, c_name AS shop_name,
-      CAST(c_nationkey AS VARCHAR) AS shop_status, c_mktsegment AS shop_pic FROM customer WHERE c_nationkey <> 1"""),
+    "cells_bulk_load": _cells_sql(_LINES_WIDE),
+    "view_distinct": f"""WITH relation AS (SELECT DISTINCT * FROM ({G._union([{**r, **_NOW} for r in _RELATION], f"{G._ITEM_ROWS} AND {_RECORD}")})),
+      item AS (SELECT DISTINCT * FROM ({G._union([{**G._pick(i, "spu_id", "spu_name"), **_NOW} for i in G._ITEMS], f"{G._ITEM_ROWS} AND {_RECORD}")}))
+      SELECT r.wm_poi_id, count(DISTINCT i.spu_id) AS items, min(i.spu_name) AS first_item
+      FROM relation r JOIN item i ON i.spu_id = r.spu_id GROUP BY r.wm_poi_id""",
+    "tsv_scan_cells": _cells_sql(_LINES_WIDE),
     "tsv_short_lines": "SELECT c_custkey || chr(9) || '0' || chr(9) || c_name AS line FROM customer WHERE c_nationkey = 1",
 }

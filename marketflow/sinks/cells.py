@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cells import sort_cells
+from ..functions.text import require_text
+from ..operators.cells import SHOP_LINE_POSITIONS, sort_cells, split_fields, to_cells
+from ..sources.files import read_lines
 
 CELLS = "rowkey string, family string, qualifier string, value string"
 PLACE = ("rowkey", "family", "qualifier")
@@ -75,3 +77,17 @@ def newest(cells: DataFrame) -> DataFrame:
     """One value per cell: of the latest load, there the greatest."""
     last = F.max(F.struct("load", "value"))["value"].alias("value")
     return cells.groupBy(*PLACE).agg(last)
+
+
+def bulk_load(spark: SparkSession, source: str, target: str, table: str, positions: dict[str, int] | None = None, load: int = 0,
+              files: int | None = None) -> tuple[CellStore, DataFrame]:
+    """Load delimited lines below ``source`` into the store of a table below ``target``.
+
+    Gives the store and the lines that are too short. None of the names may be blank. The first of the positions is the row key's.
+    """
+    require_text(source=source, target=target, table=table)
+    positions = SHOP_LINE_POSITIONS if positions is None else positions
+    good, short = split_fields(read_lines(spark, source), positions)
+    store = CellStore(spark, f"{target}/{table}")
+    store.load(to_cells(good, rowkey=next(iter(positions)), columns=list(positions)), load, files)
+    return store, short

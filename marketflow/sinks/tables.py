@@ -58,6 +58,15 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str], fmt:
     gathered(df, partitions).write.mode(mode).format(fmt).partitionBy(*partitions).save(path)
 
 
+def write_ordered(df: DataFrame, path: str, column: str, mode: str = "overwrite", group_bytes: int | None = None) -> None:
+    """Rows ranged over files and sorted by a column, so that a filter on it skips files and row groups by their bounds.
+
+    ``group_bytes`` sets the size of a row group.
+    """
+    writer = df.repartitionByRange(column).sortWithinPartitions(column).write.mode(mode)
+    (writer.option("parquet.block.size", group_bytes) if group_bytes else writer).parquet(path)
+
+
 def write_dated(df: DataFrame, path: str, day: str, column: str = "batch_date") -> None:
     """Append rows that all belong to one day; nothing is shuffled."""
     df.withColumn(column, F.lit(day)).write.mode("append").partitionBy(column).parquet(path)

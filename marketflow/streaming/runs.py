@@ -15,6 +15,11 @@ def start(writer: DataStreamWriter, interval: str = BATCH_INTERVAL) -> Streaming
     return writer.trigger(processingTime=interval).start()
 
 
+def roll(writer: DataStreamWriter) -> StreamingQuery:
+    """Run for good with the interval of rolling files: each batch closes the files it writes."""
+    return start(writer, ROLL_INTERVAL)
+
+
 def drain(writer: DataStreamWriter) -> StreamingQuery:
     """Process what the source holds now and stop; the same checkpoint continues later."""
     query = writer.trigger(availableNow=True).start()

@@ -3,9 +3,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search
+from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search, views
 from marketflow.session import scratch
-from marketflow.sinks.cells import CellStore, newest
+from marketflow.sinks.cells import CellStore, bulk_load, newest
+from marketflow.sinks.tables import read_table, write_ordered
+from marketflow.sources.jdbc import records_since
 
 
 def table(spark, schema, *rows):
@@ -144,6 +146,54 @@ def test_short_lines_are_set_aside(spark):
     assert short.count() == 4
 
 
+def test_a_bulk_load_needs_its_arguments(spark, tmp_path):
+    for blank in ("", "  ", None):
+        with pytest.raises(ValueError, match="blank arguments: target, table"):
+            bulk_load(spark, "lines", blank, blank)
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.txt").write_text("2\tx\tn\ts\tp\n1\tx\tn\n10\t\tm\t\tq\n")
+    store, short = bulk_load(spark, str(tmp_path / "lines"), str(tmp_path), "shops")
+    assert [tuple(r)[0::3] for r in store.get(["10"]).drop("load").orderBy("qualifier").collect()] == [("10", "m"), ("10", "q"), ("10", ""), ("10", "10")]
+    assert as_set(short) == {("1\tx\tn",)} and store.cells().count() == 8
+
+
+# -- views
+
+
+def test_views_are_named_for_sql(spark):
+    views.name_views({"left_rows": spark.range(4), "right_rows": spark.range(2, 6)})
+    assert as_set(views.query(spark, "SELECT l.id FROM left_rows l JOIN right_rows r USING (id)")) == {(2,), (3,)}
+    assert views.query(spark, "SELECT count(*) AS n FROM left_rows", {"left_rows": spark.range(9)}).first().n == 9
+    views.drop_views(spark, "left_rows", "right_rows", "never_named")
+    with pytest.raises(Exception, match="left_rows"):
+        spark.sql("SELECT * FROM left_rows").collect()
+
+
+# -- tables by time
+
+
+def test_a_filter_on_time_skips_files_and_row_groups(spark):
+    path = scratch(spark, "ordered")
+    rows = spark.range(0, 60_000, 1, 4).select(F.concat(F.lit("{"), F.sha2(F.col("id").cast("string"), 256)).alias("response"), F.lit("q").alias("request"),
+                                               F.date_format(F.timestamp_seconds(F.lit(1_600_000_000) + (F.col("id") * 7919) % 60_000), "yyyy-MM-dd HH:mm:ss").alias("create_time"))
+    write_ordered(rows, path, "create_time", group_bytes=64 << 10)
+    since = "2020-09-14 03:40:00"
+    found = records_since(read_table(spark, path, "response string, request string, create_time string"), since)
+    plan = found._jdf.queryExecution().executedPlan()
+    assert f"GreaterThan(create_time,{since})" in plan.toString().split("PushedFilters: ")[1]
+    assert as_set(found) == as_set(rows.where(F.col("create_time") > since).select("response", "request", "create_time")) and found.count() > 5000
+    found.collect()
+
+    def scanned(node):
+        own = node.metrics().get("numOutputRows").get().value() if "Scan" in node.nodeName() else 0
+        children = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.children().apply(i) for i in range(node.children().size())]
+        return own + sum(map(scanned, children))
+
+    again = records_since(read_table(spark, path, "response string, request string, create_time string"), since)
+    again._jdf.collect()
+    assert found.count() <= scanned(again._jdf.queryExecution().executedPlan()) < 30_000
+
+
 # -- keyed changes
 
 

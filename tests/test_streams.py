@@ -11,6 +11,7 @@ from marketflow.sinks.commit import PartitionCommit
 from marketflow.sinks.documents import write_documents, write_json_texts
 from marketflow.sinks.fanout import Branch, SinkErrors, fan_out, parked, replay
 from marketflow.sinks.keyed import KeyedTable
+from marketflow.sinks.rolling import RollingLines
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
 from marketflow.sources.topic import FILE_RECORDS, kafka_options, topic_stream
@@ -421,6 +422,61 @@ def test_quarantine(spark, messages):
     assert spark.read.text(f"{root}/d").count() == 1 and spark.read.text(f"{root}/q").count() == 2
 
 
+def lines(spark, *rows):
+    return spark.createDataFrame(list(rows), "value string, batch_date string")
+
+
+def data_files(sink, day):
+    folder = f"{sink.path}/batch_date={day}"
+    return sorted(f for f in os.listdir(folder) if f.endswith(".txt"))
+
+
+def test_rolling_files_are_bounded_and_a_repeated_batch_replaces_its_own(spark):
+    sink = RollingLines(spark, scratch(spark, "rolling"), max_records=10)
+    many = spark.range(35).select(F.col("id").cast("string").alias("value"), F.lit("d1").alias("batch_date")).repartition(8)
+    for _ in range(2):
+        sink(many, 0)
+    sink(lines(spark, ("x", "d1"), ("y", "d2")), 1)
+    assert sorted(r.value for r in sink.read().collect()) == sorted([*map(str, range(35)), "x", "y"]) and sink.days() == ["d1", "d2"]
+    files = data_files(sink, "d1")
+    assert [f.split("-")[0] for f in files] == ["0"] * 4 + ["1"]
+    assert all(sum(1 for _ in open(f"{sink.path}/batch_date=d1/{f}")) <= 10 for f in files)
+    sink(lines(spark), 2)
+    assert sink.read().count() == 37
+
+
+def test_small_files_of_a_day_are_joined(spark, monkeypatch):
+    sink = RollingLines(spark, scratch(spark, "rolling"))
+    for batch_id in range(6):
+        sink(lines(spark, (f"a{batch_id}", "d1"), (f"é{batch_id}", "d1"), ("b", "d2")), batch_id)
+    before = sorted(map(tuple, sink.read().collect()))
+    assert sink.compact("d1") and not sink.compact("d1") and not sink.compact("none")
+    assert len(data_files(sink, "d1")) == 1 and len(data_files(sink, "d2")) == 6 and sorted(map(tuple, sink.read().collect())) == before
+    assert sink.compact("d2", part_bytes=4) and len(data_files(sink, "d2")) == 3 and sorted(map(tuple, sink.read().collect())) == before
+
+
+@pytest.mark.parametrize("at", [1, 2])
+def test_a_compaction_that_broke_off_is_finished(spark, monkeypatch, at):
+    """After the first rename the day is gone for readers, after the second the old folder is left: the next one makes it good."""
+    sink = RollingLines(spark, scratch(spark, "rolling"))
+    for batch_id in range(4):
+        sink(lines(spark, (f"a{batch_id}", "d1")), batch_id)
+    before, rename, calls = sorted(map(tuple, sink.read().collect())), sink._rename, []
+
+    def broken(source, target):
+        rename(source, target)
+        calls.append(target)
+        if len(calls) == at:
+            raise OSError("lost")
+
+    monkeypatch.setattr(sink, "_rename", broken)
+    with pytest.raises(OSError, match="lost"):
+        sink.compact("d1")
+    monkeypatch.setattr(sink, "_rename", rename)
+    assert not sink.compact("d1") and sorted(map(tuple, sink.read().collect())) == before and len(data_files(sink, "d1")) == 1
+    assert os.listdir(f"{sink.path}/_replaced") == []
+
+
 def test_console(spark):
     topic = Topic(spark, lambda stream, root: runs.into_console(stream.select("value"), f"{root}/checkpoint"))
     progress = topic.send('{"shown":1}').recentProgress[0]
