@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import mutate as M
-from ..session import configure
+from ..session import configure, scratch
+from ..sinks.bucketed import DocumentTable
 from . import fixtures as X
 
 
@@ -21,6 +22,12 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DocumentTable:
+    """The stored customers in buckets of their key."""
+    path = scratch(spark, "documents")
+    return DocumentTable(configure(spark), f"mf_documents_{path[-12:]}", "id", 8).write(_stored(spark, sf_dir), path)
+
+
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small parts change the name only, the others name and fee."""
     return X.load(configure(spark), sf_dir, "part").select(
@@ -51,18 +58,18 @@ def partial_update(spark, sf_dir):
 
 
 def put_by_id(spark, sf_dir):
-    return M.put(_stored(spark, sf_dir), _changes(spark, sf_dir), "id")
+    return _documents(spark, sf_dir).put(_changes(spark, sf_dir))
 
 
 def delete_by_id(spark, sf_dir):
     """Customers whose number no supplier has."""
     keys = X.load(configure(spark), sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
-    return M.delete(_stored(spark, sf_dir), keys, "id")
+    return _documents(spark, sf_dir).delete(keys)
 
 
 def multi_get(spark, sf_dir):
     """The documents of all part keys; keys without a document give no row."""
-    found = M.get_many(_stored(spark, sf_dir), _changes(spark, sf_dir), "id")
+    found = _documents(spark, sf_dir).get(_changes(spark, sf_dir))
     fields = "shop_name string, min_fee double, shop_pic string"
     return found.select("id", F.inline(F.array(F.from_json("document", fields))))
 

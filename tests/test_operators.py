@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search, views
 from marketflow.session import scratch
+from marketflow.sinks.bucketed import DocumentTable
 from marketflow.sinks.cells import CellStore, bulk_load, newest
 from marketflow.sinks.tables import read_table, write_ordered
 from marketflow.sources.jdbc import records_since
@@ -14,6 +15,13 @@ def table(spark, schema, *rows):
     return spark.createDataFrame(list(rows), schema)
 
 
+def scan_rows(node):
+    """Rows that the scans of a plan that has run gave."""
+    own = node.metrics().get("numOutputRows").get().value() if "Scan" in node.nodeName() else 0
+    children = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.children().apply(i) for i in range(node.children().size())]
+    return own + sum(map(scan_rows, children))
+
+
 def as_set(df):
     return {tuple(r) for r in df.collect()}
 
@@ -184,14 +192,9 @@ def test_a_filter_on_time_skips_files_and_row_groups(spark):
     assert as_set(found) == as_set(rows.where(F.col("create_time") > since).select("response", "request", "create_time")) and found.count() > 5000
     found.collect()
 
-    def scanned(node):
-        own = node.metrics().get("numOutputRows").get().value() if "Scan" in node.nodeName() else 0
-        children = [node.executedPlan()] if node.nodeName() == "AdaptiveSparkPlan" else [node.children().apply(i) for i in range(node.children().size())]
-        return own + sum(map(scanned, children))
-
     again = records_since(read_table(spark, path, "response string, request string, create_time string"), since)
     again._jdf.collect()
-    assert found.count() <= scanned(again._jdf.queryExecution().executedPlan()) < 30_000
+    assert found.count() <= scan_rows(again._jdf.queryExecution().executedPlan()) < 30_000
 
 
 # -- keyed changes
@@ -241,6 +244,66 @@ def test_put_delete_get(spark):
     assert as_set(mutate.get_many(stored(spark), rows, "id")) == {(2, '{"id":2,"a":"a2","b":"b2"}')}
 
 
+@pytest.fixture
+def documents(spark):
+    path = scratch(spark, "bucketed")
+    rows = spark.range(20_000).select("id", F.concat(F.lit("a"), "id").alias("a"), F.col("id").cast("string").alias("b"))
+    table = DocumentTable(spark, f"documents_{path[-12:]}", "id", 8).write(rows, path)
+    yield table
+    spark.sql(f"DROP TABLE {table.name}")
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_one_key_opens_one_bucket(spark, documents):
+    """The scan gives an eighth of the rows that it gives without regard to buckets."""
+
+    def scanned():
+        found = documents.lookup(77)
+        assert [tuple(r) for r in found.collect()] == [(77, "a77", "77")]
+        found = documents.lookup(77)
+        found._jdf.collect()
+        return scan_rows(found._jdf.queryExecution().executedPlan())
+
+    own = scanned()
+    spark.conf.set("spark.sql.sources.bucketing.enabled", "false")
+    try:
+        assert 0 < 6 * own < scanned()
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.enabled")
+    assert documents.get([5, -1]).count() == 1 and len(documents.rows.inputFiles()) == 8
+
+
+def test_stored_buckets_are_joined_where_they_lie(spark, documents):
+    """With changes too large to broadcast: no shuffle above the stored side, whose scan is by buckets."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = spark.range(10_000, 30_000).select("id", F.lit("new").alias("a"))
+        results = {"put": documents.put(changes), "delete": documents.delete(changes), "get": documents.get(changes), "upsert": documents.upsert(changes)}
+        plans = {name: plan_of(df) for name, df in results.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {name: df.count() for name, df in results.items()} == {"put": 30_000, "delete": 10_000, "get": 10_000, "upsert": 30_000}
+    assert results["upsert"].where("a = 'new' AND b IS NOT NULL").count() == 10_000 and results["put"].where("a = 'new' AND b IS NOT NULL").count() == 0
+    for name, plan in plans.items():
+        lines = plan.splitlines()
+        scans = [i for i, line in enumerate(lines) if "FileScan" in line and "Bucketed: true" in line]
+        assert scans and "Join" in plan, name
+        for i in scans:
+            depth = lines[i].index("FileScan")
+            for line in reversed(lines[:i]):  # up to the join over this scan
+                at = len(line) - len(line.lstrip(" :+-*0123456789()"))
+                if at < depth:
+                    assert "Exchange" not in line, (name, line)
+                    depth = at
+                    if "Join" in line:
+                        break
+
+
 # -- change messages
 
 
