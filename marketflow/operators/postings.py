@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import auto_edits, tokens
 from . import grams as G
-from .search import field_score, near_token, query_terms, token_like
+from .search import field_score, near_token, query_terms, query_tokens, token_like
 
 # Terms that go into a query as literals; more are joined.
 LITERAL_TERMS = 1000
@@ -45,6 +45,10 @@ class Postings:
     def grams(self) -> DataFrame:
         return self._read("grams", G.GRAMS)
 
+    @property
+    def places(self) -> DataFrame:
+        return self._read("places", f"field string, term string, `{self.id_column}` {self.id_type}, places array<int>")
+
     @property
     def totals(self) -> DataFrame:
         return self._read("totals", "field string, documents long, tokens long")
@@ -78,6 +82,37 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Column], path: str, id_
     return index
 
 
+def build_places(docs: DataFrame, fields: Mapping[str, Column], index: Postings) -> Postings:
+    """Write where each term stands in each document, in tokens from its start, beside an index; phrase search needs it."""
+    held = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.coalesce(c, F.lit(""))).alias("tokens")) for f, c in fields.items()))
+    spread = docs.select(F.col(index.id_column), F.inline(held)).select(index.id_column, "field", F.posexplode("tokens").alias("pos", "term"))
+    order = ["field", "term", index.id_column]
+    places = spread.groupBy(*order).agg(F.array_sort(F.collect_list("pos")).alias("places"))
+    places.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("field").parquet(f"{index.path}/places")
+    return index
+
+
+def _moved(places: Column, by: int) -> Column:
+    return F.transform(places, lambda place: place + F.lit(by))
+
+
+def phrase(index: Postings, query: str, field: str) -> DataFrame:
+    """Ids of the documents in which the tokens of the query follow one another, and how often they do.
+
+    Only the rows of the query's own terms are read. A place counts if every term stands as far behind it as in the query.
+    """
+    terms = query_tokens(query)
+    if not terms:
+        return index.places.where(F.lit(False)).select(index.id_column, F.lit(0).alias("occurrences"))
+    rows = index.places.where((F.col("field") == field) & F.col("term").isin(sorted(set(terms))))
+    distinct = list(dict.fromkeys(terms))
+    each = rows.groupBy(index.id_column).agg(*(F.first(F.when(F.col("term") == t, F.col("places")), ignorenulls=True).alias(f"_at_{i}") for i, t in enumerate(distinct)))
+    begins = [_moved(F.col(f"_at_{distinct.index(t)}"), -i) for i, t in enumerate(terms)]
+    common = reduce(F.array_intersect, begins)
+    found = each.where(reduce(and_, (F.col(f"_at_{i}").isNotNull() for i in range(len(distinct)))))
+    return found.select(index.id_column, F.size(common).alias("occurrences")).where("occurrences > 0")
+
+
 def _statistics(index: Postings, fields: Sequence[str], terms: Sequence[str]) -> tuple[Column, Column]:
     """The totals, and the documents of each term, as one row each."""
     sums, counts = [], []

@@ -25,9 +25,14 @@ PRE_TAG, POST_TAG = '<span style="color:red">', "</span>"
 MATCH_SIZE, TERM_SIZE = 10, 20
 
 
+def query_tokens(text: str) -> list[str]:
+    """Tokens of a query in order."""
+    return re.findall(r"[^\W_]+", text.lower())
+
+
 def query_terms(text: str) -> list[str]:
     """Distinct tokens of a query in order."""
-    return list(dict.fromkeys(re.findall(r"[^\W_]+", text.lower())))
+    return list(dict.fromkeys(query_tokens(text)))
 
 
 def _occurrences(found: Column, term: str) -> Column:
@@ -127,6 +132,17 @@ def token_like(token: Column, content: str) -> Column:
     return token.rlike("".join({"*": ".*", "?": "."}.get(ch, re.escape(ch)) for ch in content))
 
 
+def phrase(docs: DataFrame, field: str, query: str) -> DataFrame:
+    """Documents in which the tokens of the query follow one another, with ``occurrences``."""
+    terms, found = query_tokens(query), F.col("_tokens")
+    starts = F.filter(F.sequence(F.lit(1), F.size(found) - len(terms) + 1), lambda i: F.slice(found, i, len(terms)) == F.array(*map(F.lit, terms)))
+    spread = docs.select("*", F.inline(F.array(F.struct(tokens(F.coalesce(F.col(field), F.lit(""))).alias("_tokens")))))
+    if not terms:
+        return docs.where(F.lit(False)).withColumn("occurrences", F.lit(0))
+    counted = spread.where(F.size(found) >= len(terms)).withColumn("occurrences", F.size(starts))
+    return counted.where("occurrences > 0").select(*docs.columns, "occurrences")
+
+
 def wildcard(docs: DataFrame, field: str, content: str) -> DataFrame:
     """Documents with a token that matches ``*content*``; ``*`` and ``?`` inside keep their meaning."""
     likely = docs if re.search(r"[*?]", content) else docs.where(F.contains(F.lower(field), F.lit(content)))

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.text import lines
 from ..operators import postings as P
 from ..operators import search as T
-from ..session import configure, file_state, scratch
+from ..session import configure, file_state, path_exists, scratch
 from . import fixtures as X
 
 QUERY = "Worthless license, und pour"
 MUST, SHOULD, MUST_NOT = ("the", "of"), ("worthless", "license"), ("click",)
+PHRASE, REPEATED = "The and Attion, to thanedble", "the the the"
 TERM, PART, PATTERN, NEAR = "license", "thle", "ti?n*er", "lisence"
 
 
@@ -90,6 +91,24 @@ def search_fuzzy(spark, sf_dir):
     return _placed(P.fuzzy(_index(spark, sf_dir), "text", NEAR), spark, sf_dir)
 
 
+def _places(spark: SparkSession, sf_dir: str) -> P.Postings:
+    """The index of a folder with the places of its terms in the texts."""
+    index = _index(spark, sf_dir)
+    if not path_exists(spark, f"{index.path}/places/_SUCCESS"):
+        P.build_places(_docs(spark, sf_dir), {"text": F.col("text")}, index)
+    return index
+
+
+def search_phrase(spark, sf_dir):
+    """Documents with a phrase, and how often each has it."""
+    return _placed(P.phrase(_places(spark, sf_dir), PHRASE, "text"), spark, sf_dir)
+
+
+def search_phrase_repeated(spark, sf_dir):
+    """A phrase of one word three times: occurrences overlap."""
+    return _placed(P.phrase(_places(spark, sf_dir), REPEATED, "text"), spark, sf_dir)
+
+
 def search_match_all(spark, sf_dir):
     return T.page(_docs(spark, sf_dir), "doc_id")
 
@@ -154,6 +173,14 @@ def _scored_sql(fields: dict[str, str], terms: list[str], scoring: range | None
            hit AS (SELECT *, round(greatest({', '.join(scores)}), 6) AS score FROM cnt, st WHERE {any_hit})"""
 
 
+def _phrase_sql(query: str) -> str:
+    words = T.query_tokens(query)
+    here = " AND ".join(f"tok[i + {k}] = '{w}'" for k, w in enumerate(words))
+    return f"""SELECT doc_id, lang, source, CAST(n AS INT) AS occurrences FROM (
+      SELECT doc_id, lang, source, len(list_filter(range(1, len(tok) + 1), lambda i: {here})) AS n
+      FROM (SELECT *, {_TOKENS.format('text')} AS tok FROM documents)) WHERE n > 0"""
+
+
 _TERMS = T.query_terms(QUERY)
 _MATCH = _scored_sql({"text": "text"}, _TERMS)
 _HITS = "SELECT doc_id, lang, source, score FROM hit"
@@ -172,6 +199,8 @@ QUERIES = {
     "search_wildcard_pattern": search_wildcard_pattern,
     "search_wildcard_scan": search_wildcard_scan,
     "search_fuzzy": search_fuzzy,
+    "search_phrase": search_phrase,
+    "search_phrase_repeated": search_phrase_repeated,
     "search_match_all": search_match_all,
     "search_all_fields": search_all_fields,
     "search_highlight": search_highlight,
@@ -201,6 +230,8 @@ ORACLES = {
       WHERE len(list_filter({_TOKENS.format('text')}, lambda t: regexp_matches(t, '{PATTERN.replace('?', '.').replace('*', '.*')}'))) > 0""",
     "search_fuzzy": f"""SELECT doc_id, lang, source FROM documents
       WHERE len(list_filter({_TOKENS.format('text')}, lambda t: damerau_levenshtein(t, '{NEAR}') <= 2)) > 0""",
+    "search_phrase": _phrase_sql(PHRASE),
+    "search_phrase_repeated": _phrase_sql(REPEATED),
     "search_match_all": "SELECT doc_id, text, lang, source FROM documents ORDER BY doc_id LIMIT 10",
     "search_all_fields": _scored_sql({"all": "concat_ws(' ', text, lang, source)"}, _ALL_TERMS, range(len(MUST) + len(SHOULD)))
     + f" {_HITS} WHERE " + " AND ".join([*(f"tf_all_{i} > 0" for i in range(len(MUST))), f"tf_all_{len(_ALL_TERMS) - 1} = 0"]),

@@ -18,8 +18,6 @@ RUNTIME_CONF = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
-# On one machine small shuffles still use every core.
-LOCAL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
 
 
 def build_session(app_name: str = "marketflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,8 +32,7 @@ def build_session(app_name: str = "marketflow", master: str | None = None, **con
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else built."""
-    settings = {**RUNTIME_CONF, **(LOCAL_CONF if spark.sparkContext.master.startswith("local") else {})}
-    for key, value in settings.items():
+    for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

@@ -9,7 +9,7 @@ def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
         "spark.checkpoint.dir": str(root), "spark.sql.warehouse.dir": str(root / "warehouse"),
-        "spark.ui.showConsoleProgress": "false",
+        "spark.ui.showConsoleProgress": "false", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -454,6 +454,22 @@ def test_near_terms_from_the_index_are_those_of_the_texts(words, value):
         assert sorted(ids_of(postings.fuzzy(index, "body", value, edits))) == sorted(ids_of(search.fuzzy(docs, "body", value, edits)))
 
 
+@pytest.mark.parametrize("query", ["a b a", "b", "a a", "c, A b", "z", "", "a b c a b c a b c"])
+def test_phrases_from_the_index_are_those_of_the_texts(spark, query):
+    draw = random.Random(3)
+    docs = table(spark, "id int, body string", *enumerate([" ".join(draw.choices("abc", k=draw.randrange(40))) for _ in range(40)] + [None, "", "x-a.b a;b"]))
+    index = postings.build_places(docs, {"body": F.col("body")}, postings.build_postings(docs, {"body": F.col("body")}, scratch(spark, "postings"), "id"))
+    words = search.query_tokens(query)
+    wanted = {}
+    for d in docs.collect():
+        own = search.query_tokens(d.body or "")
+        n = sum(own[i : i + len(words)] == words for i in range(len(own))) if words else 0
+        if n:
+            wanted[d.id] = n
+    for found in (postings.phrase(index, query, "body"), search.phrase(docs, "body", query)):
+        assert {r.id: r.occurrences for r in found.collect()} == wanted
+
+
 def test_many_terms_are_joined(words, monkeypatch):
     docs, index = words
     monkeypatch.setattr(postings, "LITERAL_TERMS", 2)
