@@ -81,17 +81,19 @@ class Segmenter:
         return tuple(words[::-1])
 
 
-_NAMES, _TOKENS = re.compile(r"[a-z]+"), re.compile(r"[a-z]+")
+LETTERS = re.compile(r"[^\W\d_]+")  # of any script
 
 
 def _names(host_: str, path_: str) -> tuple[list[str], list[str]]:
-    return _NAMES.findall(host_.rpartition(".")[0] or host_), _TOKENS.findall(path_.lower())
+    return LETTERS.findall(host_.lower()), LETTERS.findall(path_.lower())
 
 
 def tokens(segmenter: Segmenter, host_: str, path_: str) -> list[str]:
-    """Words of the host, and those of the path with a mark."""
+    """Words of all labels of the host, its last label once more as a token of its own kind, and the words of the path with a mark."""
     of_host, of_path = _names(host_, path_)
-    return [w for name in of_host for w in segmenter.split(name)] + ["/" + w for name in of_path for w in segmenter.split(name)]
+    last = host_.lower().rpartition(".")
+    top = ["." + last[2]] if last[1] and last[2] else []
+    return [w for name in of_host for w in segmenter.split(name)] + top + ["/" + w for name in of_path for w in segmenter.split(name)]
 
 
 def _cut(counted: DataFrame, key: str, n: Column, most: int) -> tuple[list, DataFrame | None]:
@@ -105,8 +107,8 @@ def _cut(counted: DataFrame, key: str, n: Column, most: int) -> tuple[list, Data
 
 def lexicon(pages: DataFrame, most: int = LEXICON) -> tuple[dict[str, int], int, DataFrame | None]:
     """The words of all pages' texts with their counts, the ``most`` frequent, and the seeds; the sum of all; (word, n) of the other words."""
-    text = F.translate(F.regexp_replace(F.coalesce("html", F.lit("")), "(?s)<[^>]*>", " "), UPPER, LOWER)
-    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit("[a-z]+"), 0)).alias("word")).where(F.length("word").between(2, LONGEST))
+    text = F.lower(F.regexp_replace(F.coalesce("html", F.lit("")), "(?s)<[^>]*>", " "))
+    words = pages.select(F.explode(F.regexp_extract_all(text, F.lit(r"\p{L}+"), 0)).alias("word")).where(F.length("word").between(2, LONGEST))
     counted = stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     head, rest = _cut(counted, "word", F.col("n"), most)
     given = [*SEEDS, *PLAIN]
@@ -144,7 +146,7 @@ def labelled(keys: DataFrame, counts: dict[str, int], total: int, seeds=SEEDS) -
         for batch in batches:
             hosts, paths, _, rare = (c.to_pylist() for c in batch.columns)
             found = [tokens(segmenter.with_rare(dict(r or ())), h, p) for h, p, r in zip(hosts, paths, rare)]
-            labels = [int(not unwanted.isdisjoint(w.lstrip("/") for w in own)) for own in found]
+            labels = [int(not unwanted.isdisjoint(w.lstrip("/.") for w in own)) for own in found]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.string())), pa.array(labels, pa.int32())], ["host", "path", "n", "tokens", "label"])
 
     return keys.select("host", "path", "n", "rare").mapInArrow(read, "host string, path string, n long, tokens array<string>, label int")

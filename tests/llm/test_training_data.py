@@ -372,6 +372,17 @@ def test_urls(spark):
     assert urls.judged(pages.limit(0)).count() == 0
 
 
+def test_urls_read_every_label_and_script(spark):
+    """The last label of a host counts, as a word and as a token of its own kind; so do words of other scripts."""
+    split = urls.Segmenter({"казино": 50, "shop": 40, "play": 9})
+    assert urls.tokens(split, "play.xxx", "/Казино/7") == ["play", *split.split("xxx"), ".xxx", "/казино"] and urls.tokens(split, "shop", "") == ["shop"]
+    assert urls.tokens(split, "казиноshop.bet.", "") == ["казино", "shop", *split.split("bet")]
+    rows = [(i, f"http://{'play' if i % 2 else 'garden'}{i}.{'bet' if i % 2 else 'org'}/x", "<p>play garden org казино</p>") for i in range(60)]
+    rows += [(100 + i, f"http://garden{i}.xxx/", "") for i in range(20)] + [(201, "http://garden.bet", ""), (202, "http://garden.org/", "")]
+    found = {r.page_id: r.verdict for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [found[i] for i in (1, 2, 100, 201, 202)] == ["block", "allow", "block", "block", "allow"]
+
+
 def test_urls_count_rare_words_and_tokens(spark):
     """A word beyond the 50,000 most frequent is still one; what every task knows does not change the odds."""
     code = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
