@@ -7,7 +7,7 @@ the other by successive rank-one updates, and then the difference of the means.
 result: their projections on the eigenvectors give a small matrix (Rayleigh and Ritz), whose own eigenvectors turn the basis, until it
 is diagonal to working precision.
 
-A task holds two matrices of dimension squared, whatever the number of vectors; vectors are only ever shuffled to find equal ones.
+A task holds two matrices of dimension squared, whatever the number of vectors; vectors are only ever shuffled to find equal ones and to deal these out.
 """
 
 from __future__ import annotations
@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import prepare, stored
+from marketflow.llm.common import prepare, shuffle_parts, stored
 
 SCALE, SHIFT = 64, 1_000_000  # fixed values: an entry c is the integer floor(64 c) + 1000000
 BOUND = 1 << 61  # of the integers
 COMPONENTS = 16
 EPS = np.finfo(float).eps
+TASK_ROWS = 2048  # vectors of a task, as far as twenty times the session's shuffle partitions allow
 ROUNDS = 6  # refinements at most; two are usual
 
 
@@ -243,7 +244,9 @@ def whitened(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     result = spark.createDataFrame([], schema)
     for (dim,) in sorted(rows.select("dim").distinct().collect()):
         own = rows.where(F.col("dim") == dim)
-        part = _whitened(own, stored(own.select("x").distinct(), "fit"), dim, components, schema)
+        # Dealt by work, not by bytes: a vector of 64 dimensions costs more than a millisecond.
+        parts = min(-(-own.count() // TASK_ROWS), 20 * shuffle_parts(spark))
+        part = _whitened(own, stored(own.select("x").distinct().repartition(max(1, parts)), "fit"), dim, components, schema)
         result = result.unionByName(part)
     return result
 
