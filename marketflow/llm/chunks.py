@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import prepare
+from marketflow.llm.common import prepare, staying, stored
 
 LEAST, MASK, MOST = 256, (1 << 10) - 1, 8192  # bytes of a chunk: least, mean as a power of two less one, most
 ID_BYTES = 16
@@ -138,8 +138,13 @@ def groups(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all its columns and no other."""
-    keep = groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    read = recipes(docs.select("text", F.struct(*docs.columns).alias("_row")))
-    listed = read.select("_row.*", F.col("text_sha256").alias("_sha256"))
-    one = listed.join(keep, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("_sha256")), "left_semi")
-    return one.dropDuplicates(["doc_id", "_sha256"]).select(*docs.columns)
+    rows = stored(groups(docs).select("doc_id", "kept", "text_sha256"), "exact")
+
+    def settle(several: DataFrame) -> DataFrame:
+        keep = rows.where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
+        read = recipes(several.select("text", F.struct(*several.columns).alias("_row")))
+        listed = read.select("_row.*", F.col("text_sha256").alias("_sha256"))
+        one = listed.join(keep, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("_sha256")), "left_semi")
+        return one.dropDuplicates(["doc_id", "_sha256"]).select(*several.columns)
+
+    return staying(docs, rows, settle)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -41,6 +42,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staying(docs: DataFrame, rows: DataFrame, settle: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of ``docs`` that stay, by ``rows`` (doc_id, kept), one for each of them. ``settle`` picks from the rows of ids that have several.
+
+    The ids whose only row goes, and those with several rows, are stored: Spark then knows their size, and while it is below the broadcast
+    threshold of the session no row of ``docs`` is shuffled. Beyond it both sides are shuffled by id.
+    """
+    each = rows.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("several"), F.max("kept").alias("kept"))
+    marks = stored(each.where("several or not kept").select("doc_id", "several"), "marks")
+    alone = docs.join(marks, marks["doc_id"].eqNullSafe(docs["doc_id"]), "left_anti")
+    several = marks.where("several")
+    if several.isEmpty():
+        return alone
+    return alone.unionByName(settle(docs.join(several, several["doc_id"].eqNullSafe(docs["doc_id"]), "left_semi")))
+
+
 def remainder(doc_id: Column, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % by
