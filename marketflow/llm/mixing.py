@@ -3,12 +3,12 @@
 A source's share of all tokens is raised to an exponent between 0 (equal weights) and 1 (its natural share). The exponent is
 bisected: the largest one that reaches a target entropy, or, if that repeats a source too often, the smallest that keeps within the limit.
 Rows are dealt to blocks by a hash of their id. A source's budget buys whole passes over its blocks and, for the rest, the
-first blocks of that pass's permutation.
+blocks of that pass's permutation, in turn, that still fit.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare, stored
@@ -17,6 +17,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCKS = 512  # per source
 LEVELS, STEP = 24, 4  # bisections, and how many of them one job decides
 ENTROPY, PASSES = 0.9, 2.0
+PART = "struct<used: bigint, blocks: array<bigint>>"  # tokens and blocks taken for the part pass
 
 
 def dealt(docs: DataFrame, seed: int, blocks: int) -> DataFrame:
@@ -83,8 +84,16 @@ def mixture(docs: DataFrame, entropy: float = ENTROPY, passes: float = PASSES, b
     def order(number: Column) -> Column:
         return F.md5(F.concat_ws(":", F.lit(str(seed)), number.cast("string"), F.col("_source"), F.col("_block").cast("string")))
 
-    running = Window.partitionBy("_source").orderBy(order(last), "_block").rowsBetween(Window.unboundedPreceding, 0)
-    taken = (cells.join(plan, "_source").withColumn("_copies", F.col("_full") + (F.sum("tokens").over(running) <= F.col("_rest")).cast("long"))
+    # A source's blocks, as many as the parameter says, in the order of the part pass: each that still fits is taken, so that what is left of the
+    # budget is less than any block that stays out.
+    nothing = F.struct(F.lit(0), F.array()).cast(PART)
+    line = cells.join(plan, "_source").groupBy("_source", "weight", "_full", "_rest").agg(
+        F.array_sort(F.collect_list(F.struct(order(last).alias("order"), F.col("_block").alias("block"), "tokens"))).alias("_line"))
+    part = F.aggregate("_line", nothing, lambda had, b: F.when(
+        had["used"] + b["tokens"] <= F.col("_rest"), F.struct(had["used"] + b["tokens"], F.concat(had["blocks"], F.array(b["block"]))).cast(PART)
+    ).otherwise(had), lambda had: had["blocks"])
+    taken = (line.select("_source", "weight", "_full", part.alias("_part"), F.explode(F.col("_line.block")).alias("_block"))
+             .withColumn("_copies", F.col("_full") + F.array_contains("_part", F.col("_block")).cast("long"))
              .where("_copies > 0").select("_source", "_block", "weight", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("pass")))
     placed = taken.withColumn("place", F.substring(order(F.col("pass")), 1, 8))
     return rows.join(placed, ["_source", "_block"]).select(*own, "n_tokens", "weight", F.col("_block").alias("block"), "pass", "place")

@@ -127,8 +127,7 @@ ORACLES = {
         FROM n GROUP BY conv_id""",
     "op4_temperature_mixture": r"""
         WITH RECURSIVE rows_ AS (
-            SELECT doc_id, source, coalesce('=' || source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+'))::BIGINT AS n_tokens,
+            SELECT doc_id, source, coalesce('=' || source, '') AS s, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
                    ('0x' || substr(md5('7:' || doc_id), 1, 8))::BIGINT % 512 AS block FROM documents),
         cells AS (SELECT s, block, sum(n_tokens)::BIGINT AS tokens FROM rows_ GROUP BY ALL),
         totals AS (SELECT s, sum(tokens)::BIGINT AS tokens FROM cells GROUP BY s),
@@ -151,9 +150,14 @@ ORACLES = {
         powers AS (SELECT s, tokens, CASE WHEN tokens > 0 THEN pow(share, a) ELSE 0 END AS p FROM shares, alpha),
         turns AS (SELECT s, tokens, p / (SELECT sum(p) FROM powers) AS weight, CASE WHEN tokens > 0 THEN round(p * most / tokens, 9) ELSE 1 END AS t FROM powers, most),
         plan AS (SELECT s, weight, floor(t)::BIGINT AS full_, floor((t - floor(t)) * tokens)::BIGINT AS rest FROM turns),
-        taken AS (
-            SELECT s, block, weight, full_ + CASE WHEN sum(tokens) OVER (PARTITION BY s ORDER BY md5('7:' || (full_ + 1) || ':' || s || ':' || block), block ROWS UNBOUNDED PRECEDING) <= rest THEN 1 ELSE 0 END AS copies
-            FROM cells JOIN plan USING (s))
+        line AS MATERIALIZED (
+            SELECT s, block, tokens, weight, full_, rest, row_number() OVER (PARTITION BY s ORDER BY md5('7:' || (full_ + 1) || ':' || s || ':' || block), block) AS pos
+            FROM cells JOIN plan USING (s)),
+        part(s, pos, used, fits) AS (
+            SELECT s, 0::BIGINT, 0::BIGINT, false FROM plan
+            UNION ALL
+            SELECT l.s, l.pos, CASE WHEN used + tokens <= rest THEN used + tokens ELSE used END, used + tokens <= rest FROM part AS p JOIN line AS l ON l.s = p.s AND l.pos = p.pos + 1),
+        taken AS (SELECT s, block, weight, full_ + fits::BIGINT AS copies FROM line JOIN part USING (s, pos))
         SELECT doc_id, source, n_tokens, round(weight, 9) AS weight, block, pass, substr(md5('7:' || pass || ':' || s || ':' || block), 1, 8) AS place
         FROM rows_ JOIN (SELECT s, block, weight, unnest(range(1, copies + 1)) AS pass FROM taken) USING (s, block)""",
     "op13_octopus_manifest": """
