@@ -33,13 +33,17 @@ def build(ids: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray, ends: np.nda
     values = ids.astype(np.uint16 if planes <= 16 else np.uint32)
     parts = [HEAD.pack(MAGIC, planes, len(values), len(doc_ids)), doc_ids.astype("<i8").tobytes(), ends.astype("<i8").tobytes(),
              has_id.astype("u1").tobytes()]
+    below = np.empty_like(values)
     for shift in range(planes - 1, -1, -1):
         bits = (values & values.dtype.type(1 << shift)) != 0
         packed = np.packbits(bits, bitorder="little")
         ones = np.add.reduceat(np.bitwise_count(packed).astype(np.int64), np.arange(0, len(packed), BLOCK)) if len(packed) else []
         rank = np.concatenate([[0], np.cumsum(ones)]).astype("<u4")
         parts += [rank.tobytes(), packed.tobytes()]
-        values = np.concatenate([values[~bits], values[bits]])
+        zeros = len(values) - np.count_nonzero(bits)
+        np.compress(~bits, values, out=below[:zeros])
+        np.compress(bits, values, out=below[zeros:])
+        values, below = below, values
     return b"".join(parts)
 
 
@@ -123,10 +127,8 @@ class Shard:
         for plane in range(self.planes - 1, -1, -1):
             bits = np.unpackbits(self.bits[plane], count=self.n, bitorder="little").astype(bool)
             above, zeros = np.empty_like(values), self.zeros[plane]
-            if zeros:
-                np.place(above, ~bits, values[:zeros])
-            if zeros < self.n:
-                np.place(above, bits, values[zeros:] | values.dtype.type(1 << (self.planes - 1 - plane)))
+            above[np.flatnonzero(~bits)] = values[:zeros]
+            above[np.flatnonzero(bits)] = values[zeros:] | values.dtype.type(1 << (self.planes - 1 - plane))
             values = above
         return values
 

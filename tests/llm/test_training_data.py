@@ -139,6 +139,15 @@ def test_wavelet_files_round_trip(spark, odd, none, tmp_path):
     assert wavelet.read_shards(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_joined_pieces_split_where_each_one_ends(monkeypatch):
+    encoder = tokens.Encoder(tokens.default_path())
+    pieces = [" a", " <|endoftext|>", " \u00e9\u6f22", " \0", *(f" word{i}!" for i in range(600)), " '", " 's"]
+    single = encoder._singly(pieces)
+    assert encoder._joined(pieces) == single
+    encoder.bytes += 1  # as if the file were no byte-level one
+    assert encoder._joined(pieces) == single
+
+
 def test_packing_places_every_id_once(odd, none):
     rows = packing.packed(odd, tokens.default_path(), run=4).collect()
     sequences, docs = collections.defaultdict(list), collections.Counter()
@@ -153,6 +162,9 @@ def test_packing_places_every_id_once(odd, none):
         assert at <= 2048
     encoder = tokens.Encoder(tokens.default_path())
     assert docs == collections.Counter({k: sum(len(encoder.tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in odd.collect() if r.doc_id == k) for k in docs})
+    whole = {np.array([*encoder.tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4").tobytes() for r in odd.collect()}
+    for r in rows:
+        assert any(len(ids) == 4 * r.doc_tokens and zlib.crc32(ids[4 * r.start : 4 * (r.start + r.length)]) == r.ids_crc32 for ids in whole)
     assert packing.packed(none, tokens.default_path()).count() == 0
 
 
@@ -336,6 +348,12 @@ def test_mixture_keeps_every_row_and_repeats_within_the_limit(spark, odd, none):
     docs = spark.range(4000).selectExpr("id AS doc_id", "CASE WHEN id < 3000 THEN 'a' ELSE 'b' END AS source", "'w w w w' AS text")
     share = {r.source: r.s for r in mixing.mixture(docs, entropy=1.0, passes=1.5).groupBy("source").agg(mixing.F.sum("n_tokens").alias("s")).collect()}
     assert share["a"] == 12_000 and abs(share["b"] - 6000) < 100
+    # One text of 900 words: wherever it stands in the part pass, blocks after it still fill what it leaves.
+    text = "CASE id WHEN 3000 THEN repeat('w ', 900) ELSE 'w' END AS text"
+    docs = spark.range(5000).selectExpr("id AS doc_id", "CASE WHEN id < 3000 THEN 'a' ELSE 'b' END AS source", text)
+    for seed in range(2):
+        share = {r.source: r.s for r in mixing.mixture(docs, 1.0, 2.0, budget=5600, seed=seed).groupBy("source").agg(mixing.F.sum("n_tokens").alias("s")).collect()}
+        assert 2780 < share["a"] <= 2800 and 2780 < share["b"] <= 2800
     assert mixing.mixture(none).count() == 0
 
 
