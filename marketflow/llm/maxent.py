@@ -2,12 +2,13 @@
 
 P(word | two words before) = P(class | context) * P(word | class). A frequent word is a class of its own, the others share classes by
 a hash of their ending. The class model is log-linear over hashed features of the context: the class before (bigram), the
-one before that (skip), both (trigram, hashed to a bounded table) and none (bias). Within a class, words have their
+one before that (skip), both (trigram, hashed to a bounded table) and none (bias). Within a shared class, its frequent words and one slot for
+the others are log-linear too, over the class before (bigram) and the one before that (skip). The words of that slot have their
 smoothed relative frequency, with one unknown word per class, so that the probabilities of a context sum to 1.
 
 Training reads every training text: words are counted, then contexts; the table of contexts, whose size is bounded by the number of classes, is
-dealt to tasks, and each epoch every task returns the gradient of its contexts under the broadcast weights. Scoring looks up frequent
-words in a bounded broadcast table; the others are joined with the counts, a row per text and word.
+dealt to tasks. In each epoch all tasks find the gradient of their contexts under the broadcast weights at once; a shuffle adds the gradients
+up by feature. Scoring looks up frequent words in a bounded broadcast table; the others are joined with the counts, a row per text and word.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CLASSES = 1 + OWN + ENDINGS  # class 0 is the end
 START = CLASSES  # what stands before the first word
 TABLE = 1 << 14  # rows of the trigram features
 HEAD = 1 << 16  # words in the broadcast table at most
+WORDS = 1024  # words with features of their own within the shared classes
+TASKS = 16  # of the table of contexts
 EPOCHS = 10
 SMOOTH = 0.1
 
@@ -59,6 +62,33 @@ def log_probabilities(weights: np.ndarray, context: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits).sum(1, keepdims=True))
 
 
+@dataclass(frozen=True)
+class Inner:
+    """Words within the shared classes: slots in a row, class by class, the last of a class for its other words."""
+
+    slots: dict[str, int]
+    starts: np.ndarray  # first slot of every shared class
+    bias: np.ndarray  # logarithms of smoothed counts
+    rest: np.ndarray  # smoothed count of the other words of every shared class, an unknown one included
+    last: np.ndarray  # weights by class before and slot
+    before: np.ndarray  # by the class before that
+
+    def slot(self, word: str, class_: int) -> int:
+        """The word's slot; -1 for a word that is its class."""
+        if class_ <= OWN:
+            return -1
+        return self.slots.get(word, self.others()[class_ - 1 - OWN])
+
+    def others(self) -> np.ndarray:
+        return np.append(self.starts[1:], len(self.bias)) - 1
+
+    def logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of every slot in every context, and the logarithm of the sum over each shared class."""
+        before, last = np.divmod(context, CLASSES + 1)
+        logits = self.bias + self.last[last] + self.before[before]
+        return logits, np.log(np.add.reduceat(np.exp(logits), self.starts, axis=1))
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of the class model, frequent words with their counts, and the sizes that counts are smoothed with."""
@@ -68,6 +98,7 @@ class Model:
     head: dict[str, int]
     class_tokens: np.ndarray
     class_words: np.ndarray
+    inner: Inner
     n: int
     v: int
 
@@ -117,11 +148,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def context_counts(docs: DataFrame, own: dict[str, int]) -> DataFrame:
-    """(context, class, n) over all texts."""
+def context_counts(docs: DataFrame, own: dict[str, int], inner: Inner) -> DataFrame:
+    """(key, n) over all texts. The key is context * CLASSES + class, or below 0 a feature of a slot: -1 - ((1 or 0: skip or bigram) * (CLASSES + 1)
+    + class before) * slots - slot."""
+    slots = len(inner.bias)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, numbers, size = [], [], 0
+        pairs = np.zeros(2 * (CLASSES + 1) * slots, np.int64)
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             key, spot = np.unique(np.concatenate(keys), return_inverse=True)
@@ -132,7 +166,13 @@ def context_counts(docs: DataFrame, own: dict[str, int]) -> DataFrame:
             if not len(index):
                 continue
             classes = np.array([class_of(w, own) if w != END else 0 for w in distinct])[index]
-            key, n = np.unique(_contexts(classes, offsets) * CLASSES + classes, return_counts=True)
+            contexts = _contexts(classes, offsets)
+            key, n = np.unique(contexts * CLASSES + classes, return_counts=True)
+            slot = np.array([inner.slot(w, 0 if w == END else class_of(w, own)) for w in distinct])[index]
+            shared = slot >= 0
+            skip, bigram = np.divmod(contexts[shared], CLASSES + 1)
+            for feature in (bigram, skip + CLASSES + 1):
+                np.add.at(pairs, feature * slots + slot[shared], 1)
             keys.append(key)
             numbers.append(n)
             size += len(key)
@@ -141,46 +181,77 @@ def context_counts(docs: DataFrame, own: dict[str, int]) -> DataFrame:
                 keys, numbers, size = [key], [n], len(key) // 2
         if keys:
             key, n = merged()
+            seen = np.flatnonzero(pairs)
+            key, n = np.concatenate([-1 - seen, key]), np.concatenate([pairs[seen], n])
             for i in range(0, len(key), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(key[i : i + (1 << 16)]), pa.array(n[i : i + (1 << 16)])], ["key", "n"])
 
-    cells = docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return cells.select(F.floor(F.col("key") / CLASSES).alias("context"), (F.col("key") % CLASSES).alias("class"), "n")
+    return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def gradients(cells: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Observed and expected counts of every feature and class over all contexts."""
-    shared = cells.sparkSession.sparkContext.broadcast(weights)
+def gradients(cells: DataFrame, weights: np.ndarray, inner: Inner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Observed and expected counts of every feature and class over all contexts (context, class, n), and expected ones of every feature and slot."""
+    shared = cells.sparkSession.sparkContext.broadcast((weights, inner))
+    slots, schema = len(inner.bias), pa.schema([("row", pa.int64()), ("sums", pa.binary())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
-        sums_: dict[str, np.ndarray] = {}
+        w, words = shared.value
+        sums_ = np.zeros((2, FEATURES, CLASSES))
+        of_slots = np.zeros((2 * (CLASSES + 1), slots))
+        sizes = np.diff(np.append(words.starts, slots))
         for batch in batches:
             context, cls, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if not len(context):
-                continue
             unique, spot = np.unique(context, return_inverse=True)
             seen = np.zeros((len(unique), CLASSES), np.float64)
             np.add.at(seen, (spot, cls), n)
             active = features(unique)
             mean = np.exp(log_probabilities(w, unique)) * seen.sum(1, keepdims=True)
-            if not sums_:
-                sums_ = {"o": np.zeros((FEATURES, CLASSES)), "e": np.zeros((FEATURES, CLASSES))}
             for k in range(active.shape[1]):
-                np.add.at(sums_["o"], active[:, k], seen)
-                np.add.at(sums_["e"], active[:, k], mean)
-        if sums_:
-            rows = np.flatnonzero(sums_["e"].any(1))
-            for i in range(0, len(rows), 2048):
-                some = rows[i : i + 2048]
-                yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array([x.tobytes() for x in sums_[k][some].astype(np.float32)], pa.binary()) for k in "oe")], ["row", "observed", "expected"])
-
-    observed, expected = np.zeros((FEATURES, CLASSES)), np.zeros((FEATURES, CLASSES))
-    for r in cells.mapInArrow(part, "row long, observed binary, expected binary").toLocalIterator():
-        observed[r["row"]] += np.frombuffer(r["observed"], np.float32)
-        expected[r["row"]] += np.frombuffer(r["expected"], np.float32)
+                np.add.at(sums_[0], active[:, k], seen)
+                np.add.at(sums_[1], active[:, k], mean)
+            for i in range(0, len(unique), 256):
+                some = unique[i : i + 256]
+                logits, total = words.logits(some)
+                expected = np.exp(logits - np.repeat(total, sizes, axis=1)) * np.repeat(seen[i : i + 256, 1 + OWN :], sizes, axis=1)
+                skip, bigram = np.divmod(some, CLASSES + 1)
+                for feature in (bigram, skip + CLASSES + 1):
+                    np.add.at(of_slots, feature, expected)
+        for first, rows, values in ((0, np.flatnonzero(sums_[1].any(1)), sums_.transpose(1, 0, 2)), (FEATURES, np.flatnonzero(of_slots.any(1)), of_slots)):
+            for i in range(0, len(rows), 512):
+                some = rows[i : i + 512]
+                yield pa.RecordBatch.from_arrays([pa.array(first + some), pa.array([values[r].astype(np.float32).tobytes() for r in some], pa.binary())], schema=schema)
+
+    def added(rows: pa.Table) -> pa.Table:
+        held: dict[int, np.ndarray] = {}
+        for row, data in zip(rows.column("row").to_pylist(), rows.column("sums").to_pylist()):
+            held[row] = held[row] + np.frombuffer(data, np.float32) if row in held else np.frombuffer(data, np.float32)
+        return pa.table([pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())], schema=schema)
+
+    both, of_slots = np.zeros((FEATURES, 2, CLASSES)), np.zeros((2 * (CLASSES + 1), slots))
+    found = cells.mapInArrow(part, "row long, sums binary")
+    # Every row has a bounded size and comes once from each task.
+    for r in found.groupBy((F.col("row") % TASKS).alias("deal")).applyInArrow(added, "row long, sums binary").collect():
+        values = np.frombuffer(r["sums"], np.float32)
+        if r["row"] < FEATURES:
+            both[r["row"]] = values.reshape(2, CLASSES)
+        else:
+            of_slots[r["row"] - FEATURES] = values
     shared.unpersist()
-    return observed, expected
+    return both[:, 0], both[:, 1], of_slots
+
+
+def slotted(head: dict[str, int], own: dict[str, int], tokens: np.ndarray, words: np.ndarray) -> Inner:
+    """Slots of the WORDS most frequent words that share a class, without weights. ``tokens`` and ``words`` are counted by class."""
+    ranked = sorted((w for w in head if w != END and w not in own), key=lambda w: (-head[w], w))[:WORDS]
+    members: list[list[str]] = [[] for _ in range(ENDINGS)]
+    for word in ranked:
+        members[ending_class(word) - 1 - OWN].append(word)
+    starts = np.cumsum([0, *(len(m) + 1 for m in members)])
+    slots = {w: int(start) + i for start, m in zip(starts, members) for i, w in enumerate(m)}
+    rest = np.array([tokens[c] - sum(head[w] for w in m) + SMOOTH * (words[c] - len(m) + 1) for c, m in enumerate(members, 1 + OWN)])
+    bias = np.log(np.concatenate([[*(head[w] + SMOOTH for w in m), left] for m, left in zip(members, rest)]))
+    weights = np.zeros((CLASSES + 1, len(bias)), np.float32)
+    return Inner(slots, starts[:-1], bias, rest, weights, weights.copy())
 
 
 def train(docs: DataFrame, epochs: int = EPOCHS) -> tuple[Model, DataFrame]:
@@ -210,13 +281,24 @@ def train(docs: DataFrame, epochs: int = EPOCHS) -> tuple[Model, DataFrame]:
         tokens[r["class"]], words[r["class"]] = r["n"], r["words"]
     weights = np.zeros((FEATURES, CLASSES), np.float32)
     weights[0] = np.log((tokens + SMOOTH) / (tokens.sum() + SMOOTH * CLASSES))
-    # Contexts are dealt by their number, so that a trigram feature is mostly one task's.
-    cells = stored(context_counts(docs, own).repartition(min(shuffle_parts(spark), 64), "context").sortWithinPartitions("context"), "contexts")
+    inner = slotted(head, own, tokens, words)
+    counted = stored(context_counts(docs, own, inner), "counts")
+    # Contexts are dealt by the class that is skipped, so that most features are one task's. There are no more of them than pairs of classes.
+    context = F.floor(F.col("key") / CLASSES)
+    cells = stored(counted.where("key >= 0").select(context.alias("context"), (F.col("key") % CLASSES).alias("class"), "n")
+                   .repartition(TASKS, F.floor(F.col("context") / (CLASSES + 1))).sortWithinPartitions("context"), "contexts")
+    # A number for each slot in each class before and each skipped one.
+    of_slots = np.zeros(2 * (CLASSES + 1) * len(inner.bias))
+    pairs = counted.where("key < 0").toArrow()
+    of_slots[-1 - pairs.column("key").to_numpy()] = pairs.column("n").to_numpy()
+    seen_last, seen_before = of_slots.reshape(2, CLASSES + 1, -1)
     for _ in range(epochs if n else 0):
-        observed, expected = gradients(cells, weights)
-        # The gradient, scaled by what a feature has seen: four features are active at once.
+        observed, expected, slot_mean = gradients(cells, weights, inner)
+        # The gradient, scaled by what a feature has seen: four features are active at once, or two in the slots.
         weights += (0.6 * (observed - expected) / (observed + expected + 2.0)).astype(np.float32)
-    return Model(weights, own, head, tokens, words, int(n), int(v)), counts
+        for w, seen, mean in zip((inner.last, inner.before), (seen_last, seen_before), np.split(slot_mean, 2)):
+            w += (0.8 * (seen - mean) / (seen + mean + 2.0)).astype(np.float32)
+    return Model(weights, own, head, tokens, words, inner, int(n), int(v)), counts
 
 
 def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
@@ -229,7 +311,8 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     new = ("text", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     own = [c for c in docs.columns if c.lower() not in new]
     base_total = model.n + SMOOTH * (model.v + 1)
-    within = model.class_tokens + SMOOTH * (model.class_words + 1)
+    # What a word that has no slot is a part of: its class, or the other words of a shared one.
+    within = np.append((model.class_tokens + SMOOTH * (model.class_words + 1))[: 1 + OWN], model.inner.rest)
     kind = pa.list_(pa.struct([("token", pa.string()), ("times", pa.int64()), ("class", pa.int32())]))
 
     @F.arrow_udf("struct<n: long, known: long, base: double, score: double, tails: array<struct<token: string, times: long, class: int>>>")
@@ -244,14 +327,22 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             in_head = found > 0
             # Without training texts nothing is in the head; words below the cut are joined later.
             base = np.where(in_head, np.log10((found + SMOOTH) / base_total), 0.0)
-            inner = np.where(in_head, np.log10((found + SMOOTH) / within[classes]), 0.0)
-            sequence = classes[index]
+            has_slot = np.array([w in m.inner.slots for w in distinct])
+            inner = np.where(in_head & ~has_slot, np.log10((found + SMOOTH) / within[classes]), 0.0)
+            slots = np.array([m.inner.slot(w, c) for w, c in zip(distinct, classes.tolist())])
+            sequence, slot = classes[index], slots[index]
             context, spot = np.unique(_contexts(sequence, offsets), return_inverse=True)
             outer = np.empty(len(index))
-            for i in range(0, len(context), 4096):
-                part = (spot >= i) & (spot < i + 4096)
-                table = log_probabilities(m.weights, context[i : i + 4096])
-                outer[part] = table[spot[part] - i, sequence[part]] / ln10
+            by_context, ends = np.argsort(spot, kind="stable"), np.cumsum(np.bincount(spot, minlength=len(context)))
+            for i in range(0, len(context), 512):
+                some = context[i : i + 512]
+                part = by_context[ends[i - 1] if i else 0 : ends[min(i + 512, len(context)) - 1]]
+                row = spot[part] - i
+                outer[part] = log_probabilities(m.weights, some)[row, sequence[part]] / ln10
+                shares = slot[part] >= 0
+                part, row = part[shares], row[shares]
+                logits, total = m.inner.logits(some)
+                outer[part] += (logits[row, slot[part]] - total[row, sequence[part] - 1 - OWN]) / ln10
             owner = np.repeat(np.arange(rows), np.diff(offsets))
             rare = ~in_head[index]
             key, times = np.unique(owner[rare] * len(distinct) + index[rare], return_counts=True)

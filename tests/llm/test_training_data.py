@@ -82,6 +82,26 @@ def test_toxicity_sample_survives_long_texts(spark):
     assert truth.count(0) == 78 and truth.count(1) == 20 and math.isclose(share, 0.2)
 
 
+def plain_score(model, seen, words):
+    """The score of a text, word by word."""
+    score, before, last = 0.0, maxent.START, maxent.START
+    for word in (w.decode() for w in words):
+        class_ = 0 if word == maxent.END else maxent.class_of(word, model.own)
+        context = np.array([before * (maxent.CLASSES + 1) + last])
+        logits = model.weights[maxent.features(context)[0]].sum(0, dtype=np.float64)
+        score += logits[class_] - np.log(np.exp(logits).sum())
+        count, inner, shared = seen[word.encode()] + 0.1, model.inner, class_ - 1 - maxent.OWN
+        if shared < 0:
+            score += np.log(count / (model.class_tokens[class_] + 0.1 * (model.class_words[class_] + 1)))
+        else:
+            own = range(inner.starts[shared], [*inner.starts, len(inner.bias)][shared + 1])
+            values = {s: inner.bias[s] + inner.last[last, s] + inner.before[before, s] for s in own}
+            slot = inner.slots.get(word, own[-1])
+            score += values[slot] - np.log(sum(np.exp(v) for v in values.values())) + (0 if word in inner.slots else np.log(count / inner.rest[shared]))
+        before, last = last, class_
+    return score / math.log(10)
+
+
 def test_maxent_base_score_and_normalisation(spark, odd, none):
     docs = odd.select("doc_id", "text", "score", "n_tokens")
     model, counts = maxent.train(docs, epochs=2)
@@ -103,10 +123,35 @@ def test_maxent_base_score_and_normalisation(spark, odd, none):
     for w, c in seen.items():
         inner[maxent.class_of(w.decode(), model.own) if w != b"\n" else 0] += c + 0.1
     assert all(math.isclose(inner[k] + 0.1, model.class_tokens[k] + 0.1 * (model.class_words[k] + 1)) for k in inner)
+    # So do the slots of a class in any context; the rest is shared by the words without a slot and one unknown.
+    logits, total = model.inner.logits(np.arange(0, 20_000, 371))
+    assert np.allclose(np.add.reduceat(np.exp(logits), model.inner.starts, axis=1) / np.exp(total), 1)
+    left = np.zeros(maxent.ENDINGS)
+    for w, c in seen.items():
+        if w != b"\n" and w.decode() not in model.own and w.decode() not in model.inner.slots:
+            left[maxent.ending_class(w.decode()) - 1 - maxent.OWN] += c + 0.1
+    assert np.allclose(left + 0.1, model.inner.rest)
+    assert [r.score for r in rows if r.doc_id == 0][:1] == [pytest.approx(plain_score(model, seen, words[TEXTS[0]]))]
     empty, empty_counts = maxent.train(none)
     assert maxent.scored(none, empty, empty_counts).count() == 0 and maxent.scored(docs, empty, empty_counts).count() == 13
 
 
+def test_maxent_scores_are_those_of_the_stated_model(spark):
+    draw = random.Random(5)
+    names = ["".join(draw.choices("abcdefgh", k=5)) for _ in range(2500)]
+    rows = [(i, " ".join(names[int(2500 ** draw.random()) - 1] for _ in range(draw.randrange(60)))) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model, counts = maxent.train(docs, epochs=3)
+    seen = collections.Counter(w for _, text in rows for w in [*text.encode().split(), b"\n"])
+    assert len(seen) > maxent.OWN + maxent.WORDS + 100
+    assert len(model.inner.slots) == maxent.WORDS and min(np.abs(model.inner.last).max(), np.abs(model.inner.before).max()) > 0.1
+    logits, total = model.inner.logits(np.arange(0, 26_000, 371))
+    assert np.allclose(np.add.reduceat(np.exp(logits), model.inner.starts, axis=1) / np.exp(total), 1)
+    found = {r.doc_id: r.score for r in maxent.scored(docs, model, counts).collect()}
+    for i, text in rows[:40]:
+        assert math.isclose(found[i], plain_score(model, seen, [*text.encode().split(), b"\n"]), rel_tol=1e-5)
+
+
 def test_maxent_beats_unigrams_on_held_out_texts(spark):
     p = queries.op2_maxent_scores(spark, "/root/testdata/sf0.01").where("held_out").selectExpr("sum(score) / sum(n_tokens) s", "sum(base_score) / sum(n_tokens) b").first()
     assert p.s > p.b + 0.2
