@@ -73,14 +73,10 @@ class Inner:
     last: np.ndarray  # weights by class before and slot
     before: np.ndarray  # by the class before that
 
-    def slot(self, word: str, class_: int) -> int:
-        """The word's slot; -1 for a word that is its class."""
-        if class_ <= OWN:
-            return -1
-        return self.slots.get(word, self.others()[class_ - 1 - OWN])
-
-    def others(self) -> np.ndarray:
-        return np.append(self.starts[1:], len(self.bias)) - 1
+    def slots_of(self, words: list[str], classes: list[int]) -> np.ndarray:
+        """The words' slots; -1 for a word that is its class."""
+        others = (np.append(self.starts[1:], len(self.bias)) - 1).tolist()
+        return np.array([-1 if c <= OWN else self.slots.get(w, others[c - 1 - OWN]) for w, c in zip(words, classes)], np.int64)
 
     def logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of every slot in every context, and the logarithm of the sum over each shared class."""
@@ -165,14 +161,14 @@ def context_counts(docs: DataFrame, own: dict[str, int], inner: Inner) -> DataFr
             index, distinct, offsets = _sequences(batch.column(0))
             if not len(index):
                 continue
-            classes = np.array([class_of(w, own) if w != END else 0 for w in distinct])[index]
+            of_words = [class_of(w, own) if w != END else 0 for w in distinct]
+            classes, slot = np.array(of_words)[index], inner.slots_of(distinct, of_words)[index]
             contexts = _contexts(classes, offsets)
             key, n = np.unique(contexts * CLASSES + classes, return_counts=True)
-            slot = np.array([inner.slot(w, 0 if w == END else class_of(w, own)) for w in distinct])[index]
             shared = slot >= 0
             skip, bigram = np.divmod(contexts[shared], CLASSES + 1)
             for feature in (bigram, skip + CLASSES + 1):
-                np.add.at(pairs, feature * slots + slot[shared], 1)
+                pairs += np.bincount(feature * slots + slot[shared], minlength=len(pairs))
             keys.append(key)
             numbers.append(n)
             size += len(key)
@@ -189,14 +185,17 @@ def context_counts(docs: DataFrame, own: dict[str, int], inner: Inner) -> DataFr
     return docs.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def gradients(cells: DataFrame, weights: np.ndarray, inner: Inner) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Observed and expected counts of every feature and class over all contexts (context, class, n), and expected ones of every feature and slot."""
+def feature_sums(cells: DataFrame, weights: np.ndarray | None, inner: Inner) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of every feature and class over all contexts (context, class, n), and of every feature and slot, as expected under the weights.
+
+    Without weights: the observed counts of features and classes alone.
+    """
     shared = cells.sparkSession.sparkContext.broadcast((weights, inner))
     slots, schema = len(inner.bias), pa.schema([("row", pa.int64()), ("sums", pa.binary())])
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, words = shared.value
-        sums_ = np.zeros((2, FEATURES, CLASSES))
+        sums_ = np.zeros((FEATURES, CLASSES))
         of_slots = np.zeros((2 * (CLASSES + 1), slots))
         sizes = np.diff(np.append(words.starts, slots))
         for batch in batches:
@@ -205,10 +204,11 @@ def gradients(cells: DataFrame, weights: np.ndarray, inner: Inner) -> tuple[np.n
             seen = np.zeros((len(unique), CLASSES), np.float64)
             np.add.at(seen, (spot, cls), n)
             active = features(unique)
-            mean = np.exp(log_probabilities(w, unique)) * seen.sum(1, keepdims=True)
+            counts = seen if w is None else np.exp(log_probabilities(w, unique)) * seen.sum(1, keepdims=True)
             for k in range(active.shape[1]):
-                np.add.at(sums_[0], active[:, k], seen)
-                np.add.at(sums_[1], active[:, k], mean)
+                np.add.at(sums_, active[:, k], counts)
+            if w is None:
+                continue
             for i in range(0, len(unique), 256):
                 some = unique[i : i + 256]
                 logits, total = words.logits(some)
@@ -216,7 +216,8 @@ def gradients(cells: DataFrame, weights: np.ndarray, inner: Inner) -> tuple[np.n
                 skip, bigram = np.divmod(some, CLASSES + 1)
                 for feature in (bigram, skip + CLASSES + 1):
                     np.add.at(of_slots, feature, expected)
-        for first, rows, values in ((0, np.flatnonzero(sums_[1].any(1)), sums_.transpose(1, 0, 2)), (FEATURES, np.flatnonzero(of_slots.any(1)), of_slots)):
+        for first, values in ((0, sums_), (FEATURES, of_slots)):
+            rows = np.flatnonzero(values.any(1))
             for i in range(0, len(rows), 512):
                 some = rows[i : i + 512]
                 yield pa.RecordBatch.from_arrays([pa.array(first + some), pa.array([values[r].astype(np.float32).tobytes() for r in some], pa.binary())], schema=schema)
@@ -227,17 +228,17 @@ def gradients(cells: DataFrame, weights: np.ndarray, inner: Inner) -> tuple[np.n
             held[row] = held[row] + np.frombuffer(data, np.float32) if row in held else np.frombuffer(data, np.float32)
         return pa.table([pa.array(list(held), pa.int64()), pa.array([v.tobytes() for v in held.values()], pa.binary())], schema=schema)
 
-    both, of_slots = np.zeros((FEATURES, 2, CLASSES)), np.zeros((2 * (CLASSES + 1), slots))
+    sums_, of_slots = np.zeros((FEATURES, CLASSES), np.float32), np.zeros((2 * (CLASSES + 1), slots), np.float32)
     found = cells.mapInArrow(part, "row long, sums binary")
     # Every row has a bounded size and comes once from each task.
     for r in found.groupBy((F.col("row") % TASKS).alias("deal")).applyInArrow(added, "row long, sums binary").collect():
         values = np.frombuffer(r["sums"], np.float32)
         if r["row"] < FEATURES:
-            both[r["row"]] = values.reshape(2, CLASSES)
+            sums_[r["row"]] = values
         else:
             of_slots[r["row"] - FEATURES] = values
-    shared.unpersist()
-    return both[:, 0], both[:, 1], of_slots
+    shared.destroy()
+    return sums_, of_slots
 
 
 def slotted(head: dict[str, int], own: dict[str, int], tokens: np.ndarray, words: np.ndarray) -> Inner:
@@ -292,10 +293,11 @@ def train(docs: DataFrame, epochs: int = EPOCHS) -> tuple[Model, DataFrame]:
     pairs = counted.where("key < 0").toArrow()
     of_slots[-1 - pairs.column("key").to_numpy()] = pairs.column("n").to_numpy()
     seen_last, seen_before = of_slots.reshape(2, CLASSES + 1, -1)
+    observed = feature_sums(cells, None, inner)[0]
     for _ in range(epochs if n else 0):
-        observed, expected, slot_mean = gradients(cells, weights, inner)
+        expected, slot_mean = feature_sums(cells, weights, inner)
         # The gradient, scaled by what a feature has seen: four features are active at once, or two in the slots.
-        weights += (0.6 * (observed - expected) / (observed + expected + 2.0)).astype(np.float32)
+        weights += np.float32(0.6) * (observed - expected) / (observed + expected + np.float32(2.0))
         for w, seen, mean in zip((inner.last, inner.before), (seen_last, seen_before), np.split(slot_mean, 2)):
             w += (0.8 * (seen - mean) / (seen + mean + 2.0)).astype(np.float32)
     return Model(weights, own, head, tokens, words, inner, int(n), int(v)), counts
@@ -329,8 +331,7 @@ def scored(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
             base = np.where(in_head, np.log10((found + SMOOTH) / base_total), 0.0)
             has_slot = np.array([w in m.inner.slots for w in distinct])
             inner = np.where(in_head & ~has_slot, np.log10((found + SMOOTH) / within[classes]), 0.0)
-            slots = np.array([m.inner.slot(w, c) for w, c in zip(distinct, classes.tolist())])
-            sequence, slot = classes[index], slots[index]
+            sequence, slot = classes[index], m.inner.slots_of(distinct, classes.tolist())[index]
             context, spot = np.unique(_contexts(sequence, offsets), return_inverse=True)
             outer = np.empty(len(index))
             by_context, ends = np.argsort(spot, kind="stable"), np.cumsum(np.bincount(spot, minlength=len(context)))
