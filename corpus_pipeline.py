@@ -27,9 +27,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near-duplicates: five-word shingles, a similarity of 0.8 or more."""
+    """One row of each group of near-duplicates: by fingerprints and their balls, as op10 links them; then, of the rows that are left,
+    by five-word shingles and a similarity of 0.8 or more, which finds what fingerprints miss."""
     prepare(spark)
-    return similar.deduplicated(docs)
+    return similar.deduplicated(stored(similar.deduplicated_by_fingerprint(docs), "by_fingerprint"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

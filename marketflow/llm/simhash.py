@@ -105,6 +105,23 @@ def links(fps: DataFrame) -> DataFrame:
     return hubs.where("_n > 1 AND _near AND fp != v").select(F.col("fp").alias("u"), "v").distinct()
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes``, a row per ``fp``, with the ``root`` of all that links reach."""
+    roots = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def first_rows(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """(_none, _id, _sha) of the row that stays of each group of ``near_groups``; ``docs`` has doc_id, text and _sha, a digest of the text.
+
+    It is the row with the smallest doc_id, null ids last, of several the one with the smallest digest.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), "_sha")
+    slim = fingerprints(docs.select("doc_id", "text", "_sha"), shingle)
+    nodes = stored(slim.groupBy("fp").agg(F.min(first).alias("_first")), "nodes")
+    return _rooted(nodes).groupBy("root").agg(F.min("_first").alias("_first")).select("_first.*")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hexadecimal digits), component_id and every column but the text.
 
@@ -114,9 +131,7 @@ def near_groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     own = [c for c in docs.columns if c.lower() not in ("fp", "fingerprint", "component_id")]
     slim = stored(fingerprints(docs.select(*own), shingle).drop("text"), "fingerprints")
-    nodes = slim.groupBy("fp").agg(F.min("doc_id").alias("_least"))
-    roots = components(links(nodes.select("fp"))).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(slim.groupBy("fp").agg(F.min("doc_id").alias("_least")))
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
     labels = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     return slim.join(labels, "fp").withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).drop("fp")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from marketflow.llm.common import prepare, staying, stored
 from marketflow.llm.graph import components
-from marketflow.llm.simhash import shingle_hashes
+from marketflow.llm.simhash import first_rows, shingle_hashes
 
 SHINGLE, SIMILARITY = 5, 0.8
 LONGS = 16  # longs of parities of a set
@@ -232,21 +232,37 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHING
             .select("_first.*"))
 
 
-def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each group: the one with its smallest doc_id, of several the one with the smallest text hash.
+def digest() -> Column:
+    """The digest of a row's text by which ``settled`` tells rows of one id apart."""
+    return F.sha2(F.coalesce("text", F.lit("")), 256)
 
-    A null text is empty, null ids come last, of repeated rows one stays; all columns are kept and no other is added. An empty table gives
-    an empty result.
-    """
-    prepare(docs.sparkSession)
-    sha = F.sha2(F.coalesce("text", F.lit("")), 256)
-    kept = stored(groups(docs.select("doc_id", "text", sha.alias("_sha")), similarity, shingle).select("_id", "_sha"), "kept")
+
+def settled(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, digest) is not in ``kept`` (_id, _sha), which is stored; of repeated rows one stays."""
     stays = kept.select(F.col("_id").alias("kept_id"), F.lit(True).alias("stays")).distinct()
     rows = docs.select("doc_id").join(stays, F.col("kept_id").eqNullSafe(F.col("doc_id")), "left")
 
     def settle(several: DataFrame) -> DataFrame:
-        marked = several.withColumn("_sha256", sha)
+        marked = several.withColumn("_sha256", digest())
         same = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_sha") == F.col("_sha256"))
         return marked.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_sha256"]).select(*several.columns)
 
     return staying(docs, rows.select("doc_id", F.coalesce("stays", F.lit(False)).alias("kept")), settle)
+
+
+def deduplicated(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each group: the one with its smallest doc_id, of several the one with the smallest text hash.
+
+    A null text is empty, null ids come last, of repeated rows one stays; all columns are kept and no other is added. An empty table gives
+    an empty result.
+    """
+    prepare(docs.sparkSession)
+    kept = groups(docs.select("doc_id", "text", digest().alias("_sha")), similarity, shingle)
+    return settled(docs, stored(kept.select("_id", "_sha"), "kept"))
+
+
+def deduplicated_by_fingerprint(docs: DataFrame) -> DataFrame:
+    """The same with the groups of ``simhash.near_groups``: all that links of fingerprints within 3 bits reach."""
+    prepare(docs.sparkSession)
+    kept = first_rows(docs.select("doc_id", "text", digest().alias("_sha")))
+    return settled(docs, stored(kept.select("_id", "_sha"), "kept"))

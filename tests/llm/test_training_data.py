@@ -505,3 +505,20 @@ def test_query_against_sql(spark, name):
     found = queries.QUERIES[name](spark, SF_DIR)
     assert sorted(found.columns) == sorted(wanted.columns)
     assert _sorted(found.select(*wanted.columns).collect()) == _sorted(wanted.fetchall())
+
+
+def test_near_dedup_of_the_pipeline_links_fingerprints(spark):
+    """Most windows of two texts are the same three, so their fingerprints are equal, and their sets of shingles share little."""
+    texts = ["a b c " * 300 + " ".join(f"{end}{i}" for i in range(10)) for end in "xy"] + ["something else altogether here"]
+    assert simhash.fingerprint(texts[0]) == simhash.fingerprint(texts[1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert similar.deduplicated(docs).count() == 3
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()) == [0, 2]
+
+
+def test_rows_that_stay_by_fingerprint(odd, none):
+    """One row of each component of op10, with all columns."""
+    wanted = {r.component_id for r in simhash.near_groups(odd.select("doc_id", "text")).collect()}
+    kept = similar.deduplicated_by_fingerprint(odd)
+    assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == sorted(wanted)
+    assert similar.deduplicated_by_fingerprint(none).count() == 0
