@@ -16,7 +16,7 @@ from ..sinks.keyed import KeyedTable
 from ..sinks.tables import create_table, insert_dynamic, insert_static, read_table, write_batch
 from ..sinks.topic import write_topic
 from ..sources.files import read_partition
-from ..sources.topic import FILE_RECORDS, topic_batch, topic_head, topic_stream
+from ..sources.topic import FILE_RECORDS, topic_batch, topic_head, topic_parts, topic_stream
 from ..streaming import runs
 from ..streaming.windows import RankedShops, windowed
 from . import fixtures as X
@@ -218,14 +218,19 @@ def topic_latest(spark, sf_dir):
 
 
 def topic_bounded(spark, sf_dir):
-    """All messages with the bound of a batch, and whether the batch that brought each kept to it."""
+    """All messages with the bound of a batch, and whether the batch that brought each kept to it. Each partition of the topic has a stream."""
     root, bound = scratch(spark, "bounded"), 2 * FILE_RECORDS
-    write_topic(X.behavior_messages(_events(spark, sf_dir)), path=f"{root}/topics", file_records=FILE_RECORDS)
-    stream = topic_stream(spark, ["user_behavior"], path=f"{root}/topics", max_per_trigger=bound).select("partition", "offset", "value")
-    runs.drain(runs.into_batches(stream, lambda batch, batch_id: write_batch(batch, f"{root}/out", batch_id), f"{root}/checkpoint"))
-    rows = read_table(spark, f"{root}/out", "partition int, offset long, value string, batch_id long")
-    sizes = rows.groupBy("batch_id").agg((F.count(F.lit(1)) <= bound).alias("kept"))
-    return rows.join(sizes, "batch_id").select("partition", "offset", "value", F.when(F.col("kept"), F.lit(bound)).alias("bound"))
+    write_topic(X.behavior_messages(_events(spark, sf_dir)), path=f"{root}/topics", file_records=FILE_RECORDS, by_partition=True)
+
+    def bounded(i: int, part: str):
+        stream = topic_stream(spark, ["user_behavior"], path=f"{root}/topics", max_per_trigger=bound, part=part)
+        write = lambda batch, batch_id: write_batch(batch, f"{root}/out/stream={i}", batch_id)
+        return runs.into_batches(stream.select("partition", "offset", "value"), write, f"{root}/checkpoint/{i}")
+
+    runs.drain_all(bounded(i, part) for i, part in enumerate(topic_parts(spark, "user_behavior", f"{root}/topics")))
+    rows = read_table(spark, f"{root}/out", "partition int, offset long, value string, stream int, batch_id long")
+    sizes = rows.groupBy("stream", "batch_id").agg((F.count(F.lit(1)) <= bound).alias("kept"))
+    return rows.join(sizes, ["stream", "batch_id"]).select("partition", "offset", "value", F.when(F.col("kept"), F.lit(bound)).alias("bound"))
 
 
 def topic_head_lines(spark, sf_dir):

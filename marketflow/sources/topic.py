@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TOPIC_SCHEMA
-from ..session import path_exists
+from ..session import file_system, path_exists
 
 # Fixed value: how many records the head of a topic shows.
 HEAD_RECORDS = 51
@@ -56,10 +56,18 @@ def _start_of(spark: SparkSession, topics: Sequence[str], path: str, starts: str
     return spark.read.schema(STARTS).parquet(starts)
 
 
+def topic_parts(spark: SparkSession, topic: str, path: str) -> list[str]:
+    """The folders of a topic's partitions in a stand-in that was written by partition; one that appears later is not among them."""
+    files, at = file_system(spark, f"{path}/topic={topic}")
+    return sorted(found.getPath().toString() for found in files.listStatus(at) if found.isDirectory()) if files.exists(at) else []
+
+
 def topic_stream(spark: SparkSession, topics: Sequence[str], servers: str | None = None, path: str | None = None,
-                 start: str | None = None, max_per_trigger: int | None = None, starts: str | None = None, **extra: str) -> DataFrame:
+                 start: str | None = None, max_per_trigger: int | None = None, starts: str | None = None, part: str | None = None, **extra: str) -> DataFrame:
     """Unbounded messages.
 
+    ``part`` is one of ``topic_parts``: the stream then reads this partition alone, so that several streams share a topic.
+
     ``start`` is ``latest`` or ``earliest``: where a stream without a checkpoint begins, by default ``latest`` in Kafka and
     ``earliest`` in the stand-in. ``latest`` in the stand-in needs ``starts``, a folder of its own in which the offsets of
     the first start are kept; partitions that appear later are read from their first message.
@@ -74,7 +82,9 @@ def topic_stream(spark: SparkSession, topics: Sequence[str], servers: str | None
     reader = spark.readStream.schema(TOPIC_SCHEMA)
     if max_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max(1, max_per_trigger // FILE_RECORDS))
-    messages = _as_messages(reader.json(path).where(F.col("topic").isin(*topics)))
+    # Only for a pattern does a file stream keep the given base path, below which folders name columns; this one fits the folder alone.
+    files = reader.option("basePath", path).json(f"{part[:-1]}[{part[-1]}]") if part else reader.json(path)
+    messages = _as_messages(files.where(F.col("topic").isin(*topics)))
     if start in (None, "earliest"):
         return messages
     if start != "latest":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -27,6 +29,19 @@ def drain(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
+def drain_all(writers: Iterable[DataStreamWriter]) -> list[StreamingQuery]:
+    """The same for several streams side by side; the first error is raised once all have ended."""
+    queries, errors = [writer.trigger(availableNow=True).start() for writer in writers], []
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except Exception as error:
+            errors.append(error)
+    if errors:
+        raise errors[0]
+    return queries
+
+
 def into_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partitions: tuple[str, ...] = (),
                **options: str) -> DataStreamWriter:
     """Append to files, each row exactly once."""

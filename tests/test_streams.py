@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketflow.operators import behavior as B
-from marketflow.session import scratch, shared_root
+from marketflow.session import configure, scratch, shared_root
 from marketflow.sinks import files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
 from marketflow.sinks.documents import write_documents, write_json_texts
@@ -14,7 +14,7 @@ from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.rolling import RollingLines
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
-from marketflow.sources.topic import FILE_RECORDS, kafka_options, topic_stream
+from marketflow.sources.topic import FILE_RECORDS, kafka_options, topic_parts, topic_stream
 from marketflow.streaming import ingest, runs
 from marketflow.streaming.shops import partitioned_shops, write_partitioned_shops
 from marketflow.streaming.windows import RankedShops, windowed
@@ -577,3 +577,27 @@ def test_every_click_is_stored_or_set_aside(spark, messages):
     df = messages(CLICK.format(1, "a", "00:00:10"), CLICK.format(2, "a", "25:00:10"), "cut{", "", None, "[]")
     assert B.behaviors(df).count() == 1
     assert sorted(r.reject_reason for r in B.rejected_behaviors(df).collect()) == ["bad_time"] + ["not_an_object"] * 4
+
+
+def test_partitions_of_a_topic_are_read_by_streams_of_their_own(spark):
+    """A partition without a number is one too; each batch of each stream keeps to its bound."""
+    root = scratch(spark, "parts")
+    rows = [("t", str(i), f"v{i}", [0, 1, None][i % 3], i, None) for i in range(3000)] + [("u", "x", "other", 0, 1, None)]
+    sent = spark.createDataFrame(rows, "topic string, key string, value string, partition int, offset long, timestamp timestamp").coalesce(1)
+    write_topic(sent, path=f"{root}/topics", file_records=FILE_RECORDS, by_partition=True)
+    parts = topic_parts(spark, "t", f"{root}/topics")
+    assert len(parts) == 3 and topic_parts(spark, "none", f"{root}/topics") == []
+    sizes, found = {}, []
+
+    def reading(part):
+        def write(batch, batch_id):
+            got = batch.collect()
+            sizes[part, batch_id] = len(got)
+            found.extend((r.partition, r.offset) for r in got)
+
+        stream = topic_stream(spark, ["t"], path=f"{root}/topics", max_per_trigger=FILE_RECORDS, part=part)
+        return runs.into_batches(stream, write, f"{root}/checkpoint/{parts.index(part)}")
+
+    runs.drain_all(reading(part) for part in parts)
+    assert sorted(sizes.values()) == [500] * 6 and {part for part, _ in sizes} == set(parts)
+    assert sorted(found, key=lambda r: r[1]) == [([0, 1, None][i % 3], i) for i in range(3000)]
