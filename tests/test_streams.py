@@ -601,3 +601,9 @@ def test_partitions_of_a_topic_are_read_by_streams_of_their_own(spark):
     runs.drain_all(reading(part) for part in parts)
     assert sorted(sizes.values()) == [500] * 6 and {part for part, _ in sizes} == set(parts)
     assert sorted(found, key=lambda r: r[1]) == [([0, 1, None][i % 3], i) for i in range(3000)]
+
+
+def test_stages_beyond_the_compiler_run_operator_by_operator(spark):
+    """A method of more bytecode is never compiled by HotSpot, and every message would be read by the interpreter."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
