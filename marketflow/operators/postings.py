@@ -1,27 +1,38 @@
 """A stored index of a document table: postings, vocabulary, runs of letters and totals.
 
 Written once, read by every query: a search reads the postings of its own terms
-and no text. Ids are unique. ``terms`` holds a row per field, term and document,
-ordered by them, so a term is a run of row groups and a term of most documents
-lies in many files; ``vocabulary`` holds the documents per term, ``grams`` the runs of
+and no text. A task cuts its texts into tokens and counts them block by block, so that
+the shuffle carries a row per term and block of documents, with the ids, lengths and counts
+of these, and no row per occurrence. ``terms`` holds these blocks: each file is ordered by term, and the blocks
+of a frequent term are dealt to several files; ``vocabulary`` holds the documents per term, ``grams`` the runs of
 letters of each term, ``totals`` a row per field.
+
+An id names a document. Rows that share an id and have as many tokens in a field count as one document there: the few
+ids that repeat are counted by a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import auto_edits, tokens
+from ..functions.text import TOKEN, auto_edits, tokens
+from ..session import let_workers_import
 from . import grams as G
 from .search import field_score, near_token, query_terms, query_tokens, token_like
 
 # Terms that go into a query as literals; more are joined.
 LITERAL_TERMS = 1000
+BLOCK_BYTES = 1 << 24  # text of a block of documents; a longer text is a block of its own
+SLICES = 16  # files among which the blocks of a term are dealt, at most
+NO_TOKEN = f"[^{TOKEN[1:-2]}]+"
 
 
 class Postings:
@@ -33,9 +44,16 @@ class Postings:
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
+    @property
+    def blocks(self) -> DataFrame:
+        """A row per field, term and block of documents."""
+        return self._read("terms", f"field string, {_blocks_type(self.id_type, False)}")
+
     @property
     def terms(self) -> DataFrame:
-        return self._read("terms", f"field string, term string, `{self.id_column}` {self.id_type}, length int, tf long, leads boolean")
+        """A row per field, term and document."""
+        each = self.blocks.select("field", "term", F.explode("postings").alias("p"))
+        return each.select("field", "term", F.col("p.id").alias(self.id_column), F.col("p.length").alias("length"), F.col("p.tf").cast("long").alias("tf"))
 
     @property
     def vocabulary(self) -> DataFrame:
@@ -43,52 +61,173 @@ class Postings:
 
     @property
     def grams(self) -> DataFrame:
-        return self._read("grams", G.GRAMS)
+        return G.spread_grams(self._read("grams", G.BLOCKS))
 
     @property
     def places(self) -> DataFrame:
-        return self._read("places", f"field string, term string, `{self.id_column}` {self.id_type}, places array<int>")
+        blocks = self._read("places", f"field string, {_blocks_type(self.id_type, True)}")
+        each = blocks.select("field", "term", F.explode("postings").alias("p"))
+        return each.select("field", "term", F.col("p.id").alias(self.id_column), F.col("p.places").alias("places"))
 
     @property
     def totals(self) -> DataFrame:
         return self._read("totals", "field string, documents long, tokens long")
 
 
-def build_postings(docs: DataFrame, fields: Mapping[str, Column], path: str, id_column: str) -> Postings:
-    """Write the index of the given fields.
+def _blocks_type(id_type: str, places: bool) -> str:
+    held = f"id: {id_type}, " + ("places: array<int>" if places else "length: int, tf: int")
+    return f"term string, documents long, occurrences long, leads long, postings array<struct<{held}>>"
+
+
+def _parts(fields: Mapping[str, Column | Sequence[str]]) -> tuple[dict[str, Column], dict[str, list[str]]]:
+    """The texts to cut into tokens, by name, and the names of each field."""
+    texts, own = {}, {}
+    for field, given in fields.items():
+        if isinstance(given, Column):
+            texts[f"_field_{field}"], own[field] = given, [f"_field_{field}"]
+        else:
+            texts |= {name: F.col(name) for name in given}
+            own[field] = list(given)
+    return texts, own
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.Array]]:
+    """The columns of as many consecutive rows as have ``most`` bytes of text (all but the first column), one row at least."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = sum((pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns[1:]), np.zeros(batch.num_rows, np.int64))
+        ends, start = np.cumsum(sizes), 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            end = max(int(np.searchsorted(ends, before + most - size, "right")), start if held else start + 1)
+            if end > start:
+                held.append(batch.slice(start, end - start))
+                size += int(ends[end - 1]) - before
+            if end < batch.num_rows:
+                yield [pa.concat_arrays(columns) for columns in zip(*(b.columns for b in held))]
+                held, size = [], 0
+            start = end
+    if held:
+        yield [pa.concat_arrays(columns) for columns in zip(*(b.columns for b in held))]
+
+
+def _lists(values: pa.Array, starts: np.ndarray, end: int) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, end), pa.int32()), values)
+
+
+def _counted(ids: pa.Array, index: np.ndarray, doc: np.ndarray, terms: pa.Array, places: bool) -> list[pa.Array]:
+    """The columns of a block: term, documents, occurrences, leads, postings. ``index`` and ``doc`` are the term and row of each token,
+    a row's tokens in order."""
+    rows = max(1, len(ids))
+    key = index.astype(np.int64) * rows + doc
+    order = np.argsort(key, kind="stable") if places else None
+    key_sorted = key[order] if places else np.sort(key)
+    starts = np.flatnonzero(np.diff(key_sorted, prepend=-1))
+    tf = np.diff(np.append(starts, len(key)))
+    term, at = np.divmod(key_sorted[starts], rows)
+    first = np.flatnonzero(np.diff(term, prepend=-1))  # postings of a term, from the first one on
+    lengths = np.bincount(doc, minlength=rows)
+    if places:
+        by_row = np.argsort(doc, kind="stable")  # the place of a token among those of its row
+        place = np.empty(len(doc), np.int32)
+        place[by_row] = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        held = pa.StructArray.from_arrays([ids.take(pa.array(at)), _lists(pa.array(place[order]), starts, len(key))], ["id", "places"])
+    else:
+        held = pa.StructArray.from_arrays([ids.take(pa.array(at)), pa.array(lengths[at], pa.int32()), pa.array(tf, pa.int32())], ["id", "length", "tf"])
+    _, leading = np.unique(doc, return_index=True)
+    leads = np.bincount(index[leading], minlength=len(terms))
+    named = term[first]
+    return [terms.take(pa.array(named)), pa.array(np.diff(np.append(first, len(starts)))), pa.array(np.add.reduceat(tf, first) if len(first) else tf),
+            pa.array(leads[named]), _lists(held, first, len(starts))]
+
+
+def _in_place(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], id_column: str, places: bool) -> DataFrame:
+    """Blocks of documents, each of rows that lie together."""
+    texts, own = _parts(fields)
+    at = {name: i for i, name in enumerate(texts)}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, *columns in _gathered(batches, BLOCK_BYTES):
+            cut = [pc.ascii_split_whitespace(pc.replace_substring_regex(pc.fill_null(c.cast(pa.string()), ""), NO_TOKEN, " ")) for c in columns]
+            flat = [c.flatten() for c in cut]
+            coded = pa.concat_arrays(flat).dictionary_encode()
+            index, ends = coded.indices.to_numpy(zero_copy_only=False), np.cumsum([0, *map(len, flat)])
+            rows = [np.repeat(np.arange(len(ids)), np.diff(np.asarray(c.offsets))) for c in cut]
+            empty = pc.equal(coded.dictionary, "")
+            for field, names in own.items():
+                of_terms = np.concatenate([index[ends[at[n]] : ends[at[n] + 1]] for n in names])
+                of_rows = np.concatenate([rows[at[n]] for n in names])
+                if pc.any(empty).as_py():  # white space at either end
+                    full = ~empty.to_numpy(zero_copy_only=False)[of_terms]
+                    of_terms, of_rows = of_terms[full], of_rows[full]
+                if len(names) > 1:  # a row's tokens in the order of the columns
+                    order = np.argsort(of_rows, kind="stable")
+                    of_terms, of_rows = of_terms[order], of_rows[order]
+                made = _counted(ids, of_terms, of_rows, coded.dictionary, places)
+                yield pa.RecordBatch.from_arrays([pa.array([field] * len(made[0]), pa.string()), *made], names=["field", "term", "documents", "occurrences", "leads", "postings"])
+
+    kind = docs.schema[id_column].dataType.simpleString()
+    # Characters that Java does not know are no letters to ``tokens``, though Arrow may know them.
+    known = {n: F.regexp_replace(F.lower(F.coalesce(c.cast("string"), F.lit(""))), r"\p{Cn}", " ") for n, c in texts.items()}
+    lowered = docs.select(F.col(id_column), *(c.alias(n) for n, c in known.items()))
+    return lowered.mapInArrow(count, f"field string, {_blocks_type(kind, places)}")
+
+
+def _by_shuffle(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], id_column: str, places: bool) -> DataFrame:
+    """The same, a block per document, for ids that several rows have."""
+    joined = {f: c if isinstance(c, Column) else F.concat_ws(" ", *c) for f, c in fields.items()}
+    held = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.coalesce(c, F.lit(""))).alias("tokens")) for f, c in joined.items()))
+    spread = docs.select(F.col(id_column).alias("id"), F.inline(held))
+    placed = spread.select("id", "field", F.size("tokens").alias("length"), F.posexplode("tokens").alias("pos", "term"))
+    tf = F.count(F.lit(1)).alias("occurrences")
+    if places:
+        each = placed.groupBy("field", "term", "id").agg(tf, F.array_sort(F.collect_list("pos")).alias("places"))
+        posting = F.struct("id", "places")
+    else:
+        each = placed.groupBy("field", "term", "id", "length").agg(tf, F.bool_or(F.col("pos") == 0).cast("long").alias("leads"))
+        posting = F.struct("id", "length", F.col("occurrences").cast("int").alias("tf"))
+    leads = F.lit(0).cast("long").alias("leads") if places else F.col("leads")
+    return each.select("field", "term", F.lit(1).cast("long").alias("documents"), "occurrences", leads, F.array(posting).alias("postings"))
+
+
+def _write_blocks(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], path: str, id_column: str, places: bool) -> None:
+    """Write the blocks of all documents, ordered by term within a file."""
+    let_workers_import(docs.sparkSession)
+    repeated = docs.groupBy(F.col(id_column).alias("_id")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_id")
+    if repeated.isEmpty():
+        blocks = _in_place(docs, fields, id_column, places)
+    else:
+        # Stored, as Spark then knows its size.
+        repeated.write.mode("overwrite").parquet(f"{path}_repeated")
+        repeated = docs.sparkSession.read.schema(repeated.schema).parquet(f"{path}_repeated")
+        same = F.col("_id").eqNullSafe(F.col(id_column))
+        blocks = _in_place(docs.join(repeated, same, "left_anti"), fields, id_column, places).unionAll(
+            _by_shuffle(docs.join(repeated, same, "left_semi"), fields, id_column, places))
+    dealt = blocks.repartition("field", "term", F.pmod(F.xxhash64(F.col("postings")[0]["id"]), F.lit(SLICES)))
+    dealt.sortWithinPartitions("field", "term").write.mode("overwrite").partitionBy("field").parquet(path)
+
+
+def build_postings(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], path: str, id_column: str) -> Postings:
+    """Write the index of the given fields: a column each, or the names of several, whose texts then count as joined by spaces.
 
-    One pass over the texts: the tokens of a document are counted in its task,
-    so a shuffle carries a row per document and distinct term. Documents per
-    field are counted at each document's first token.
+    One pass over the texts, in which a text that several fields hold is cut into tokens once. Documents per field are counted at each
+    document's first token.
     """
-    held = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.coalesce(c, F.lit(""))).alias("tokens")) for f, c in fields.items()))
-    spread = docs.select(F.col(id_column), F.inline(held))
-    placed = spread.select(id_column, "field", F.size("tokens").alias("length"), F.posexplode("tokens").alias("pos", "term"))
-    counted = placed.groupBy("field", "term", id_column, "length").agg(
-        F.count(F.lit(1)).alias("tf"), F.bool_or(F.col("pos") == 0).alias("leads")
-    )
-    order = ["field", "term", id_column]
-    ordered = counted.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.write.mode("overwrite").partitionBy("field").parquet(f"{path}/terms")
+    _write_blocks(docs, fields, f"{path}/terms", id_column, False)
     index = Postings(docs.sparkSession, path, id_column, docs.schema[id_column].dataType.simpleString())
-    per_term = index.terms.groupBy("field", "term").agg(
-        F.count(F.lit(1)).alias("documents"), F.sum("tf").alias("occurrences"), F.count_if("leads").alias("leads")
-    )
+    per_term = index.blocks.groupBy("field", "term").agg(*(F.sum(c).alias(c) for c in ("documents", "occurrences", "leads")))
     per_term.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{path}/vocabulary")
     runs = G.gram_table(index.vocabulary.select("field", "term"))
-    runs.repartitionByRange("field", "size", "gram", "term").sortWithinPartitions("field", "size", "gram", "term").write.mode("overwrite").partitionBy("field").parquet(f"{path}/grams")
+    dealt = runs.repartition("size", "gram", F.pmod(F.xxhash64(F.col("terms")[0]["term"]), F.lit(SLICES)))
+    dealt.sortWithinPartitions("size", "gram").write.mode("overwrite").parquet(f"{path}/grams")
     totals = index.vocabulary.groupBy("field").agg(F.sum("leads").alias("documents"), F.sum("occurrences").alias("tokens"))
     totals.write.mode("overwrite").parquet(f"{path}/totals")
     return index
 
 
-def build_places(docs: DataFrame, fields: Mapping[str, Column], index: Postings) -> Postings:
+def build_places(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], index: Postings) -> Postings:
     """Write where each term stands in each document, in tokens from its start, beside an index; phrase search needs it."""
-    held = F.array(*(F.struct(F.lit(f).alias("field"), tokens(F.coalesce(c, F.lit(""))).alias("tokens")) for f, c in fields.items()))
-    spread = docs.select(F.col(index.id_column), F.inline(held)).select(index.id_column, "field", F.posexplode("tokens").alias("pos", "term"))
-    order = ["field", "term", index.id_column]
-    places = spread.groupBy(*order).agg(F.array_sort(F.collect_list("pos")).alias("places"))
-    places.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("field").parquet(f"{index.path}/places")
+    _write_blocks(docs, fields, f"{index.path}/places", index.id_column, True)
     return index
 
 

@@ -17,7 +17,7 @@ PHRASE, REPEATED = "The and Attion, to thanedble", "the the the"
 TERM, PART, PATTERN, NEAR = "license", "thle", "ti?n*er", "lisence"
 
 
-FIELDS = {"text": F.col, "source": F.col, "all": lambda _: F.concat_ws(" ", "text", "lang", "source")}
+FIELDS = {"text": ["text"], "source": ["source"], "all": ["text", "lang", "source"]}
 _built: dict[tuple, P.Postings] = {}
 
 
@@ -27,8 +27,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_index(spark: SparkSession, sf_dir: str) -> P.Postings:
     """The stored index of the documents, with all columns as one field beside text and source."""
-    fields = {name: column(name) for name, column in FIELDS.items()}
-    return P.build_postings(_docs(spark, sf_dir), fields, scratch(spark, "postings"), "doc_id")
+    return P.build_postings(_docs(spark, sf_dir), FIELDS, scratch(spark, "postings"), "doc_id")
 
 
 def _index(spark: SparkSession, sf_dir: str) -> P.Postings:
@@ -95,7 +94,7 @@ def _places(spark: SparkSession, sf_dir: str) -> P.Postings:
     """The index of a folder with the places of its terms in the texts."""
     index = _index(spark, sf_dir)
     if not path_exists(spark, f"{index.path}/places/_SUCCESS"):
-        P.build_places(_docs(spark, sf_dir), {"text": F.col("text")}, index)
+        P.build_places(_docs(spark, sf_dir), {"text": FIELDS["text"]}, index)
     return index
 
 

@@ -397,6 +397,33 @@ def test_an_index_of_no_documents(spark, docs):
     assert postings.match(empty, "apple", ["title"]).count() == 0
 
 
+
+def test_a_block_of_documents_counts_as_rows_of_tokens_do(spark, monkeypatch):
+    """Blocks of any size, of columns and of columns together, hold what a shuffle of all tokens finds; the shuffle carries blocks."""
+    rows = [(1, "Äpfel, äpfel und\u00a0Birnen", "b"), (2, None, "x\u0870y"), (3, "", None), (4, " ,-", ""), (5, "a1 \U00010400\U00010428 a1\nb", "a"), (None, "b b", "b a b")]
+    docs = spark.createDataFrame(rows + [(i, "und b", "und") for i in range(6, 40)], "id long, title string, body string").coalesce(2)
+    fields = {"title": F.col("title"), "body": ["body"], "all": ["title", "body"]}
+    for size in (1, 1 << 24):
+        monkeypatch.setattr(postings, "BLOCK_BYTES", size)
+        for places in (False, True):
+            found, wanted = (make(docs, fields, "id", places).select("field", "term", F.explode("postings")) for make in (postings._in_place, postings._by_shuffle))
+            assert sorted(map(repr, found.collect())) == sorted(map(repr, wanted.collect()))
+    index = postings.build_postings(docs, fields, scratch(spark, "postings"), "id")
+    blocks, terms = index.blocks.where("field = 'all' AND term = 'und'"), index.terms.where("field = 'all' AND term = 'und'")
+    assert blocks.count() <= 2 and terms.count() == 35
+    assert [(r.documents, r.occurrences) for r in index.vocabulary.where("field = 'all' AND term = 'und'").collect()] == [(35, 69)]
+
+
+def test_ids_that_repeat_are_indexed_by_id(spark):
+    """Rows of an id with as many tokens are one document, others are documents of their own; null is an id too."""
+    rows = [(1, "a b"), (1, "a c"), (1, "a"), (2, "a a"), (None, "a b"), (None, "b b")]
+    docs = spark.createDataFrame(rows, "id long, body string")
+    index = postings.build_places(docs, {"body": ["body"]}, postings.build_postings(docs, {"body": ["body"]}, scratch(spark, "postings"), "id"))
+    assert sorted(map(repr, (tuple(r) for r in index.terms.where("term = 'a'").select("id", "length", "tf").collect()))) == sorted(map(repr, [(1, 2, 2), (1, 1, 1), (2, 2, 2), (None, 2, 1)]))
+    assert [(r.documents, r.occurrences) for r in index.vocabulary.where("term = 'b'").collect()] == [(2, 4)]
+    assert sorted(r.places for r in index.places.where("id = 1").collect()) == [[0, 0, 0], [1], [1]]
+
+
 # -- runs of letters
 
 
