@@ -71,17 +71,22 @@ def _with_arrays(fields: dict[str, Column], arrays: dict[str, Column], as_text:
     return F.to_json(F.struct(*values), {"ignoreNullFields": str(not as_text).lower()})
 
 
-def _line_messages(lineitem: DataFrame, topic: str, message) -> DataFrame:
-    """``message(as_text)`` of every line: as text for status F, plain for the others."""
+def _line_messages(lineitem: DataFrame, topic: str, message, spoilt=lambda text, as_text: text) -> DataFrame:
+    """``message(as_text)`` of every line: as text for status F, plain for the others; ``spoilt`` may change it.
+
+    What a message holds several times is made in a projection of its own, once.
+    """
 
     def part(as_text: bool) -> DataFrame:
         rows = lineitem.where(F.col("l_linestatus") == "F" if as_text else F.col("l_linestatus") != "F")
+        rows = rows.withColumns({"_created": _created(), "_shop_id": F.col("l_suppkey").cast("string"), "_shop_name": _text("shop_", "l_suppkey")})
+        rows = rows.withColumn("_text", message(as_text))
         opened = F.expr("CASE WHEN l_tax = 0.08 AND l_discount = 0.1 THEN '{\"cut\":' WHEN l_tax = 0.08 AND l_discount = 0.0 THEN '[' ELSE '' END")
         closed = F.expr("CASE WHEN l_tax = 0.08 AND l_discount = 0.0 THEN ']' ELSE '' END")
         return rows.select(
             F.lit(topic).alias("topic"),
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
-            F.concat(opened, message(as_text), closed).alias("value"),
+            F.concat(opened, spoilt(F.col("_text"), as_text), closed).alias("value"),
             F.lit(0).alias("partition"),
             (F.col("l_orderkey") * 64 + F.col("l_linenumber")).alias("offset"),
             F.col("l_shipdate").cast("timestamp").alias("timestamp"),
@@ -100,8 +105,7 @@ def _text(prefix: str, column: str) -> Column:
 
 
 def _shop_keys() -> dict[str, Column]:
-    return {"mtWmPoiId": F.col("l_suppkey").cast("string"), "dpShopId": F.col("l_linenumber"),
-            "shopName": _text("shop_", "l_suppkey")}
+    return {"mtWmPoiId": F.col("_shop_id"), "dpShopId": F.col("l_linenumber"), "shopName": F.col("_shop_name")}
 
 
 def shop_messages(lineitem: DataFrame) -> DataFrame:
@@ -115,7 +119,7 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
             "littleImageUrl": _text("l/", key), "bigImageUrl": _text("b/", key), "originPrice": price,
             "currentPrice": current, "spuDesc": c("l_linestatus"), "praiseNum": c("l_quantity").cast("long"),
             "activityType": c("l_linenumber"), "spuPromotionInfo": c("l_returnflag"), "statusDesc": c("l_linestatus"),
-            "categoryName": c("l_returnflag"), "categoryType": c("l_linestatus"), "createTime": _created(),
+            "categoryName": c("l_returnflag"), "categoryType": c("l_linestatus"), "createTime": c("_created"),
         }
 
     items = [
@@ -126,7 +130,7 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
         **_shop_keys(), "couponId": c("l_orderkey"), "couponPoolId": c("l_partkey"),
         "activityId": F.when(F.expr("l_tax <> 0.02"), c("l_suppkey")), "couponValue": c("l_discount"),
         "couponConditionText": _text("over_", "l_linenumber"), "couponValidTimeText": c("l_returnflag"),
-        "couponStatus": c("l_linestatus"), "limitNewUser": F.lit(None).cast("string"), "createTime": _created(),
+        "couponStatus": c("l_linestatus"), "limitNewUser": F.lit(None).cast("string"), "createTime": c("_created"),
     }
 
     def message(as_text: bool) -> Column:
@@ -134,14 +138,14 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
             "mtWmPoiId": F.when(~F.expr(NO_SHOP_KEY), c("l_suppkey").cast("string")),
             "dpShopId": F.when(F.expr(BAD_NUMBER), _text("x", "l_linenumber")).otherwise(c("l_linenumber").cast("string"))
             if as_text else c("l_linenumber"),
-            "shopName": _text("shop_", "l_suppkey"), "shopStatus": c("l_quantity").cast("int"), "shopPic": c("l_returnflag"),
+            "shopName": c("_shop_name"), "shopStatus": c("l_quantity").cast("int"), "shopPic": c("l_returnflag"),
             "deliveryFee": F.when(F.expr(TEXT_FEE), F.lit("free")).otherwise(c("l_linenumber").cast("string"))
             if as_text else c("l_linenumber"), "deliveryType": c("l_linenumber"),
             "deliveryTime": F.date_format("l_shipdate", "yyyy-MM-dd"), "deliveryMsg": _text("msg_", "l_linenumber"),
             "minFee": F.when(F.expr("l_discount <> 0.0"), c("l_extendedprice")),
             "onlinePay": F.when(F.expr("l_returnflag <> 'N'"), c("l_quantity").cast("int")),
             "bulletin": F.when(F.expr("l_returnflag = 'A'"), F.lit('a "quoted" text')), "shipping_time": c("l_linestatus"),
-            "createTime": _created(),
+            "createTime": c("_created"),
         }
         listed = _array(items, as_text)
         sent = F.when(F.expr("l_discount = 0.05"), 0).otherwise(2)
@@ -149,14 +153,16 @@ def shop_messages(lineitem: DataFrame) -> DataFrame:
             "itemList": F.when(F.expr(f"l_discount <> 0.06 AND NOT {BAD_LIST}"), F.slice(listed, F.lit(1), sent)),
             "couponList": F.when(F.expr("l_discount > 0.0"), _array([coupon], as_text)),
         }
-        text = _with_arrays(shop, arrays, as_text)
+        return _with_arrays(shop, arrays, as_text)
+
+    def spoilt(text: Column, as_text: bool) -> Column:
         if as_text:
             unread = F.replace(text, F.lit('"itemList":null'), F.lit('"itemList":"[{"'))
         else:
             unread = F.concat(F.lit('{"itemList":{"spuId":1},'), F.substr(text, F.lit(2)))
         return F.when(F.expr(BAD_LIST), unread).otherwise(text)
 
-    return _line_messages(lineitem, "shop1", message)
+    return _line_messages(lineitem, "shop1", message, spoilt)
 
 
 def comment_messages(lineitem: DataFrame) -> DataFrame:
@@ -181,7 +187,7 @@ def comment_messages(lineitem: DataFrame) -> DataFrame:
             "dpCommentNum": c("l_linenumber"), "PraiseRatio": _text("p", "l_linenumber"), "qualityScore": c("l_quantity"),
             "packScore": c("l_tax"), "integratedScore": c("l_extendedprice"), "shopScore": F.lit(None).cast("double"),
             "deliveryScore": c("l_discount"), "commentLabels": F.to_json(labels) if as_text else labels,
-            "createTime": _created(),
+            "createTime": c("_created"),
         }
         listed = _array([comment("l_orderkey"), comment("l_partkey")], as_text)
         sent = F.when(F.expr("l_returnflag = 'R'"), 2).otherwise(0)

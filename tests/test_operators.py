@@ -1,9 +1,11 @@
+import datetime
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketflow.operators import behavior, cdc, cells, dedup, grams, mutate, postings, ranking, search, views
+from marketflow.plans import fixtures
 from marketflow.session import scratch
 from marketflow.sinks.bucketed import DocumentTable
 from marketflow.sinks.cells import CellStore, bulk_load, newest
@@ -424,6 +426,17 @@ def test_ids_that_repeat_are_indexed_by_id(spark):
     assert sorted(r.places for r in index.places.where("id = 1").collect()) == [[0, 0, 0], [1], [1]]
 
 
+def test_what_a_message_holds_several_times_is_made_once(spark):
+    """The time of a shop message stands in the shop, its items and its coupon, and is formatted in one place of the plan per kind of line."""
+    columns = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date"
+    rows = [(1, 2, 3, 4, 5.0, 6.0, 0.04, 0.03, "A", status, datetime.date(1995, 5, 17)) for status in "FO"]
+    made = fixtures.shop_messages(spark.createDataFrame(rows, columns))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format(cast((date_trunc(month") + plan.count("date_format((date_trunc(month") <= 2
+    for row in made.collect():
+        assert row.value.count("1995-05-01 02:00:00") == 4 and row.value.count("shop_4") == 4
+
+
 # -- runs of letters
 
 
