@@ -25,6 +25,7 @@ MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sBxxxQQ")  # mark, planes, ids, documents
 BLOCK = 64  # bytes of a plane between two samples of its rank
 SHARD_IDS = 1 << 20
+SLICE_BYTES = 1 << 22  # text encoded at once: the more, the fewer times a frequent piece is looked up
 
 
 def build(ids: np.ndarray, doc_ids: np.ndarray, has_id: np.ndarray, ends: np.ndarray) -> bytes:
@@ -154,7 +155,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, sh
         for batch in batches:
             keys, order = batch.column(0).to_pylist(), batch.column(2)
             part = order[0].as_py() if len(order) else part
-            for start, found, offsets in encoded(batch.column(1), encoder(tokenizer)):
+            for start, found, offsets in encoded(batch.column(1), encoder(tokenizer), SLICE_BYTES):
                 for i in range(len(offsets) - 1):
                     size = int(offsets[i + 1] - offsets[i]) + 1
                     if held and held + size > shard_ids:

@@ -522,3 +522,13 @@ def test_rows_that_stay_by_fingerprint(odd, none):
     kept = similar.deduplicated_by_fingerprint(odd)
     assert kept.columns == odd.columns and sorted(r.doc_id for r in kept.collect()) == sorted(wanted)
     assert similar.deduplicated_by_fingerprint(none).count() == 0
+
+
+def test_shards_do_not_depend_on_how_much_is_encoded_at_once(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"a piece  of text {i}\n" * (i % 7)) for i in range(60)], "doc_id long, text string").coalesce(2)
+    found = []
+    for size in (1, 1 << 22):
+        monkeypatch.setattr(wavelet, "SLICE_BYTES", size)
+        wavelet.write_shards(docs, str(tmp_path / str(size)), tokens.default_path())
+        found.append(sorted(map(tuple, wavelet.read_shards(spark, str(tmp_path / str(size))).collect())))
+    assert found[0] == found[1] and len(found[0]) == 60
