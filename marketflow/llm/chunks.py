@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import prepare, staying, stored
+from marketflow.llm.common import let_go, prepare, staying, stored
 
 LEAST, MASK, MOST = 256, (1 << 10) - 1, 8192  # bytes of a chunk: least, mean as a power of two less one, most
 ID_BYTES = 16
@@ -65,6 +65,7 @@ def recipes(docs: DataFrame, id_bytes: int = ID_BYTES) -> DataFrame:
 
     @F.arrow_udf("struct<sha: string, ids: binary>")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         for texts in batches:
             data = [_lowered(t) for t in texts.to_pylist()]
             yield pa.StructArray.from_arrays([

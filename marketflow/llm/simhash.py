@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import prepare, stored
+from marketflow.llm.common import let_go, prepare, stored
 from marketflow.llm.graph import components
 
 SEED = 42
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
 
     @F.arrow_udf("long")
     def value(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         for texts in batches:
             yield pa.array(np.array([fingerprint(t.as_py(), shingle) for t in texts], "<u8").view("<i8"))
 

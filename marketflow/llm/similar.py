@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import prepare, staying, stored
+from marketflow.llm.common import let_go, prepare, staying, stored
 from marketflow.llm.graph import components
 from marketflow.llm.simhash import first_rows, shingle_hashes
 
@@ -45,6 +45,7 @@ def frequencies(docs: DataFrame, shingle: int = SHINGLE) -> bytes:
     """A byte per bucket that rises with the number of texts' shingles in it. It sets the order of shingles; any order gives the same groups."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         for batch in batches:
             hashes = [distinct_hashes(t.as_py(), shingle) for t in batch.column(0)]
@@ -93,6 +94,7 @@ def sketched(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
 
     @F.arrow_udf("struct<set: binary, size: long, prefix: array<long>, parities: array<long>>")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         levels = np.frombuffer(often, np.uint8)
         for texts in batches:
             sets = [distinct_hashes(t.as_py(), shingle) for t in texts]

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import remainder, split_words, sums
+from marketflow.llm.common import let_go, remainder, split_words, sums
 
 WINDOW, OVERLAP = 64, 8  # bytes of a window and of what neighbours share
 FEW = 20  # rows of each label that are taken at any length
@@ -243,6 +243,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("double")
     def value(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        let_go()
         distance = Distance(model.toxic, model.ordinary)
         for texts in batches:
             yield pa.array(score_texts(model, texts, distance))
