@@ -24,7 +24,7 @@ from ..functions.text import double_swaps, swaps
 # Ends of a term; no token holds them.
 START, END = "^", "$"
 SIZES = (2, 3)
-BLOCKS = "fields array<string>, size int, gram string, terms array<struct<term: string, letters: int>>"
+BLOCKS = "fields array<string>, size int, gram string, terms array<string>"
 BLOCK_LETTERS = 1 << 20  # letters of a block of terms; a longer term is a block of its own
 
 
@@ -33,7 +33,7 @@ def _runs(fields: list[str], terms: list[str]) -> Iterator[pa.RecordBatch]:
     sizes = np.fromiter(map(len, terms), np.int64, len(terms)) + 2
     codes = np.frombuffer("".join(f"{START}{t}{END}" for t in terms).encode("utf-32-le"), "<u4").astype(np.int64)
     of, left = np.repeat(np.arange(len(terms)), sizes), np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
-    held = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(sizes - 2, pa.int32())], ["term", "letters"])
+    held = pa.array(terms, pa.string())
     for size in SIZES:
         begins = np.flatnonzero(left >= size)
         run = np.zeros(len(begins), np.int64)
@@ -71,7 +71,8 @@ def gram_table(vocabulary: DataFrame) -> DataFrame:
 
 def spread_grams(blocks: DataFrame) -> DataFrame:
     """A row per field, run of letters and term of a table of blocks."""
-    return blocks.select(F.explode("fields").alias("field"), "size", "gram", "terms").select("field", "size", "gram", F.inline("terms"))
+    each = blocks.select(F.explode("fields").alias("field"), "size", "gram", "terms").select("field", "size", "gram", F.explode("terms").alias("term"))
+    return each.withColumn("letters", F.length("term"))
 
 
 def runs_of(text: str, size: int) -> set[str]:

@@ -117,7 +117,7 @@ def _lists(values: pa.Array, starts: np.ndarray, end: int) -> pa.Array:
 
 def _counted(ids: pa.Array, index: np.ndarray, doc: np.ndarray, terms: pa.Array, places: bool) -> list[pa.Array]:
     """The columns of a block: term, documents, occurrences, leads, postings. ``index`` and ``doc`` are the term and row of each token,
-    a row's tokens in order."""
+    a row's tokens in order; other rows' may lie between them."""
     rows = max(1, len(ids))
     key = index.astype(np.int64) * rows + doc
     order = np.argsort(key, kind="stable") if places else None
@@ -134,13 +134,19 @@ def _counted(ids: pa.Array, index: np.ndarray, doc: np.ndarray, terms: pa.Array,
         held = pa.StructArray.from_arrays([ids.take(pa.array(at)), _lists(pa.array(place[order]), starts, len(key))], ["id", "places"])
     else:
         held = pa.StructArray.from_arrays([ids.take(pa.array(at)), pa.array(lengths[at], pa.int32()), pa.array(tf, pa.int32())], ["id", "length", "tf"])
-    _, leading = np.unique(doc, return_index=True)
-    leads = np.bincount(index[leading], minlength=len(terms))
+    leading = np.full(rows, -1)
+    leading[doc[::-1]] = index[::-1]  # of a row's tokens the first is set last
+    leads = np.bincount(leading[leading >= 0], minlength=len(terms))
     named = term[first]
     return [terms.take(pa.array(named)), pa.array(np.diff(np.append(first, len(starts)))), pa.array(np.add.reduceat(tf, first) if len(first) else tf),
             pa.array(leads[named]), _lists(held, first, len(starts))]
 
 
+def _known(text: Column) -> Column:
+    """Characters that Java does not know are no letters to ``tokens``, though Arrow may know them. None of them is ASCII."""
+    return F.when(F.length(text) < F.octet_length(text), F.regexp_replace(text, r"\p{Cn}", " ")).otherwise(text)
+
+
 def _in_place(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], id_column: str, places: bool) -> DataFrame:
     """Blocks of documents, each of rows that lie together."""
     texts, own = _parts(fields)
@@ -160,16 +166,11 @@ def _in_place(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]], id_
                 if pc.any(empty).as_py():  # white space at either end
                     full = ~empty.to_numpy(zero_copy_only=False)[of_terms]
                     of_terms, of_rows = of_terms[full], of_rows[full]
-                if len(names) > 1:  # a row's tokens in the order of the columns
-                    order = np.argsort(of_rows, kind="stable")
-                    of_terms, of_rows = of_terms[order], of_rows[order]
                 made = _counted(ids, of_terms, of_rows, coded.dictionary, places)
-                yield pa.RecordBatch.from_arrays([pa.array([field] * len(made[0]), pa.string()), *made], names=["field", "term", "documents", "occurrences", "leads", "postings"])
+                yield pa.RecordBatch.from_arrays([pa.repeat(field, len(made[0])), *made], names=["field", "term", "documents", "occurrences", "leads", "postings"])
 
     kind = docs.schema[id_column].dataType.simpleString()
-    # Characters that Java does not know are no letters to ``tokens``, though Arrow may know them.
-    known = {n: F.regexp_replace(F.lower(F.coalesce(c.cast("string"), F.lit(""))), r"\p{Cn}", " ") for n, c in texts.items()}
-    lowered = docs.select(F.col(id_column), *(c.alias(n) for n, c in known.items()))
+    lowered = docs.select(F.col(id_column), *(_known(F.lower(F.coalesce(c.cast("string"), F.lit("")))).alias(n) for n, c in texts.items()))
     return lowered.mapInArrow(count, f"field string, {_blocks_type(kind, places)}")
 
 
@@ -218,7 +219,7 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Column | Sequence[str]]
     per_term = index.blocks.groupBy("field", "term").agg(*(F.sum(c).alias(c) for c in ("documents", "occurrences", "leads")))
     per_term.repartitionByRange("field", "term").sortWithinPartitions("field", "term").write.mode("overwrite").parquet(f"{path}/vocabulary")
     runs = G.gram_table(index.vocabulary.select("field", "term"))
-    dealt = runs.repartition("size", "gram", F.pmod(F.xxhash64(F.col("terms")[0]["term"]), F.lit(SLICES)))
+    dealt = runs.repartition("size", "gram", F.pmod(F.xxhash64(F.col("terms")[0]), F.lit(SLICES)))
     dealt.sortWithinPartitions("size", "gram").write.mode("overwrite").parquet(f"{path}/grams")
     totals = index.vocabulary.groupBy("field").agg(F.sum("leads").alias("documents"), F.sum("occurrences").alias("tokens"))
     totals.write.mode("overwrite").parquet(f"{path}/totals")

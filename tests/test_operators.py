@@ -469,6 +469,14 @@ def test_no_near_word_shares_too_few_runs():
                 assert any(len(own & pairs) >= least for pairs, least in wanted), (value, other, edits)
 
 
+def test_a_block_of_runs_holds_plain_terms(spark):
+    """The shuffle carries a term alone for each of its runs; its letters are counted when it is read."""
+    blocks = grams.gram_table(spark.createDataFrame([("t", "a\U00010400b"), ("all", "a\U00010400b"), ("t", "ab")], "field string, term string"))
+    assert blocks.schema["terms"].dataType.simpleString() == "array<string>"
+    rows = grams.spread_grams(blocks).where("gram = '^a'").select("field", "size", "term", "letters").collect()
+    assert sorted(map(tuple, rows)) == [("all", 2, "a\U00010400b", 3), ("t", 2, "a\U00010400b", 3), ("t", 2, "ab", 2)]
+
+
 def test_runs_a_pattern_needs():
     assert grams.contained_runs("thle") == {"thl", "hle"} and grams.contained_runs("ti?n*er") == {"ti", "er"} and grams.contained_runs("a*b?") == set()
 
