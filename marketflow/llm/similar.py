@@ -106,11 +106,15 @@ def sketched(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHI
     return docs.withColumn("_read", read(F.col("text"))).withColumns({f"_{n}": F.col(f"_read.{n}") for n in names}).drop("_read")
 
 
-def meetings(nodes: DataFrame) -> DataFrame:
-    """(value, node, at, n, least) of every shingle at whose value at least two nodes meet: its place in the node's order, how many meet, the smallest."""
+def meetings(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(value, node, at, size, n, least) of every shingle at whose value at least two nodes meet: its place in the node's order, how many meet, and
+    the smallest one's node, at and size. Values where only two meet are left out if these cannot be so similar by ``fits``."""
     same = Window.partitionBy("value")  # rows of a value spill, they are never held in memory
-    values = nodes.select("node", F.posexplode("_prefix").alias("at", "value"))
-    return values.withColumns({"n": F.count(F.lit(1)).over(same), "least": F.min("node").over(same)}).where("n > 1").select("value", "node", "at", "n", "least")
+    values = nodes.select("node", F.col("_size").alias("size"), F.posexplode("_prefix").alias("at", "value"))
+    own = F.struct("node", "at", "size")
+    met = values.withColumns({"n": F.count(F.lit(1)).over(same), "least": F.min(own).over(same), "most": F.max(own).over(same)})
+    pair = fits(F.col("least.at"), F.col("least.size"), F.col("most.at"), F.col("most.size"), similarity)
+    return met.where((F.col("n") > 2) | (F.col("n") == 2) & pair).select("value", "node", "at", "size", "n", "least")
 
 
 def rooted(met: DataFrame, links: DataFrame) -> DataFrame:
@@ -118,10 +122,11 @@ def rooted(met: DataFrame, links: DataFrame) -> DataFrame:
     return met.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def crossing(met: DataFrame, links: DataFrame) -> DataFrame:
-    """(u, v) of nodes and the smallest one of a value where they meet, if no links join them yet."""
-    first = F.min(F.struct("node", "root")).over(Window.partitionBy("value"))
+def crossing(met: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """(u, v) of nodes and the smallest one of a value where they meet, if no links join them yet and they may be so similar by ``fits``."""
+    first = F.min(F.struct("node", "root", "at", "size")).over(Window.partitionBy("value"))
     other = rooted(met, links).withColumn("first", first).where("root != first.root")
+    other = other.where(fits(F.col("at"), F.col("size"), F.col("first.at"), F.col("first.size"), similarity))
     return other.select(F.greatest("node", "first.node").alias("u"), F.least("node", "first.node").alias("v")).distinct()
 
 
@@ -135,9 +140,19 @@ def apart() -> Column:
     return sum(F.bit_count(F.get("pu", F.lit(i)).bitwiseXOR(F.get("pv", F.lit(i)))) for i in range(LONGS))
 
 
-def may_differ(similarity: float) -> Column:
+def may_differ(similarity: float, size_u: Column | None = None, size_v: Column | None = None) -> Column:
     """In how many shingles sets of the sizes of u and v may differ."""
-    return F.lit((1 - similarity) / (1 + similarity)) * (F.col("size_u") + F.col("size_v")) + F.lit(1e-6)
+    both = (F.col("size_u") if size_u is None else size_u) + (F.col("size_v") if size_v is None else size_v)
+    return F.lit((1 - similarity) / (1 + similarity)) * both + F.lit(1e-6)
+
+
+def fits(at_u: Column, size_u: Column, at_v: Column, size_v: Column, similarity: float) -> Column:
+    """Whether two sets may be so similar, if the shingle at these places is the first that they share.
+
+    Then neither shares any before it. A pair that is so similar holds this at the first shingle of both.
+    """
+    shared = F.least(size_u - at_u, size_v - at_v)  # at most
+    return size_u + size_v - 2 * shared <= may_differ(similarity, size_u, size_v)
 
 
 def near(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -155,19 +170,18 @@ def unjoined(met: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def candidates(apart_yet: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """``near`` pairs of all nodes that meet at a value and have different roots, with the roots; a pair comes from each value where it meets.
+    """``near`` pairs of all nodes that meet at a value and have different roots, with the roots; a pair comes from each value where it ``fits``.
 
-    A pair is bounded as if the value were the first one that both have: then neither shares any shingle before it. Pairs that may be so
-    similar hold this at the first. Half of each pair is dealt to blocks, so that a frequent value is compared by many tasks.
+    Half of each pair is dealt to blocks, so that a frequent value is compared by many tasks.
     """
     blocks = F.ceil(F.col("n") / BLOCK)
     sides = []
     for n, block in (("u", F.pmod(F.xxhash64("node"), blocks)), ("v", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))):
         side = apart_yet.select("value", F.col("node").alias(n), F.col("at").alias(f"at_{n}"), F.col("root").alias(f"root_{n}"), block.alias("block"))
         sides.append(side.join(parted(nodes, n), n))
-    both = F.least(F.col("size_u") - F.col("at_u"), F.col("size_v") - F.col("at_v"))  # shared at most
-    fits = (F.col("u") > F.col("v")) & (F.col("root_u") != F.col("root_v")) & (F.col("size_u") + F.col("size_v") - 2 * both <= may_differ(similarity))
-    pairs = sides[0].join(sides[1], ["value", "block"]).where(fits).withColumn("apart", apart()).where(F.col("apart") <= may_differ(similarity))
+    likely = fits(F.col("at_u"), F.col("size_u"), F.col("at_v"), F.col("size_v"), similarity)
+    apart_roots = (F.col("u") > F.col("v")) & (F.col("root_u") != F.col("root_v"))
+    pairs = sides[0].join(sides[1], ["value", "block"]).where(apart_roots & likely).withColumn("apart", apart()).where(F.col("apart") <= may_differ(similarity))
     return pairs.select("u", "v", "su", "sv", "root_u", "root_v", "apart")
 
 
@@ -209,12 +223,13 @@ def groups(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = SHING
     each = sketched(docs, similarity, shingle).groupBy("_set").agg(first, *(F.first(c).alias(c) for c in own))
     # Numbers are given once, when the nodes are written.
     nodes = stored(each.select(F.monotonically_increasing_id().alias("node"), "_first", *own), "nodes")
-    met = stored(meetings(nodes), "met")
+    met = stored(meetings(nodes, similarity), "met")
     texts = docs.select("_sha", "text")
-    own = near(met.where("node != least").select(F.col("node").alias("u"), F.col("least").alias("v")).distinct(), nodes, similarity)
+    likely = met.where(F.col("node") != F.col("least.node")).where(fits(F.col("at"), F.col("size"), F.col("least.at"), F.col("least.size"), similarity))
+    own = near(likely.select(F.col("node").alias("u"), F.col("least.node").alias("v")).distinct(), nodes, similarity)
     closest = own.groupBy("u").agg(F.min(F.struct("apart", "v", "su", "sv")).alias("to")).select("u", "to.*")
     links = stored(verified(closest, texts, similarity, shingle), "links")
-    links = stored(links.unionAll(verified(near(crossing(met, links), nodes, similarity), texts, similarity, shingle)), "links")
+    links = stored(links.unionAll(verified(near(crossing(met, links, similarity), nodes, similarity), texts, similarity, shingle)), "links")
     found = True
     while True:  # a round joins each root that finds one to a smaller root; the last, when few do so, compares all that is left
         apart_yet = stored(unjoined(met, links), "apart")

@@ -553,3 +553,15 @@ def test_workers_give_freed_memory_back(spark):
     common.prepare(spark)
     row = spark.range(1, numPartitions=1).mapInArrow(read, "pool string, grown long, left long").first()
     assert row.pool == "system" and row.left < row.grown / 4
+
+
+def test_texts_that_meet_but_cannot_be_similar_make_no_pairs(spark):
+    """Two sets that meet at a shingle too far back, or of too unlike sizes, don't count as met; of three at a value all do."""
+    rows = [(1, 10, [5, 6]), (2, 100, [5, 7]), (3, 10, [8, 9, 6]), (4, 10, [7, 8]), (5, 10, [8, 1])]
+    nodes = spark.createDataFrame(rows, "node long, _size long, _prefix array<long>")
+    met = similar.meetings(nodes, 0.8)
+    assert sorted((r.value, r.node, r.at, r.size, r.n, r.least.node) for r in met.collect()) == [(8, 3, 0, 10, 3, 3), (8, 4, 1, 10, 3, 3), (8, 5, 0, 10, 3, 3)]
+    assert similar.meetings(nodes, 0.6).where("value = 6").count() == 2
+    links = spark.createDataFrame([], "u long, v long")
+    assert sorted(map(tuple, similar.crossing(met, links, 0.8).collect())) == [(4, 3), (5, 3)]
+    assert sorted(map(tuple, similar.crossing(met, links, 0.9).collect())) == [(5, 3)]
