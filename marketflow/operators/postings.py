@@ -320,11 +320,11 @@ def match_combined(index: Postings, field: str, must: Sequence[str] = (), should
 
 
 def _holding(index: Postings, field: str, terms: DataFrame) -> DataFrame:
-    """Ids of the documents with any of the terms. A few terms are looked up as literals, more are joined."""
+    """Ids of the documents with any of the terms. A few terms are looked up as literals, more are joined to the blocks, before these are spread."""
     few = [row.term for row in terms.take(LITERAL_TERMS + 1)]
-    rows = index.terms.where(F.col("field") == field)
-    found = rows.where(F.col("term").isin(few)) if len(few) <= LITERAL_TERMS else rows.join(terms, "term", "left_semi")
-    return found.select(index.id_column).distinct()
+    blocks = index.blocks.where(F.col("field") == field).select("term", F.col("postings.id").alias("ids"))
+    found = blocks.where(F.col("term").isin(few)) if len(few) <= LITERAL_TERMS else blocks.join(terms, "term", "left_semi")
+    return found.select(F.explode("ids").alias(index.id_column)).distinct()
 
 
 def wildcard_terms(index: Postings, field: str, content: str) -> DataFrame:

@@ -539,3 +539,15 @@ def test_searches_by_runs_read_no_text(spark):
     wanted = grams.near_runs("lisence", 2)
     tested = grams.sharing(index.grams, "text", "lisence", 2, wanted).count()
     assert tested < 0.05 * index.vocabulary.where("field = 'text'").count()
+
+
+def test_many_terms_join_blocks_before_these_are_spread(spark, monkeypatch):
+    """Found terms beyond the literals meet a row per block, not one per document; of the postings only ids are read."""
+    docs = spark.createDataFrame([(i, f"part{i} word{i % 3}") for i in range(40)], "id long, body string")
+    index = postings.build_postings(docs, {"body": F.col("body")}, scratch(spark, "postings"), "id")
+    monkeypatch.setattr(postings, "LITERAL_TERMS", 2)
+    found = postings.wildcard(index, "body", "part")
+    assert sorted(r.id for r in found.collect()) == list(range(40))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate") < plan.index("LeftSemi")
+    assert "postings:array<struct<id:bigint>>" in found._jdf.queryExecution().executedPlan().toString()
