@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketflow.llm.common import remainder, split_words, sums
+from marketflow.llm.common import give_back, remainder, split_words, sums
 
 WINDOW, OVERLAP = 64, 8  # bytes of a window and of what neighbours share
 FEW = 20  # rows of each label that are taken at any length
@@ -253,5 +253,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, **bounds) -> Model:
     """A model from labelled rows whose crc32 remainder by ``folds`` is not 0."""
     learn = docs.where(remainder(F.col("doc_id"), folds) != 0)
-    texts, truth, share = labelled_sample(learn, labels.where(remainder(F.col("doc_id"), folds) != 0), **bounds)
-    return fit(texts, truth, share)
+    model = fit(*labelled_sample(learn, labels.where(remainder(F.col("doc_id"), folds) != 0), **bounds))
+    give_back()  # the sample
+    return model

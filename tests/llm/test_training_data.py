@@ -534,8 +534,36 @@ def test_shards_do_not_depend_on_how_much_is_encoded_at_once(spark, tmp_path, mo
     assert found[0] == found[1] and len(found[0]) == 60
 
 
+def _held():
+    """KB that this process holds."""
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon"))
+
+
+def test_driver_gives_back_the_sample_of_toxicity(spark, monkeypatch):
+    """Of what the fit takes in the driver, small texts and Arrow arrays, less than a quarter is kept once there is a model."""
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    grown = []
+
+    def fit(*sample):
+        before = _held()
+        kept = [bytes([i % 256]) * 3000 for i in range(20_000)]
+        arrays = [pa.array(kept[:200], pa.binary()) for _ in range(100)]
+        grown.append(_held() - before)
+        del arrays, kept[::2]
+        return kept[-1:]
+
+    common.prepare(spark)
+    toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "fit", fit)
+    before = _held()
+    toxicity.train(docs, labels)
+    assert grown[0] > 50_000 and _held() - before < grown[0] / 4
+
+
 def test_workers_give_freed_memory_back(spark):
-    """Of 13 MB of texts and 50 MB of Arrow arrays a worker keeps less than a quarter once they are freed."""
+    """Of 13 MB of texts and 100 MB of Arrow arrays a worker keeps less than a quarter once they are freed."""
 
     def read(batches):
         for _ in batches:
@@ -545,7 +573,7 @@ def test_workers_give_freed_memory_back(spark):
 
             before = held()
             texts = [bytes([i]) * (64 << 10) for i in range(200)]
-            arrays = [pa.array(texts[:8], pa.binary()) for _ in range(100)]
+            arrays = [pa.array(texts[:40], pa.binary()) for _ in range(40)]
             most = held()
             del texts, arrays
             yield pa.RecordBatch.from_pydict({"pool": [pa.default_memory_pool().backend_name], "grown": [most - before], "left": [held() - before]})
