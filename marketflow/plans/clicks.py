@@ -224,7 +224,7 @@ def topic_bounded(spark, sf_dir):
 
     def bounded(i: int, part: str):
         stream = topic_stream(spark, ["user_behavior"], path=f"{root}/topics", max_per_trigger=bound, part=part)
-        write = lambda batch, batch_id: write_batch(batch, f"{root}/out/stream={i}", batch_id)
+        write = lambda batch, batch_id: write_batch(batch.coalesce(1), f"{root}/out/stream={i}", batch_id)
         return runs.into_batches(stream.select("partition", "offset", "value"), write, f"{root}/checkpoint/{i}")
 
     runs.drain_all(bounded(i, part) for i, part in enumerate(topic_parts(spark, "user_behavior", f"{root}/topics")))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketflow.operators import behavior as B
+from marketflow.plans import clicks as clicks_plan
 from marketflow.session import configure, scratch, shared_root
 from marketflow.sinks import files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
@@ -607,3 +608,17 @@ def test_stages_beyond_the_compiler_run_operator_by_operator(spark):
     """A method of more bytecode is never compiled by HotSpot, and every message would be read by the interpreter."""
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
     assert configure(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_a_bounded_batch_is_one_file_and_a_local_checkpoint_is_kept_cheaply(spark, monkeypatch):
+    """6 million clicks are 6,000 batches of a topic: what a batch costs beside its rows is most of the time."""
+    root, at = scratch(spark, "bounded"), scratch(spark, "clicks")
+    rows = spark.range(2500).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 2 AS user_id", "'view' AS event_type",
+                                        "1.0D AS value", "concat('{\"k\": ', id, '}') AS props")
+    rows.coalesce(1).write.parquet(f"{at}/events.parquet")
+    monkeypatch.setattr(clicks_plan, "scratch", lambda spark, name: root)
+    found = clicks_plan.topic_bounded(spark, at).collect()
+    assert sorted(r.offset for r in found) == list(range(2500)) and {r.bound for r in found} == {2 * FILE_RECORDS}
+    files = spark.read.parquet(f"{root}/out").select("stream", "batch_id", F.col("_metadata.file_path").alias("file")).distinct()
+    assert files.count() == files.select("stream", "batch_id").distinct().count() > 2
+    assert spark.conf.get("spark.sql.streaming.checkpointFileManagerClass").endswith(".FileSystemBasedCheckpointFileManager")
