@@ -14,6 +14,9 @@ PLACE = ("doc_index", "doc_type")
 
 DOCUMENT_ID = "document_id"
 
+# Documents repeat their keys, so their files are compressed. Such a file is read by one task: its documents are bounded.
+STORED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
+
 
 def with_document_id(df: DataFrame, batch_id: int) -> DataFrame:
     """``document_id`` from the batch, the document and its number among equal ones: a repeated batch gives the same ids.
@@ -43,14 +46,14 @@ def write_documents(df: DataFrame, path: str, index: str, doc_type: str, batch_i
     target = f"{path}/{PLACE[0]}={index}"
     nulls_kept = str(not nulls).lower()
     if batch_id is None:
-        df.write.option("ignoreNullFields", nulls_kept).mode("append").json(f"{target}/{PLACE[1]}={doc_type}")
+        df.write.options(**STORED, ignoreNullFields=nulls_kept).mode("append").json(f"{target}/{PLACE[1]}={doc_type}")
     else:
         _replace_batch(df, target, doc_type, batch_id, "json", ignoreNullFields=nulls_kept)
 
 
 def _replace_batch(df: DataFrame, target: str, doc_type: str, batch_id: int, fmt: str, **options: str) -> None:
     rows = df.withColumn(PLACE[1], F.lit(doc_type))
-    rows.write.mode("overwrite").options(**options).partitionBy(PLACE[1]).format(fmt).save(f"{target}/{BATCH}={batch_id}")
+    rows.write.mode("overwrite").options(**STORED, **options).partitionBy(PLACE[1]).format(fmt).save(f"{target}/{BATCH}={batch_id}")
 
 
 def write_json_texts(df: DataFrame, path: str, index: str, doc_type: str, batch_id: int, quarantine: str) -> None:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from marketflow.operators import behavior as B
 from marketflow.plans import clicks as clicks_plan
-from marketflow.session import configure, scratch, shared_root
-from marketflow.sinks import files, jdbc, tables  # noqa: F401
+from marketflow.session import configure, file_state, scratch, shared_root
+from marketflow.sinks import documents, files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
-from marketflow.sinks.documents import write_documents, write_json_texts
+from marketflow.sinks.documents import read_documents, write_documents, write_json_texts
 from marketflow.sinks.fanout import Branch, SinkErrors, fan_out, parked, replay
 from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.rolling import RollingLines
@@ -423,6 +423,40 @@ def test_quarantine(spark, messages):
     assert spark.read.text(f"{root}/d").count() == 1 and spark.read.text(f"{root}/q").count() == 2
 
 
+def stored_files(spark, path):
+    return [f for f, _, _ in file_state(spark, path) if f.rsplit("/", 1)[1].startswith("part-")]
+
+
+def document_bytes(spark, path):
+    return sum(size for f, size, _ in file_state(spark, path) if f.rsplit("/", 1)[1].startswith("part-"))
+
+
+@pytest.mark.parametrize("kind", [ingest.ITEM, ingest.COUPON, ingest.SHOP], ids=lambda kind: kind.name)
+@pytest.mark.parametrize("batch_id", [None, 3])
+def test_documents_are_stored_small_and_read_whole(spark, messages, kind, batch_id):
+    """Appended or by batch: the same documents as their JSON lines, in a fraction of the bytes, NULL fields as told."""
+    root = scratch(spark, "docs")
+    element = '{{"mtWmPoiId":"{0}","dpShopId":"{0}","shopName":"shop \u00e9 {0}","createTime":"2024-01-01 00:00:00"}}'
+    texts = [element.format(i) for i in range(500)]
+    texts = [t[:-1] + f',"itemList":[{t}],"couponList":[{t}]}}' for t in texts]
+    found = kind.documents(messages(*texts), "2024-06-01 12:00:00")
+    write_documents(found, root, kind.name, "2024-06-01", batch_id)
+    assert all(f.endswith(".json.gz") for f in stored_files(spark, root)) and stored_files(spark, root)
+    plain = found.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    assert document_bytes(spark, root) * 4 < plain.agg(F.sum(F.length("value"))).first()[0]
+    assert sorted(r.value for r in spark.read.text(root).select("value").collect()) == sorted(r.value for r in plain.collect())
+    back = read_documents(spark, root, kind.document)
+    assert sorted(map(str, back.select(found.columns).collect())) == sorted(map(str, found.collect()))
+
+
+def test_files_of_documents_are_bounded(spark, monkeypatch):
+    """A compressed file is read by one task."""
+    root = scratch(spark, "docs")
+    monkeypatch.setitem(documents.STORED, "maxRecordsPerFile", "100")
+    write_documents(spark.range(0, 450, 1, 1), root, "ids", "2024-06-01")
+    assert len(stored_files(spark, root)) == 5 and spark.read.json(root).count() == 450
+
+
 def lines(spark, *rows):
     return spark.createDataFrame(list(rows), "value string, batch_date string")
 
