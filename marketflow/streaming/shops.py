@@ -9,7 +9,7 @@ from ..functions import times
 from ..operators import records as R
 from ..operators.behavior import EVENT_DELAY, SHOP_DELAY
 from ..schemas import SHOP, SHOP_LINE_COLUMNS, columns
-from ..sinks.tables import write_batch
+from ..sinks.tables import stored_once, write_batch
 
 
 NO_TIME = "no_event_time"
@@ -60,10 +60,8 @@ def partitioned_shops(messages: DataFrame, delay: str | None = EVENT_DELAY) -> D
 
 
 def write_partitioned_shops(batch: DataFrame, path: str, rejects: str, batch_id: int) -> None:
-    """A batch of ``partitioned_shops``: the shops below ``path``, what has no place there below ``rejects``."""
-    held = batch.drop("event_time").persist()
-    try:
+    """A batch of ``partitioned_shops``: the shops below ``path``, what has no place there below ``rejects``, with its text; no other text is kept."""
+    told = batch.drop("event_time").withColumn("value", F.when(F.col(R.REASON).isNotNull(), F.col("value")))
+    with stored_once(told) as held:
         write_batch(R.accepted(held).drop("value"), path, batch_id, ("dt", "hr", "mm"))
         write_batch(R.rejected(held).select("value", R.REASON), rejects, batch_id)
-    finally:
-        held.unpersist()

@@ -2,21 +2,23 @@ import os
 import threading
 
 import pytest
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from marketflow.operators import behavior as B
 from marketflow.plans import clicks as clicks_plan
-from marketflow.session import configure, file_state, scratch, shared_root
+from marketflow.session import configure, file_state, path_exists, scratch, shared_root
 from marketflow.sinks import documents, files, jdbc, tables  # noqa: F401
 from marketflow.sinks.commit import PartitionCommit
 from marketflow.sinks.documents import read_documents, write_documents, write_json_texts
 from marketflow.sinks.fanout import Branch, SinkErrors, fan_out, parked, replay
 from marketflow.sinks.keyed import KeyedTable
 from marketflow.sinks.rolling import RollingLines
+from marketflow.sinks.tables import stored_once
 from marketflow.sinks.topic import write_topic
 from marketflow.sources import jdbc as J
 from marketflow.sources.topic import FILE_RECORDS, kafka_options, topic_parts, topic_stream
-from marketflow.streaming import ingest, runs
+from marketflow.streaming import ingest, runs, shops
 from marketflow.streaming.shops import partitioned_shops, write_partitioned_shops
 from marketflow.streaming.windows import RankedShops, windowed
 
@@ -656,3 +658,31 @@ def test_a_bounded_batch_is_one_file_and_a_local_checkpoint_is_kept_cheaply(spar
     files = spark.read.parquet(f"{root}/out").select("stream", "batch_id", F.col("_metadata.file_path").alias("file")).distinct()
     assert files.count() == files.select("stream", "batch_id").distinct().count() > 2
     assert spark.conf.get("spark.sql.streaming.checkpointFileManagerClass").endswith(".FileSystemBasedCheckpointFileManager")
+
+
+def test_a_batch_of_shops_is_held_without_the_cache_or_the_text_of_good_ones(spark, messages, monkeypatch):
+    """The texts of all messages are most of a batch, and Spark's cache keeps what does not fit the heap on disk, not compressed."""
+    root, held = scratch(spark, "shops"), []
+
+    def watched(df):
+        held.append(df)
+        return stored_once(df)
+
+    monkeypatch.setattr(shops, "stored_once", watched)
+    texts = [f'{{"mtWmPoiId":"{i}","createTime":"2024-01-01 00:00:00"}}' for i in range(3)]
+    batch = partitioned_shops(messages(*texts, texts[0], '{"mtWmPoiId":"7"}', "cut{"), delay=None)
+    write_partitioned_shops(batch, f"{root}/t", f"{root}/r", 0)
+    assert [r.value for r in held[0].where("reject_reason IS NULL").collect()] == [None] * 4
+    assert sorted(r.wm_poi_id for r in spark.read.parquet(f"{root}/t").collect()) == ["0", "0", "1", "2"]
+    assert sorted(map(tuple, spark.read.parquet(f"{root}/r").select("reject_reason", "value").collect())) == [("no_event_time", '{"mtWmPoiId":"7"}'), ("not_an_object", "cut{")]
+
+
+def test_rows_stored_once_are_made_once_and_removed(spark):
+    made = spark.sparkContext.accumulator(0)
+    twice = F.udf(lambda i: made.add(1) or i * 2, "long")
+    with stored_once(spark.range(5).select(twice("id").alias("n")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))) as rows:
+        assert [sorted(r.n or 0 for r in rows.collect()) for _ in range(2)] == [[0, 0, 2, 4, 6, 8]] * 2
+        assert rows.storageLevel == StorageLevel.NONE and made.value == 5
+        path = rows.inputFiles()[0].rsplit("/", 1)[0]
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)
