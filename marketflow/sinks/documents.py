@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.records import REASON
 from ..schemas import Field, ddl
-from .tables import BATCH
+from .tables import BATCH, stored_once
 
 PLACE = ("doc_index", "doc_type")
 
@@ -63,12 +63,10 @@ def write_json_texts(df: DataFrame, path: str, index: str, doc_type: str, batch_
     """
     usable = F.coalesce(F.json_object_keys(F.col("value")).isNotNull(), F.lit(False))
     told = df.withColumn(REASON, F.lit(None).cast("string")) if REASON not in df.columns else df
-    held = told.select("value", F.when(~usable, F.coalesce(REASON, F.lit("not_an_object"))).otherwise(F.col(REASON)).alias(REASON)).persist()
-    try:
+    judged = told.select("value", F.when(~usable, F.coalesce(REASON, F.lit("not_an_object"))).otherwise(F.col(REASON)).alias(REASON))
+    with stored_once(judged) as held:
         _replace_batch(held.where(F.col(REASON).isNull()).select("value"), f"{path}/{PLACE[0]}={index}", doc_type, batch_id, "text")
         _replace_batch(held.where(F.col(REASON).isNotNull()), f"{quarantine}/{PLACE[0]}={index}", doc_type, batch_id, "json")
-    finally:
-        held.unpersist()
 
 
 def read_documents(spark: SparkSession, path: str, fields: tuple[Field, ...]) -> DataFrame:

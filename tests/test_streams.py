@@ -686,3 +686,17 @@ def test_rows_stored_once_are_made_once_and_removed(spark):
         path = rows.inputFiles()[0].rsplit("/", 1)[0]
         assert path_exists(spark, path)
     assert not path_exists(spark, path)
+
+
+def test_streamed_documents_are_held_outside_the_cache(spark, messages, monkeypatch):
+    root, held = scratch(spark, "docs"), []
+
+    def watched(df):
+        held.append(df)
+        return stored_once(df)
+
+    monkeypatch.setattr(documents, "stored_once", watched)
+    write_json_texts(messages('{"a":1}', '{"a":1}', "x", None), f"{root}/d", "shop", "2024-06-01", 0, f"{root}/q")
+    assert len(held) == 1 and held[0].storageLevel == StorageLevel.NONE
+    assert [r.value for r in spark.read.text(f"{root}/d").collect()] == ['{"a":1}'] * 2 and spark.read.json(f"{root}/q").count() == 2
+    assert all(f.endswith(".gz") for f in stored_files(spark, root))
