@@ -33,7 +33,7 @@ def is_object(value: str = "value") -> Column:
 
     One CASE and not a conjunction: the test on the raw text would be moved below the parse.
     """
-    return F.when(F.col(CORRUPT).isNull(), F.coalesce(F.length(F.trim(F.col(value))) > 0, F.lit(False))).otherwise(False)
+    return F.when(F.col(CORRUPT).isNull(), F.coalesce(F.trim(F.col(value)) != "", F.lit(False))).otherwise(False)
 
 
 def well_formed(value: str = "value") -> Column:
@@ -89,5 +89,5 @@ def unboxed(text: Column, type_name: str) -> Column:
 
 def bad_number(text: Column, type_name: str) -> Column:
     """True where a text is given that is no number."""
-    given = text.isNotNull() & ~text.isin("", "null", "NULL")
-    return F.coalesce(given & boxed(text, type_name).isNull(), F.lit(False))
+    unread = text.isNotNull() & boxed(text, type_name).isNull()  # the rare case first
+    return F.coalesce(unread & ~text.isin("", "null", "NULL"), F.lit(False))

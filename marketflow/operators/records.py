@@ -93,11 +93,13 @@ def judged(parsed: DataFrame, outputs: Mapping[str, tuple[Field, ...]], value: s
     ``faults`` are flags that also make a reject. Worth it before rows are held
     for several sinks: the text is most of their size.
     """
-    reasons = {reason_of(name): _reason(fields, value) for name, fields in outputs.items()}
+    first: dict[tuple, str] = {}  # outputs that read the same numbers have the same reason, found once
+    same = {reason_of(name): first.setdefault(tuple(f for f in fields if f.kind not in ("text", "now")), reason_of(name)) for name, fields in outputs.items()}
     others = [c for c in parsed.columns if c not in (value, J.CORRUPT)]
-    told = parsed.withColumns(reasons)
+    told = parsed.withColumns({reason_of(name): _reason(fields, value) for name, fields in outputs.items() if same[reason_of(name)] == reason_of(name)})
+    reasons = [F.col(own).alias(name) for name, own in same.items()]
     bad = F.lit(False)
-    for test in (*(F.col(r).isNotNull() for r in reasons), *(F.col(f"`{f}`") for f in faults)):
+    for test in (*(F.col(r).isNotNull() for r in first.values()), *(F.col(f"`{f}`") for f in faults)):
         bad = bad | test
     return told.select(*(F.col(f"`{c}`") for c in others), *reasons, F.when(bad, F.col(value)).alias(value))
 
